@@ -1,7 +1,5 @@
 """Behaviour codes: names, weights, integer codes and conditional counters."""
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,9 +17,10 @@ def behavior_col() -> Column:
 
 def choose(key: Column, table: dict, default=None) -> Column:
     """Look ``key`` up in a small constant table."""
-    start = F.when(F.lit(False), F.lit(None))
-    chosen = reduce(lambda chain, pair: chain.when(key == pair[0], F.lit(pair[1])), table.items(), start)
-    return chosen.otherwise(default if isinstance(default, Column) else F.lit(default))
+    chain = F
+    for entry, value in table.items():
+        chain = chain.when(key == entry, F.lit(value))
+    return chain.otherwise(default)
 
 
 def behavior_name(kind: Column) -> Column:

@@ -1,9 +1,9 @@
 """Products of a sparse rating matrix, tile by tile.
 
 The matrix arrives as cells (user_id, item_id, weight). Joining it with itself would emit every pair
-of cells that share a user. Here Spark brings the cells of two blocks of columns together (one
-shuffle, each cell copied once per block), a task multiplies them as one small matrix product and
-only finished sums leave the task. Blocks come from a hash of the id, so popular ids spread, and the
+of cells that share a user. Here Spark brings the cells of two blocks of entities together (one
+shuffle, each cell copied once per block), a task multiplies them as one small matrix product, and
+only finished sums leave the task. Blocks come from a hash of the id, so popular ids spread. The
 number of blocks follows from the model's own limits on users and items, so a group has a bounded
 size whatever the length of the log.
 """
@@ -21,106 +21,127 @@ from pyspark.sql import functions as F
 # The task functions below travel with the job; executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK = 250  # entities per block of the pair product
-CROSS = 8192  # rows of the shared dimension that one tile may hold
+BLOCK = 500  # entities per block
+USER_BLOCK = 2000  # users scored together
+TILE_CELLS = 4_000_000  # cells that one block may hold if every rating is present
+CHUNK = 262_144  # numbers held at a time while summing sparse rows; stays in cache
+FILLED = 0.05  # share of present cells from which a plain matrix product is faster
+LINKS = "source bigint, block int, ids array<bigint>, sims array<double>, masses array<double>"
 
 
 def blocks_for(limit: int, block: int) -> int:
     return max(1, -(-limit // block))
 
 
+def entity_blocks(max_entities: int, max_shared: int) -> int:
+    """Number of blocks of entities, so that a block stays below TILE_CELLS even when dense."""
+    return blocks_for(max_entities, max(1, min(BLOCK, TILE_CELLS // max_shared)))
+
+
 def block_of(column: Column, count: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(count)).cast("int")
 
 
+def _one_task_per_tile(df: DataFrame, tiles: int, *key: str) -> DataFrame:
+    """Partition by tile, finely enough that two tiles rarely share a task."""
+    return df.repartition(2 * tiles, *key)
+
+
+def _every(count: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+
 def _dense(rows, columns, values, n_rows, n_columns):
     matrix = np.zeros((n_rows, n_columns))
     matrix[rows, columns] = values
     return matrix
 
 
-def pair_products(
-    cells: DataFrame, entity: str, shared: str, max_entities: int, max_shared: int, block: int = BLOCK
-) -> DataFrame:
-    """Sums over the ``shared`` dimension for every pair of entities that share one of its members.
-
-    ``cells`` need ``weight`` and ``scaled``. Result: left_id < right_id, dot = sum(w_l * w_r),
-    mass = sum(w_l * scaled_r), the latter symmetric when ``scaled`` is the weight times a factor
-    of the shared member."""
-    count = blocks_for(max_entities, block)
-    cross = blocks_for(max_shared, CROSS)
-    mine = block_of(F.col(entity), count)
-    others = F.sequence(F.lit(0), F.lit(count - 1))
-    placed = cells.select(
-        F.col(entity).alias("entity"),
-        F.col(shared).alias("shared"),
-        "weight",
-        "scaled",
-        mine.alias("mine"),
-        block_of(F.col(shared), cross).alias("part"),
-        F.explode(others).alias("other"),
-    )
-    tiles = placed.select(
-        "entity",
-        "shared",
-        "weight",
-        "scaled",
-        "mine",
-        "part",
-        F.least("mine", "other").alias("low"),
-        F.greatest("mine", "other").alias("high"),
+def _times(rows, columns, values, n_rows, dense):
+    """A sparse matrix, given as cells, times a dense one.
+
+    Well filled matrices go through BLAS. Otherwise the dense rows that cells point to are summed per
+    sparse row, a bounded number of cells at a time."""
+    width = dense.shape[1]
+    if len(values) > FILLED * n_rows * len(dense):
+        return _dense(rows, columns, values, n_rows, len(dense)) @ dense
+    result = np.zeros((n_rows, width))
+    order = np.argsort(rows, kind="stable")
+    step = max(1, CHUNK // max(1, width))
+    for start in range(0, len(order), step):
+        part = order[start : start + step]
+        heads = np.flatnonzero(np.r_[True, np.diff(rows[part]) != 0])
+        sums = np.add.reduceat(dense[columns[part]] * values[part, None], heads, axis=0)
+        result[rows[part][heads]] += sums
+    return result
+
+
+def _multiply_blocks(key, rows: pd.DataFrame) -> pd.DataFrame:
+    """One tile: the cells of blocks ``low`` and ``high`` -> links from each id to ids of the other block."""
+    low, high = key
+    shared, shared_at = np.unique(rows["shared"].to_numpy(), return_inverse=True)
+
+    def side(block):
+        inside = rows["mine"].to_numpy() == block
+        cells = rows[inside]
+        ids, first, at = np.unique(cells["entity"].to_numpy(), return_index=True, return_inverse=True)
+        return ids, cells["square"].to_numpy()[first], at, shared_at[inside], cells
+
+    left_ids, left_squares, left_at, left_shared, left = side(low)
+    right_ids, right_squares, right_at, right_shared, right = side(high)
+
+    def product(name):
+        other = _dense(right_shared, right_at, right[name].to_numpy(), len(shared), len(right_ids))
+        return _times(left_at, left_shared, left["weight"].to_numpy(), len(left_ids), other)
+
+    dot, mass = product("weight"), product("scaled")
+    if low == high:
+        np.fill_diagonal(dot, 0)
+    sim = dot / np.sqrt(np.outer(left_squares, right_squares))
+
+    def links(ids, block, partners, dot, sim, mass):
+        found = []
+        for at, source in enumerate(ids):
+            (near,) = np.nonzero(dot[at])
+            if len(near):
+                found.append((source, block, partners[near], sim[at, near], mass[at, near]))
+        return found
+
+    found = links(left_ids, high, right_ids, dot, sim, mass)
+    if low != high:
+        found += links(right_ids, low, left_ids, dot.T, sim.T, mass.T)
+    return pd.DataFrame(found, columns=["source", "block", "ids", "sims", "masses"])
+
+
+def similar_entities(cells: DataFrame, max_entities: int, max_shared: int) -> DataFrame:
+    """For every entity its neighbours, in one list per block: source, block, ids, sims, masses.
+
+    ``cells``: entity, shared, weight, scaled and ``square``, the entity's sum of squared weights.
+    sim is the cosine, mass = sum(w_source * scaled_neighbour) over shared members; mass is symmetric
+    if scaled is the weight times a factor of the shared member. An entity is not its own neighbour."""
+    count = entity_blocks(max_entities, max_shared)
+    placed = cells.select("entity", "shared", "weight", "scaled", "square", block_of(F.col("entity"), count).alias("mine"))
+    tiles = placed.withColumn("other", _every(count)).select(
+        *placed.columns, F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high")
     )
+    tiles = _one_task_per_tile(tiles, count * (count + 1) // 2, "low", "high")
+    return tiles.groupBy("low", "high").applyInPandas(_multiply_blocks, LINKS)
 
-    def multiply(key, rows: pd.DataFrame) -> pd.DataFrame:
-        _, low, high = key
-        _, shared_at = np.unique(rows["shared"].to_numpy(), return_inverse=True)
-        n_shared = int(shared_at.max()) + 1
-        mine_of = rows["mine"].to_numpy()
-
-        def side(wanted):
-            inside = mine_of == wanted
-            ids, at = np.unique(rows["entity"].to_numpy()[inside], return_inverse=True)
-            make = lambda name: _dense(
-                shared_at[inside], at, rows[name].to_numpy()[inside], n_shared, len(ids)
-            )
-            return ids, make
-
-        left_ids, left = side(low)
-        right_ids, right = side(high)
-        if not len(left_ids) or not len(right_ids):
-            return pd.DataFrame({"left_id": [], "right_id": [], "dot": [], "mass": []})
-        base = left("weight")
-        dot = base.T @ right("weight")
-        mass = base.T @ right("scaled")
-        if low == high:
-            dot = np.triu(dot, 1)
-        at_left, at_right = np.nonzero(dot)
-        a, b = left_ids[at_left], right_ids[at_right]
-        return pd.DataFrame(
-            {
-                "left_id": np.minimum(a, b),
-                "right_id": np.maximum(a, b),
-                "dot": dot[at_left, at_right],
-                "mass": mass[at_left, at_right],
-            }
-        )
 
-    products = tiles.groupBy("part", "low", "high").applyInPandas(
-        multiply, "left_id bigint, right_id bigint, dot double, mass double"
+def as_pairs(links: DataFrame) -> DataFrame:
+    """Neighbour lists -> one row per unordered pair: left_id < right_id, sim."""
+    pairs = links.select("source", F.inline(F.arrays_zip("ids", "sims")))
+    return pairs.where(F.col("source") < F.col("ids")).select(
+        F.col("source").alias("left_id"), F.col("ids").alias("right_id"), F.col("sims").alias("sim")
     )
-    if cross == 1:
-        return products
-    return products.groupBy("left_id", "right_id").agg(F.sum("dot").alias("dot"), F.sum("mass").alias("mass"))
 
 
 def candidate_scores(
     cells: DataFrame,
-    pairs: DataFrame,
+    links: DataFrame,
     max_items: int,
     max_users: int,
     k: int | None = None,
-    item_block: int = 500,
-    user_block: int = 2000,
     tolerance: float = 2e-6,
 ) -> DataFrame:
     """Scores of unseen items: (user_id, item_id, item_score, user_score), at least one above zero.
@@ -128,29 +149,15 @@ def candidate_scores(
     item_score = sum_j w_uj * sim(j, i); user_score = sum_j (w_uj / norm_u) * mass(j, i), which for an
     unseen item equals the sum over all other users v of cos(u, v) * w_vi, without users x users.
 
-    ``cells`` need ``weight`` and ``norm`` (of the user), ``pairs`` both directions as
-    (source, item_id, sim, mass). With ``k`` a tile passes on only what can still be among the k best
-    of a user: every item of its block not more than ``tolerance`` below the k-th best there. The exact
-    choice is made afterwards, on all tiles."""
-    item_blocks, user_blocks = blocks_for(max_items, item_block), blocks_for(max_users, user_block)
-    every_item_block = F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1)))
-    every_user_block = F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1)))
+    ``cells``: user_id, item_id, weight and ``norm`` of the user; ``links`` from similar_entities. With
+    ``k`` a tile passes on only what can still be among the k best of a user: every item of its block
+    not more than ``tolerance`` below the k-th best there. The choice is made afterwards, on all tiles."""
+    item_blocks, user_blocks = entity_blocks(max_items, max_users), blocks_for(max_users, USER_BLOCK)
     ratings = cells.select(
-        "user_id",
-        "item_id",
-        "weight",
-        "norm",
-        block_of(F.col("user_id"), user_blocks).alias("users"),
-        every_item_block.alias("items"),
-    )
-    links = pairs.select(
-        "source",
-        "item_id",
-        "sim",
-        "mass",
-        every_user_block.alias("users"),
-        block_of(F.col("item_id"), item_blocks).alias("items"),
+        "user_id", "item_id", "weight", "norm", block_of(F.col("user_id"), user_blocks).alias("users"), _every(item_blocks).alias("block")
     )
+    spread = links.withColumn("users", _every(user_blocks))
+    ratings, spread = (_one_task_per_tile(df, user_blocks * item_blocks, "users", "block") for df in (ratings, spread))
 
     def best(scores):
         above = scores > 0
@@ -159,28 +166,28 @@ def candidate_scores(
         edge = np.partition(scores, -k, axis=1)[:, -k]
         return above & (scores >= edge[:, None] - tolerance)
 
-    def multiply(key, rated: pd.DataFrame, linked: pd.DataFrame) -> pd.DataFrame:
-        names = ["user_id", "item_id", "item_score", "user_score"]
+    def score(rated: pd.DataFrame, linked: pd.DataFrame) -> pd.DataFrame:
         if rated.empty or linked.empty:
-            return pd.DataFrame({name: [] for name in names})
-        users, user_at = np.unique(rated["user_id"].to_numpy(), return_inverse=True)
+            return pd.DataFrame(columns=["user_id", "item_id", "item_score", "user_score"], dtype="float64")
+        users, first, user_at = np.unique(rated["user_id"].to_numpy(), return_index=True, return_inverse=True)
+        norms = rated["norm"].to_numpy()[first]
         sources, source_at = np.unique(linked["source"].to_numpy(), return_inverse=True)
-        items, item_at = np.unique(linked["item_id"].to_numpy(), return_inverse=True)
+        source_at = np.repeat(source_at, linked["ids"].map(len).to_numpy())
+        items, item_at = np.unique(np.concatenate(linked["ids"].to_numpy()), return_inverse=True)
         rated_items = rated["item_id"].to_numpy()
-        weights = rated["weight"].to_numpy()
-        norms = np.ones(len(users))
-        norms[user_at] = rated["norm"].to_numpy()
 
         def placed(ids):
             at = np.minimum(np.searchsorted(ids, rated_items), len(ids) - 1)
             return ids[at] == rated_items, at
 
+        def matrix(name):
+            return _dense(source_at, item_at, np.concatenate(linked[name].to_numpy()), len(sources), len(items))
+
         known, at = placed(sources)
-        ratings_matrix = _dense(user_at[known], at[known], weights[known], len(users), len(sources))
+        cells = user_at[known], at[known], rated["weight"].to_numpy()[known], len(users)
         seen, seen_at = placed(items)
-        wide = (len(sources), len(items))
-        by_item = ratings_matrix @ _dense(source_at, item_at, linked["sim"].to_numpy(), *wide)
-        by_user = (ratings_matrix / norms[:, None]) @ _dense(source_at, item_at, linked["mass"].to_numpy(), *wide)
+        by_item = _times(*cells, matrix("sims"))
+        by_user = _times(*cells, matrix("masses")) / norms[:, None]
         for scores in (by_item, by_user):
             scores[user_at[seen], seen_at[seen]] = -np.inf
         row, column = np.nonzero(best(by_item) | best(by_user))
@@ -194,7 +201,7 @@ def candidate_scores(
         )
 
     return (
-        ratings.groupBy("users", "items")
-        .cogroup(links.groupBy("users", "items"))
-        .applyInPandas(multiply, "user_id bigint, item_id bigint, item_score double, user_score double")
+        ratings.groupBy("users", "block")
+        .cogroup(spread.groupBy("users", "block"))
+        .applyInPandas(score, "user_id bigint, item_id bigint, item_score double, user_score double")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.behavior import behavior_col, behavior_weight
 from clickloom.functions.rates import ratio
-from clickloom.operators.products import candidate_scores, pair_products
+from clickloom.operators.products import as_pairs, candidate_scores, similar_entities
 from clickloom.operators.ranking import heaviest_cell, number_rows, top_k, top_per_group
 from clickloom.schema import (
     HOT_ITEMS,
@@ -91,65 +91,53 @@ def matrix_stats(model: RatingModel) -> DataFrame:
     return sizes.withColumn("density", ratio(F.col("cells"), F.col("n_users") * F.col("n_items")))
 
 
-def _squares(cells: DataFrame, entity: str) -> DataFrame:
-    return cells.groupBy(entity).agg(F.sum(F.col("weight") * F.col("weight")).alias("square"))
+def _squares(cells: DataFrame, entity: str, limit: int) -> DataFrame:
+    squares = cells.groupBy(entity).agg(F.sum(F.col("weight") * F.col("weight")).alias("square"))
+    return _small(squares, limit)
 
 
 def _with_norms(model: RatingModel) -> DataFrame:
-    """Cells with the user's norm and the weight divided by it."""
-    squares = _small(_squares(model.cells, "user_id"), model.max_users)
-    normed = model.cells.join(squares, "user_id")
-    return normed.select(
-        "user_id",
-        "item_id",
-        F.col("weight").cast("double").alias("weight"),
-        F.sqrt("square").alias("norm"),
-        (F.col("weight") / F.sqrt("square")).alias("scaled"),
+    """Cells with the norm of their user."""
+    normed = model.cells.join(_squares(model.cells, "user_id", model.max_users), "user_id")
+    return normed.select("user_id", "item_id", F.col("weight").cast("double").alias("weight"), F.sqrt("square").alias("norm"))
+
+
+def _item_links(model: RatingModel) -> DataFrame:
+    """Neighbours of every item, with cosine and the mass that user-based scores need."""
+    cells = _with_norms(model).join(_squares(model.cells, "item_id", model.max_items), "item_id")
+    named = cells.select(
+        F.col("item_id").alias("entity"),
+        F.col("user_id").alias("shared"),
+        "weight",
+        (F.col("weight") / F.col("norm")).alias("scaled"),
+        F.col("square").cast("double").alias("square"),
     )
-
-
-def _cosine(dot: Column, left_square: Column, right_square: Column) -> Column:
-    return dot / F.sqrt(left_square.cast("double") * right_square.cast("double"))
-
-
-def _similar(products: DataFrame, squares: DataFrame, entity: str, limit: int) -> DataFrame:
-    """Pair sums with the cosine of both sides."""
-    left = squares.select(F.col(entity).alias("left_id"), F.col("square").alias("left_square"))
-    right = squares.select(F.col(entity).alias("right_id"), F.col("square").alias("right_square"))
-    joined = products.join(_small(left, limit), "left_id").join(_small(right, limit), "right_id")
-    cosine = _cosine(F.col("dot"), F.col("left_square"), F.col("right_square"))
-    return joined.select("left_id", "right_id", cosine.alias("sim"), "dot", "mass")
+    return similar_entities(named, model.max_items, model.max_users)
 
 
 def item_similarity(model: RatingModel) -> DataFrame:
     """Cosine of every two items with a common user: item_a < item_b, sim. The diagonal is absent."""
-    return _item_pairs(model).select(F.col("left_id").alias("item_a"), F.col("right_id").alias("item_b"), "sim")
-
-
-def _item_pairs(model: RatingModel) -> DataFrame:
-    products = pair_products(_with_norms(model), "item_id", "user_id", model.max_items, model.max_users)
-    return _similar(products, _squares(model.cells, "item_id"), "item_id", model.max_items)
+    return as_pairs(_item_links(model)).toDF("item_a", "item_b", "sim")
 
 
 def user_similarity(model: RatingModel) -> DataFrame:
     """Cosine of every two users with a common item: user_a < user_b, sim. The diagonal is absent."""
-    plain = model.cells.select("user_id", "item_id", F.col("weight").cast("double").alias("weight"))
-    plain = plain.withColumn("scaled", F.col("weight"))
-    products = pair_products(plain, "user_id", "item_id", model.max_users, model.max_items)
-    similar = _similar(products, _squares(model.cells, "user_id"), "user_id", model.max_users)
-    return similar.select(F.col("left_id").alias("user_a"), F.col("right_id").alias("user_b"), "sim")
+    weight = F.col("weight").cast("double")
+    cells = model.cells.join(_squares(model.cells, "user_id", model.max_users), "user_id").select(
+        F.col("user_id").alias("entity"),
+        F.col("item_id").alias("shared"),
+        weight.alias("weight"),
+        weight.alias("scaled"),
+        F.col("square").cast("double").alias("square"),
+    )
+    return as_pairs(similar_entities(cells, model.max_users, model.max_items)).toDF("user_a", "user_b", "sim")
 
 
 def _scores(model: RatingModel, users: DataFrame | None, k: int | None) -> DataFrame:
-    both = F.array(
-        F.struct(F.col("left_id").alias("source"), F.col("right_id").alias("item_id")),
-        F.struct(F.col("right_id").alias("source"), F.col("left_id").alias("item_id")),
-    )
-    pairs = _item_pairs(model).select(F.inline(both), "sim", "mass")
     rated = _with_norms(model)
     if users is not None:
         rated = rated.join(_small(users, model.max_users), "user_id", "left_semi")
-    return candidate_scores(rated, pairs, model.max_items, model.max_users, k)
+    return candidate_scores(rated, _item_links(model), model.max_items, model.max_users, k)
 
 
 def score_matrix(model: RatingModel) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.behavior import behavior_col
@@ -13,7 +13,7 @@ from clickloom.operators.quality import compare_grouped
 from clickloom.operators.ranking import top_k
 from clickloom.operators.rollup import people, people_with, regroup, user_rollup
 from clickloom.plans.metrics import category_heat, funnel_layers, traffic
-from clickloom.sources.tables import read_table, write_partitioned, write_table
+from clickloom.sources.tables import write_partitioned, write_table
 
 
 def hourly_rollup(dwd: DataFrame) -> DataFrame:
@@ -84,7 +84,7 @@ def reconcile_hours(source: DataFrame, dwd: DataFrame) -> DataFrame:
 LAYERS = ("ods", "dwd", "rollup", "dws", "ads_hourly", "ads_category", "ads_funnel")
 
 
-def build_warehouse(spark: SparkSession, raw: DataFrame, root: str) -> dict[str, str]:
+def build_warehouse(raw: DataFrame, root: str) -> dict[str, str]:
     """Write all layers below ``root``; each layer reads only what the layer before it wrote."""
     paths = {name: f"{root.rstrip('/')}/{name}" for name in LAYERS}
     ods = write_table(to_ods(raw), paths["ods"])
@@ -95,7 +95,3 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str) -> dict[str,
     write_table(ads_category(dwd), paths["ads_category"])
     write_table(funnel_layers(regroup(rollup)), paths["ads_funnel"])
     return paths
-
-
-def open_layers(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    return {name: read_table(spark, path) for name, path in paths.items()}
