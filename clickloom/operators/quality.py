@@ -12,6 +12,9 @@ from clickloom.operators.cleaning import in_range, with_datetime
 from clickloom.schema import CLEAN_FROM, CLEAN_UNTIL, ODS_COLUMNS
 
 
+SKETCH_ACCURACY = 10_000  # rank error of an approximate quantile: rows / accuracy
+
+
 class EmptyLoadError(RuntimeError):
     """A load that must bring rows brought none."""
 
@@ -149,63 +152,60 @@ def frame_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     return signed.groupBy(*names).agg(F.sum("surplus").alias("surplus")).where(F.col("surplus") != 0)
 
 
-def describe_values(df: DataFrame, columns: list[str], quantiles=(0.25, 0.5, 0.75), buckets: int = 200) -> DataFrame:
+def describe_values(df: DataFrame, columns: list[str], quantiles=(0.25, 0.5, 0.75)) -> DataFrame:
     """count, mean, std, min, exact quartiles (linear interpolation) and max per numeric column.
 
-    Quartiles stay exact without bringing a column to one task: values are pre-counted, cut into
-    buckets at approximate quantiles, and only inside the buckets that hold a wanted rank are the
-    values put in order. A frequent value is one row by then."""
+    Two scans and no sort of the data. The first brackets every quantile between two approximate
+    ones, a few times the sketch's guaranteed rank error apart. The second counts the rows below a
+    bracket and the values inside it, combined before the shuffle; the wanted ranks are then found
+    among these few values. A rank outside its bracket is an error, never a wrong number."""
     whole = all(isinstance(df.schema[name].dataType, T.IntegralType) for name in columns)
     kind = "bigint" if whole else "double"
     long = df.select(*[F.col(name).cast(kind).alias(name) for name in columns]).unpivot(
         [], columns, "column_name", "value"
     )
     long = long.where(F.col("value").isNotNull())
-    counted = long.groupBy("column_name", "value").agg(F.count("*").alias("n"))
-
-    marks = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    basic = long.groupBy("column_name").agg(
+    margin = 4 / SKETCH_ACCURACY
+    marks = [min(1.0, max(0.0, q + side)) for q in quantiles for side in (-margin, margin)]
+    summary = long.groupBy("column_name").agg(
         F.count("*").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").cast("double").alias("min"),
         F.max("value").cast("double").alias("max"),
-        F.percentile_approx("value", marks, F.lit(10000)).alias("edges"),
-    )
-    # one row per column: a proven bound for the broadcast
-    edges = F.broadcast(basic.select("column_name", "edges"))
-    below = F.size(F.filter("edges", lambda edge: edge < F.col("value")))
-    bucketed = counted.join(edges, "column_name").select("column_name", "value", "n", below.alias("bucket"))
-
-    sizes = bucketed.groupBy("column_name", "bucket").agg(F.sum("n").alias("size"))
-    before = Window.partitionBy("column_name").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    position = (F.col("count") - 1) * F.col("q")
-    wanted = (
-        basic.select("column_name", "count", F.explode(F.array(*[F.lit(q) for q in quantiles])).alias("q"))
-        .select("column_name", "q", (position - F.floor(position)).alias("part"), F.floor(position).alias("low"))
-        .select("column_name", "q", "part", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"), "low")
-        .withColumn("place", F.col("low") + F.when(F.col("part") > 0, F.col("side")).otherwise(0))
+        F.percentile_approx("value", F.array(*map(F.lit, marks)), F.lit(SKETCH_ACCURACY)).alias("marks"),
     )
-    # at most buckets rows per column on one side and two rows per quantile on the other
-    homes = starts.join(wanted, "column_name").where(
-        (F.col("place") >= F.col("start")) & (F.col("place") < F.col("start") + F.col("size"))
+    stats = ["column_name", "count", "mean", "std", "min", "max"]
+
+    def near(place, q):
+        low, high = F.col("marks")[2 * place], F.col("marks")[2 * place + 1]
+        inside = F.when(F.col("value") >= low, F.col("value"))
+        return F.when(F.col("value") <= high, F.struct(F.lit(q).alias("q"), inside.alias("near")))
+
+    # the broadcast side has one row per described column
+    brackets = F.array_compact(F.array(*[near(place, q) for place, q in enumerate(quantiles)]))
+    counted = (
+        long.join(F.broadcast(summary), "column_name")
+        .select(*stats, F.inline(brackets))
+        .groupBy(*stats, "q", "near")
+        .agg(F.count("*").alias("n"))
     )
-    upto = Window.partitionBy("column_name", "bucket", "q", "side").orderBy("value")
-    upto = upto.rowsBetween(Window.unboundedPreceding, 0)
-    found = (
-        bucketed.join(
-            F.broadcast(homes.select("column_name", "bucket", "start", "q", "side", "part", "place")),
-            ["column_name", "bucket"],
-        )
-        .withColumn("upto", F.col("start") + F.sum("n").over(upto))
-        .where((F.col("place") >= F.col("upto") - F.col("n")) & (F.col("place") < F.col("upto")))
+    # rows below the bracket are one NULL entry, which comes first
+    order = Window.partitionBy("column_name", "q").orderBy(F.asc_nulls_first("near"))
+    placed = counted.withColumn("upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    position = (F.col("count") - 1) * F.col("q")
+
+    def value_at(place):
+        return F.max(F.when((place >= F.col("upto") - F.col("n")) & (place < F.col("upto")), F.col("near").cast("double")))
+
+    found = placed.groupBy(*stats, "q").agg(
+        value_at(F.floor(position)).alias("low"), value_at(F.ceil(position)).alias("high")
     )
-    weight = F.when(F.col("side") == 0, 1 - F.col("part")).otherwise(F.col("part"))
+    part = position - F.floor(position)
+    lost = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+    point = F.coalesce(F.col("low") + (F.col("high") - F.col("low")) * part, lost)
     labels = {q: f"p{round(q * 100)}" for q in quantiles}
-    points = found.groupBy("column_name").agg(
-        *[F.sum(F.when(F.col("q") == q, F.col("value") * weight)).alias(label) for q, label in labels.items()]
-    )
-    return basic.join(points, "column_name", "left").select(
-        "column_name", "count", "mean", "std", "min", *labels.values(), "max"
+    described = found.withColumn("point", point).groupBy(*stats).agg(
+        *[F.max(F.when(F.col("q") == q, F.col("point"))).alias(label) for q, label in labels.items()]
     )
+    return described.select("column_name", "count", "mean", "std", "min", *labels.values(), "max")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.behavior import choose
@@ -19,16 +19,20 @@ def open_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/events.parquet")
 
 
+def _item() -> Column:
+    return F.get_json_object("props", "$.k").cast("bigint")
+
+
 def behavior_from_events(events: DataFrame, legal_only: bool = False, *extra: str) -> DataFrame:
     """Events as a behaviour log. Types without a behaviour stay as they are, an illegal enum value,
     unless ``legal_only``, where the filter is on the source column and reaches the scan.
-    ``extra`` source columns are kept."""
+    ``extra`` source columns are kept, an ``item_id`` that is already there is used."""
     if legal_only:
         events = events.where(F.col("event_type").isin(*EVENT_BEHAVIORS))
     named = events.select(
         *extra,
         "user_id",
-        F.get_json_object("props", "$.k").cast("bigint").alias("item_id"),
+        "item_id" if "item_id" in events.columns else _item().alias("item_id"),
         choose(F.col("event_type"), EVENT_BEHAVIORS, F.col("event_type")).alias("behavior_type"),
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("timestamp"),
     )
@@ -50,8 +54,9 @@ def behavior(spark: SparkSession, folder: str, legal_only: bool = True) -> DataF
 def dirty_landing(spark: SparkSession, folder: str) -> DataFrame:
     """Events as landed text with repeated rows, blank users and missing items."""
     events = open_events(spark, folder)
-    copied = F.when(F.col("event_id") % 50 == 0, 2).otherwise(1)
-    repeated = events.withColumn("copy", F.explode(F.sequence(F.lit(1), copied))).drop("copy")
+    copies = F.when(F.col("event_id") % 50 == 0, 2).otherwise(1)
+    # parsed inside the generator, so that no later filter repeats the parsing
+    repeated = events.select("*", F.inline(F.array_repeat(F.struct(_item().alias("item_id")), copies)))
     marked = behavior_from_events(repeated, False, "event_id")
     texts = marked.select("event_id", *[F.col(name).cast("string").alias(name) for name in ODS_COLUMNS])
     return texts.select(
