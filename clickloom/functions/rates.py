@@ -34,5 +34,5 @@ def people_label(count: Column, share: Column | None = None) -> Column:
 
 
 def points_label(points: Column) -> Column:
-    """Signed difference in percentage points, ``+0.12pct``."""
-    return F.format_string("%+.2fpct", points)
+    """Signed difference in percentage points, ``+0.12pct``; NULL for an undefined one."""
+    return F.when(points.isNotNull(), F.format_string("%+.2fpct", points))

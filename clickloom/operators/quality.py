@@ -13,6 +13,7 @@ from clickloom.schema import CLEAN_FROM, CLEAN_UNTIL, ODS_COLUMNS
 
 
 SKETCH_ACCURACY = 10_000  # rank error of an approximate quantile: rows / accuracy
+FEW_ROWS = 100_000  # up to here a bracket is the whole range; above, its margin spans dozens of ranks
 
 
 class EmptyLoadError(RuntimeError):
@@ -171,14 +172,16 @@ def describe_values(df: DataFrame, columns: list[str], quantiles=(0.25, 0.5, 0.7
         F.count("*").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
-        F.min("value").cast("double").alias("min"),
-        F.max("value").cast("double").alias("max"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
         F.percentile_approx("value", F.array(*map(F.lit, marks)), F.lit(SKETCH_ACCURACY)).alias("marks"),
     )
     stats = ["column_name", "count", "mean", "std", "min", "max"]
 
     def near(place, q):
-        low, high = F.col("marks")[2 * place], F.col("marks")[2 * place + 1]
+        many = F.col("count") > FEW_ROWS
+        low = F.when(many, F.col("marks")[2 * place]).otherwise(F.col("min"))
+        high = F.when(many, F.col("marks")[2 * place + 1]).otherwise(F.col("max"))
         inside = F.when(F.col("value") >= low, F.col("value"))
         return F.when(F.col("value") <= high, F.struct(F.lit(q).alias("q"), inside.alias("near")))
 
@@ -208,4 +211,5 @@ def describe_values(df: DataFrame, columns: list[str], quantiles=(0.25, 0.5, 0.7
     described = found.withColumn("point", point).groupBy(*stats).agg(
         *[F.max(F.when(F.col("q") == q, F.col("point"))).alias(label) for q, label in labels.items()]
     )
-    return described.select("column_name", "count", "mean", "std", "min", *labels.values(), "max")
+    low, high = F.col("min").cast("double").alias("min"), F.col("max").cast("double").alias("max")
+    return described.select("column_name", "count", "mean", "std", low, *labels.values(), high)
