@@ -76,7 +76,7 @@ def _times(rows, columns, values, n_rows, dense):
     return result
 
 
-def _multiply_blocks(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _multiply_blocks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """One tile: the cells of blocks ``low`` and ``high`` -> links from each id to ids of the other block."""
     low, high = key
     shared, shared_at = np.unique(rows["shared"].to_numpy(), return_inverse=True)
