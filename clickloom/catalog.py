@@ -320,6 +320,11 @@ def buy_detail(spark, folder):
     return metrics.buy_detail(adapters.behavior(spark, folder))
 
 
+@query
+def detail_preview(spark, folder):
+    return metrics.detail_preview(cleaning.slice_behavior(adapters.behavior(spark, folder), SLICE_HOURS, SLICE_BEHAVIORS))
+
+
 @query
 def gmv_daily(spark, folder):
     return metrics.gmv_daily(adapters.order_log(spark, folder), adapters.PAID_STATUS)

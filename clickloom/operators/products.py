@@ -43,8 +43,8 @@ def block_of(column: Column, count: int) -> Column:
 
 
 def _one_task_per_tile(df: DataFrame, tiles: int, *key: str) -> DataFrame:
-    """Partition by tile, finely enough that two tiles rarely share a task."""
-    return df.repartition(2 * tiles, *key)
+    """As many partitions as tiles, so that a task holds few of them."""
+    return df.repartition(tiles, *key)
 
 
 def _every(count: int) -> Column:

@@ -13,7 +13,7 @@ from clickloom.schema import CLEAN_FROM, CLEAN_UNTIL, ODS_COLUMNS
 
 
 SKETCH_ACCURACY = 10_000  # rank error of an approximate quantile: rows / accuracy
-FEW_ROWS = 100_000  # up to here a bracket is the whole range; above, its margin spans dozens of ranks
+FEW_ROWS = 20_000  # up to here a bracket is the whole range; above, its margin is at least eight ranks
 
 
 class EmptyLoadError(RuntimeError):
@@ -24,8 +24,12 @@ def audit_lines(lines: DataFrame) -> DataFrame:
     """Raw text lines: rows and rows per behaviour among lines of exactly five fields."""
     fields = F.split(F.rtrim(F.col("value")), ",")
     parts = lines.select(fields.alias("fields")).where(F.size("fields") == 5)
-    counted = parts.groupBy(F.col("fields")[3].alias("behavior_type")).agg(F.count("*").alias("cnt"))
-    return counted.select("behavior_type", "cnt", F.sum("cnt").over(Window.partitionBy()).alias("total"))
+    return _with_total(parts.groupBy(F.col("fields")[3].alias("behavior_type")).agg(F.count("*").alias("cnt")))
+
+
+def _with_total(counted: DataFrame) -> DataFrame:
+    """Counts and their sum, a scalar subquery: a dirty log may have any number of groups."""
+    return counted.withColumn("total", counted.select(F.sum("cnt")).scalar())
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
@@ -107,9 +111,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def load_verification(loaded: DataFrame) -> DataFrame:
     """Row count and rows per behaviour of a table read back after a load."""
-    counted = value_counts(loaded, "behavior_type")
-    share = F.sum("cnt").over(Window.partitionBy())
-    return counted.select("behavior_type", "cnt", share.alias("total"))
+    return _with_total(value_counts(loaded, "behavior_type"))
 
 
 def require_rows(loaded: DataFrame) -> DataFrame:

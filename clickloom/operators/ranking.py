@@ -12,6 +12,11 @@ def top_k(df: DataFrame, k: int | None, by: list[str], tie: str) -> DataFrame:
     return ordered if k is None else ordered.limit(k)
 
 
+def preview(df: DataFrame, rows: int, by: list[str] | None = None) -> DataFrame:
+    """The first rows in a stated order (default: by all columns), for display."""
+    return df.orderBy(*(by or df.columns)).limit(rows)
+
+
 def number_rows(df: DataFrame, by: list[str], tie: str, name: str = "rank") -> DataFrame:
     """Number a result that a top-k already made small."""
     order = Window.orderBy(*[F.desc(column) for column in by], F.asc(tie))

@@ -304,6 +304,9 @@ g AS (SELECT u.user_id, k.behavior_type, k.place, count(e.event_id) AS cnt FROM
 SELECT user_id, behavior_type, cnt, CAST(coalesce(sum(cnt) OVER (PARTITION BY user_id ORDER BY place
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS bottom FROM g""",
     "buy_detail": f"WITH {_EVENTS} SELECT user_id, item_id, category_id, datetime FROM e WHERE behavior_type = 'buy'",
+    "detail_preview": f"""WITH {_EVENTS} SELECT user_id, item_id, category_id, behavior_name, datetime FROM e
+JOIN {_BEHAVIOR_ROWS} USING (behavior_type) WHERE {_SLICE} AND behavior_type IN ('pv', 'buy')
+ORDER BY user_id, datetime, item_id, behavior_name LIMIT 1000""",
     "gmv_daily": """WITH d AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS dt, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS gmv,
   count(DISTINCT o_orderkey) AS order_cnt, count(DISTINCT o_custkey) AS pay_users FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
 SELECT dt, CAST(gmv AS DOUBLE) AS gmv, order_cnt, pay_users,

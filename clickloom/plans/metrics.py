@@ -16,11 +16,12 @@ from clickloom.functions.behavior import (
 from clickloom.functions.rates import people_label, percent, points_label, ratio, ratio_or_zero
 from clickloom.functions.time import day_of, hour_of
 from clickloom.operators.cleaning import slice_condition
-from clickloom.operators.ranking import top_k
+from clickloom.operators.ranking import preview, top_k
 from clickloom.operators.rollup import people, people_with, total, user_rollup
 from clickloom.schema import (
     BEHAVIORS,
     COUNT_FUNNEL_STAGES,
+    DETAIL_ROWS,
     FUNNEL_LAYERS,
     FUNNEL_STAGES,
     MERGED_FUNNEL_STAGES,
@@ -238,6 +239,12 @@ def buy_detail(df: DataFrame) -> DataFrame:
     return df.where(behavior_col() == "buy").select("user_id", "item_id", "category_id", "datetime")
 
 
+def detail_preview(df: DataFrame, rows: int = DETAIL_ROWS) -> DataFrame:
+    """The first rows of a slice for display, with behaviour names."""
+    named = df.select("user_id", "item_id", "category_id", behavior_name(behavior_col()).alias("behavior_name"), "datetime")
+    return preview(named, rows, ["user_id", "datetime", "item_id", "behavior_name"])
+
+
 def _slice_and_whole(df: DataFrame, inside: Column) -> DataFrame:
     """Counters of a slice (``cur_*``) and of the whole log (``base_*``) from one scan."""
     per_user = df.groupBy("user_id").agg(*counters(prefix="base_"), *counters(inside, "cur_"))

@@ -170,10 +170,10 @@ def recommendation_table(model: RatingModel, users: int = TABLE_USERS, k: int =
 def leave_one_out(model: RatingModel, min_cells: int = 3) -> tuple[RatingModel, DataFrame]:
     """Hide the heaviest cell of every user with enough cells: (training model, hidden cells).
 
-    At most one hidden cell per user of the model."""
-    hidden = heaviest_cell(model.cells, min_cells)
+    At most one hidden cell per user of the model. Both have many readers and are written once."""
+    hidden = materialize(heaviest_cell(model.cells, min_cells), "hidden")
     kept = model.cells.join(_small(hidden, model.max_users), ["user_id", "item_id"], "left_anti")
-    return model.with_cells(kept), hidden
+    return model.with_cells(materialize(kept, "training")), hidden
 
 
 def evaluate(model: RatingModel, k: int = TOP_K, min_cells: int = 3) -> DataFrame:

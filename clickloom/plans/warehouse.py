@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,8 +92,15 @@ def build_warehouse(raw: DataFrame, root: str) -> dict[str, str]:
     ods = write_table(to_ods(raw), paths["ods"])
     dwd = write_partitioned(to_dwd(ods), paths["dwd"], "dt", sort_by=["user_id", "datetime"])
     rollup = write_table(hourly_rollup(dwd), paths["rollup"])
-    write_table(daily_from_rollup(regroup(rollup, "dt")), paths["dws"])
-    write_table(_rated_hours(rollup, "dt", "hour"), paths["ads_hourly"])
-    write_table(ads_category(dwd), paths["ads_category"])
-    write_table(funnel_layers(regroup(rollup)), paths["ads_funnel"])
+    reports = {
+        "dws": daily_from_rollup(regroup(rollup, "dt")),
+        "ads_hourly": _rated_hours(rollup, "dt", "hour"),
+        "ads_category": ads_category(dwd),
+        "ads_funnel": funnel_layers(regroup(rollup)),
+    }
+    # independent jobs share the executors instead of waiting for each other's last task
+    with ThreadPoolExecutor(len(reports)) as pool:
+        written = [pool.submit(write_table, report, paths[name]) for name, report in reports.items()]
+    for job in written:
+        job.result()
     return paths

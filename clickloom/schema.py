@@ -64,6 +64,7 @@ PEOPLE_UNIT = "人"
 CLEAN_FROM = "2017-11-25"
 CLEAN_UNTIL = "2017-12-04"
 
+DETAIL_ROWS = 1000
 MIN_ITEM_USERS = 2
 MIN_USER_ACTIONS = 2
 MAX_MODEL_ITEMS = 4000

@@ -52,8 +52,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in one subfolder per application so that it can be
+    removed as a whole when the application is over."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/clickloom-{application}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

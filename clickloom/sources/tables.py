@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,6 +76,8 @@ def first_available(*candidates) -> tuple[DataFrame, str]:
             if not df.isEmpty():
                 return df, label
             problems.append(f"{label}: no rows")
-        except AnalysisException as error:
+        except PySparkException as error:
             problems.append(f"{label}: {error.getCondition() or 'not readable'}")
+        except Py4JJavaError as error:  # a JDBC driver's own errors
+            problems.append(f"{label}: {error.java_exception.getClass().getSimpleName()}")
     raise FileNotFoundError("; ".join(problems))
