@@ -12,8 +12,8 @@ from clickloom.operators.cleaning import in_range, with_datetime
 from clickloom.schema import CLEAN_FROM, CLEAN_UNTIL, ODS_COLUMNS
 
 
-SKETCH_ACCURACY = 10_000  # rank error of an approximate quantile: rows / accuracy
-FEW_ROWS = 20_000  # up to here a bracket is the whole range; above, its margin is at least eight ranks
+SKETCH_ACCURACY = 100_000  # rank error of an approximate quantile: rows / accuracy
+FEW_ROWS = 200_000  # up to here a bracket is the whole range; above, its margin is at least eight ranks
 
 
 class EmptyLoadError(RuntimeError):
@@ -159,15 +159,17 @@ def describe_values(df: DataFrame, columns: list[str], quantiles=(0.25, 0.5, 0.7
     """count, mean, std, min, exact quartiles (linear interpolation) and max per numeric column.
 
     Two scans and no sort of the data. The first brackets every quantile between two approximate
-    ones, a few times the sketch's guaranteed rank error apart. The second counts the rows below a
-    bracket and the values inside it, combined before the shuffle; the wanted ranks are then found
-    among these few values. A rank outside its bracket is an error, never a wrong number."""
+    ones, a few times the sketch's guaranteed rank error apart. The second counts the rows between
+    the brackets, one group each, and the values inside them; all of it is combined before the
+    shuffle. The wanted ranks are then found among these few values. A rank outside its bracket is
+    an error, never a wrong number."""
     whole = all(isinstance(df.schema[name].dataType, T.IntegralType) for name in columns)
     kind = "bigint" if whole else "double"
     long = df.select(*[F.col(name).cast(kind).alias(name) for name in columns]).unpivot(
         [], columns, "column_name", "value"
     )
     long = long.where(F.col("value").isNotNull())
+    quantiles, value = sorted(quantiles), F.col("value")
     margin = 4 / SKETCH_ACCURACY
     marks = [min(1.0, max(0.0, q + side)) for q in quantiles for side in (-margin, margin)]
     summary = long.groupBy("column_name").agg(
@@ -178,40 +180,37 @@ def describe_values(df: DataFrame, columns: list[str], quantiles=(0.25, 0.5, 0.7
         F.max("value").alias("max"),
         F.percentile_approx("value", F.array(*map(F.lit, marks)), F.lit(SKETCH_ACCURACY)).alias("marks"),
     )
-    stats = ["column_name", "count", "mean", "std", "min", "max"]
-
-    def near(place, q):
-        many = F.col("count") > FEW_ROWS
-        low = F.when(many, F.col("marks")[2 * place]).otherwise(F.col("min"))
-        high = F.when(many, F.col("marks")[2 * place + 1]).otherwise(F.col("max"))
-        inside = F.when(F.col("value") >= low, F.col("value"))
-        return F.when(F.col("value") <= high, F.struct(F.lit(q).alias("q"), inside.alias("near")))
-
+    stats = ["count", "mean", "std", "min", "max"]
+    many = F.col("count") > FEW_ROWS
+    edges = []
+    for place in range(len(quantiles)):
+        edges.append(F.when(many, F.col("marks")[2 * place]).otherwise(F.col("min")).alias(f"low{place}"))
+        edges.append(F.when(many, F.col("marks")[2 * place + 1]).otherwise(F.col("max")).alias(f"high{place}"))
     # the broadcast side has one row per described column
-    brackets = F.array_compact(F.array(*[near(place, q) for place, q in enumerate(quantiles)]))
-    counted = (
-        long.join(F.broadcast(summary), "column_name")
-        .select(*stats, F.inline(brackets))
-        .groupBy(*stats, "q", "near")
-        .agg(F.count("*").alias("n"))
+    bracketed = long.join(F.broadcast(summary.select("column_name", *stats, *edges)), "column_name")
+
+    inside, passed = F.lit(False), F.lit(0)
+    for place in range(len(quantiles)):
+        inside = inside | value.between(F.col(f"low{place}"), F.col(f"high{place}"))
+        passed = passed + (value > F.col(f"high{place}")).cast("int")
+    counted = bracketed.groupBy("column_name", passed.alias("passed"), F.when(inside, value).alias("near")).agg(
+        F.count("*").alias("n"), *[F.first(name).alias(name) for name in stats]
     )
-    # rows below the bracket are one NULL entry, which comes first
-    order = Window.partitionBy("column_name", "q").orderBy(F.asc_nulls_first("near"))
+    # rows in front of a bracket are one NULL entry, which comes before the values of the bracket
+    order = Window.partitionBy("column_name").orderBy("passed", F.asc_nulls_first("near"))
     placed = counted.withColumn("upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    position = (F.col("count") - 1) * F.col("q")
 
     def value_at(place):
-        return F.max(F.when((place >= F.col("upto") - F.col("n")) & (place < F.col("upto")), F.col("near").cast("double")))
-
-    found = placed.groupBy(*stats, "q").agg(
-        value_at(F.floor(position)).alias("low"), value_at(F.ceil(position)).alias("high")
-    )
-    part = position - F.floor(position)
-    lost = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
-    point = F.coalesce(F.col("low") + (F.col("high") - F.col("low")) * part, lost)
-    labels = {q: f"p{round(q * 100)}" for q in quantiles}
-    described = found.withColumn("point", point).groupBy(*stats).agg(
-        *[F.max(F.when(F.col("q") == q, F.col("point"))).alias(label) for q, label in labels.items()]
-    )
-    low, high = F.col("min").cast("double").alias("min"), F.col("max").cast("double").alias("max")
-    return described.select("column_name", "count", "mean", "std", low, *labels.values(), high)
+        here = (place >= F.col("upto") - F.col("n")) & (place < F.col("upto"))
+        return F.max(F.when(here, F.col("near").cast("double")))
+
+    points = []
+    for q in quantiles:
+        position = (F.col("count") - 1) * q
+        low, high = value_at(F.floor(position)), value_at(F.ceil(position))
+        part = F.max(position - F.floor(position))
+        lost = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+        points.append(F.coalesce(low + (high - low) * part, lost).alias(f"p{round(q * 100)}"))
+    low, high = (F.first(name).cast("double").alias(name) for name in ("min", "max"))
+    known = [F.first(name).alias(name) for name in ("count", "mean", "std")]
+    return placed.groupBy("column_name").agg(*known, low, *points, high)

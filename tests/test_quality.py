@@ -41,13 +41,14 @@ def test_description_of_few_values(spark, values):
 
 def test_description_of_many_values_with_a_hot_one(spark):
     rng = np.random.default_rng(3)
-    few, many = rng.integers(0, 10**9, 40_000), rng.integers(-(10**9), 10**9, 130_000)
+    few, many = rng.integers(0, 10**9, 40_000), rng.integers(-(10**9), 10**9, 160_000)
     check_description(spark, [7] * 20_000 + few.tolist())
     check_description(spark, [7] * 60_000 + many.tolist())
 
 
 def test_brackets_are_used_and_hold_for_many_rows(spark, monkeypatch):
     monkeypatch.setattr(quality, "FEW_ROWS", 5_000)
+    monkeypatch.setattr(quality, "SKETCH_ACCURACY", 2_000)
     rng = np.random.default_rng(5)
     check_description(spark, rng.integers(0, 50, 60_000).tolist())
     check_description(spark, [1] * 40_000 + rng.integers(0, 10**6, 20_001).tolist())

@@ -71,12 +71,15 @@ def test_distinct_users_cost_no_expansion(spark, folder):
 def test_sliding_windows_spread_only_summed_rows(spark, folder):
     text = plan(queries()["sliding_30_1"](spark, folder))
     assert "Expand" not in text
-    tree = text.split("\n\n")[0]
-    # bottom-up: rows are combined per (pane, user) and shuffled before anything is spread
-    lines = [line for line in tree.splitlines() if "Scan parquet" not in line]
-    generate = max(i for i, line in enumerate(lines) if "Generate" in line)
-    assert any("Window" in line for line in lines)
-    assert sum("Exchange" in line for line in lines[generate:]) >= 1
+    tree = text.split("\n\n")[0].splitlines()
+    spread = next(i for i, line in enumerate(tree) if "Generate" in line and any("Window" in below for below in tree[i:]))
+    # below the spreading: combined per range, per user's pane in order, per (pane, user)
+    assert sum("Exchange" in line for line in tree[spread:]) >= 3
+
+
+def test_spine_is_the_only_other_generator(spark, folder):
+    text = plan(queries()["tumbling_5m"](spark, folder))
+    assert "Generate" not in text and "Expand" not in text
 
 
 def test_folder_without_events_fails(spark, tmp_path):
