@@ -412,7 +412,9 @@ def stream_user_windows(spark, folder):
 
 @query
 def stream_reconcile(spark, folder):
-    return jobs.reconcile_windows(_streamed(spark, folder), windows.tumbling_windows(adapters.behavior(spark, folder)))
+    """Streamed against recomputed windows; -1 stands for a window the stream has not closed."""
+    compared = jobs.reconcile_windows(_streamed(spark, folder), windows.tumbling_windows(adapters.behavior(spark, folder)))
+    return compared.na.fill(-1, [name for name in compared.columns if name.startswith("left_")])
 
 
 @query

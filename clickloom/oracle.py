@@ -345,7 +345,7 @@ SELECT {_STREAM_COLUMNS} FROM w WHERE {_CLOSED}""",
     "stream_reconcile": f"""WITH {_TUMBLING}, c AS (SELECT *, {_CLOSED} AS closed FROM w)
 SELECT window_start, """
     + ", ".join(
-        f"CASE WHEN closed THEN {name} END AS left_{name}, {name} AS right_{name}" for name in ("pv", "uv", "cart", "buy")
+        f"CASE WHEN closed THEN {name} ELSE -1 END AS left_{name}, {name} AS right_{name}" for name in ("pv", "uv", "cart", "buy")
     )
     + ", closed AS matches FROM c",
     "stream_upsert": f"WITH {_TUMBLING} SELECT {_STREAM_COLUMNS} FROM w WHERE {_CLOSED}",
