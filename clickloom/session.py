@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,15 +39,10 @@ def build_session(app: str = "clickloom", master: str | None = None, **conf) ->
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor sees, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own."""
+    A session without that setting uses a folder below its warehouse, which all executors share too."""
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="clickloom-"))
-    return context.getCheckpointDir().rstrip("/")
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate").rstrip("/")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
