@@ -319,7 +319,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, above: int = 80, of: int =
 
     placed = sketches.join(exact.withColumnRenamed("node", "digest"), "digest", "left")
     placed = placed.select("doc_id", "n_shingles", F.coalesce("root", "digest").alias("root"))
+    # Written, so that the join below meets two plain shuffles and can split the rows of a large component.
     least = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    least = materialize(least, "smallest")
     placed = placed.join(least, "root", "left")
     component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return placed.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
