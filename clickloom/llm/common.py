@@ -129,9 +129,10 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     while True:
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        lowest = materialize(lowest, name)  # so that the joins meet plain shuffles, of which large keys can be split
         hung = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        hung = hung.where("u <> v").distinct()
-        lowest = hung.groupBy("u").agg(F.min("v").alias("m"))
+        hung = materialize(hung.where("u <> v").distinct(), name)
+        lowest = materialize(hung.groupBy("u").agg(F.min("v").alias("m")), name)
         below = hung.join(lowest, "u")
         links = materialize(
             below.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
