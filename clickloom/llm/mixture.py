@@ -19,6 +19,8 @@ from clickloom.session import materialize
 
 #: Slices of the 60-bit hash for each source.
 SLICE_BITS = 12
+#: Sources whose plan, one row each, is broadcast; beyond it the plan is repeated for each salt of a plain join.
+BROADCAST_SOURCES, SALTS = 100_000, 64
 _HASH_BITS = 60
 
 
@@ -82,7 +84,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), epochs: int = 3,
     plan = named.join(limits, F.col("of_source").eqNullSafe(F.col("l")), "left")
     plan = plan.select("of_source", "source_size", "target", "whole", F.coalesce("last", F.lit(-1)).alias("last"))
 
-    out = sized.join(plan, F.col("source").eqNullSafe(F.col("of_source")))
+    plan = materialize(plan, "plan")
+    if plan.count() <= BROADCAST_SOURCES:
+        out = sized.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("of_source")))
+    else:  # a source's documents go to as many tasks as there are salts
+        plan = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        out = sized.join(plan, F.col("source").eqNullSafe(F.col("of_source")) & (F.pmod("_u", F.lit(SALTS)) == F.col("salt")))
     repeats = F.when(F.col("source_size") > 0, F.col("whole") + F.when(F.col("_u") <= F.col("last"), 1).otherwise(0)).otherwise(0)
     out = out.withColumn("repeats", repeats.cast("int")).withColumn("taken", F.col("size") * F.col("repeats"))
     return out.select(*docs.columns, *added)
