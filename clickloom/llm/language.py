@@ -103,7 +103,8 @@ def training_rows(docs: DataFrame, per_language: int = SAMPLE) -> list:
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
     counts = usable.groupBy("lang").agg(F.count("*").alias("n"))
     share = F.lit(2.0**63) * F.least(F.lit(per_language) / F.col("n"), F.lit(1.0))
-    picked = usable.join(counts, "lang").where(F.abs(F.xxhash64("text")).cast("double") <= share)
+    # One row for each language, as the model has one regression for each: texts are not dealt by language.
+    picked = usable.join(F.broadcast(counts), "lang").where(F.abs(F.xxhash64("text")).cast("double") <= share)
     # Copies of one text share a hash, so a large group of them counts once.
     picked = picked.select("text", "lang").distinct()
     return sorted(picked.collect(), key=lambda row: (row.lang, row.text))
