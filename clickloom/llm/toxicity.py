@@ -109,8 +109,11 @@ class Model:
         # Midway to the next value below, if texts of the same value are not parted.
         ends = np.flatnonzero(np.append(np.diff(value[order]) < 0, True))
         k = ends[f1[ends].argmax()]
-        below = value[order][k + 1] if k + 1 < len(value) else value[order][k] - 1
-        self.shift = math.log(THRESHOLD / (1 - THRESHOLD)) - (value[order][k] + below) / 2
+        if k + 1 < len(value):
+            cut = (value[order][k] + value[order][k + 1]) / 2
+        else:  # the best that can be done is to call all toxic: nothing was learnt, so nothing is
+            cut = value.max() + 1
+        self.shift = math.log(THRESHOLD / (1 - THRESHOLD)) - cut
         self.shared, self.toxic = self._dictionaries(toxic, ordinary)
         self.compressors = None
 
