@@ -201,7 +201,7 @@ def ads_category(spark, folder):
 
 @query
 def ads_funnel(spark, folder):
-    return warehouse.ads_funnel(cleaning.to_dwd(cleaning.to_ods(adapters.recent_behavior(spark, folder))))
+    return warehouse.ads_funnel(cleaning.to_dwd(cleaning.to_ods(adapters.behavior(spark, folder))))
 
 
 @query
@@ -261,23 +261,22 @@ def hour_behavior(spark, folder):
 
 @query
 def behavior_mix(spark, folder):
-    chosen = cleaning.slice_behavior(adapters.behavior(spark, folder), behaviors=["pv", "fav", "buy"])
-    return metrics.behavior_mix(chosen, fill_missing=True)
+    return metrics.behavior_mix(adapters.behavior(spark, folder), fill_missing=True)
 
 
 @query
 def funnel_wide(spark, folder):
-    return metrics.funnel_wide(adapters.recent_behavior(spark, folder))
+    return metrics.funnel_wide(adapters.behavior(spark, folder))
 
 
 @query
 def funnel_long(spark, folder):
-    return metrics.funnel_long(adapters.recent_behavior(spark, folder))
+    return metrics.funnel_long(adapters.behavior(spark, folder))
 
 
 @query
 def funnel_rates(spark, folder):
-    return metrics.funnel_rates(adapters.recent_behavior(spark, folder))
+    return metrics.funnel_rates(adapters.behavior(spark, folder))
 
 
 @query
@@ -332,17 +331,17 @@ def gmv_daily(spark, folder):
 
 @query
 def rfm_users(spark, folder):
-    return rfm.rfm_users(adapters.recent_behavior(spark, folder))
+    return rfm.rfm_users(adapters.behavior(spark, folder))
 
 
 @query
 def rfm_segments(spark, folder):
-    return rfm.rfm_segments(adapters.recent_behavior(spark, folder))
+    return rfm.rfm_segments(adapters.behavior(spark, folder))
 
 
 @query
 def rfm_report(spark, folder):
-    return rfm.rfm_report(adapters.recent_behavior(spark, folder))
+    return rfm.rfm_report(adapters.behavior(spark, folder))
 
 
 # --- event-time windows ---
@@ -505,10 +504,10 @@ def hot_items(spark, folder):
 
 @query
 def cf_fallback(spark, folder):
-    """The hot list for every user whom the published table does not cover."""
+    """What every user is shown: the published table, or the hot list for users without a recommendation."""
     sales = _sales(spark, folder)
     table = recommend.recommendation_table(recommend.rating_model(sales))
-    return recommend.fallback(sales, table, recommend.hot_items(sales))
+    return recommend.served(sales, table, recommend.hot_items(sales))
 
 
 @query

@@ -4,8 +4,8 @@ The matrix arrives as cells (user_id, item_id, weight). Joining it with itself w
 of cells that share a user. Here Spark brings the cells of two blocks of entities together (one
 shuffle, each cell copied once per block), a task multiplies them as one small matrix product, and
 only finished sums leave the task. Blocks come from a hash of the id, so popular ids spread. The
-number of blocks follows from the model's own limits on users and items, so a group has a bounded
-size whatever the length of the log.
+number of blocks follows from the numbers of users and items, so a group has a bounded size: with
+more members in common, or more items, the blocks get smaller.
 """
 
 from __future__ import annotations
@@ -23,9 +23,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 500  # entities per block
 USER_BLOCK = 2000  # users scored together
-TILE_CELLS = 4_000_000  # cells that one block may hold if every rating is present
+TILE_CELLS = 8_000_000  # cells that one block may hold if every rating is present
 CHUNK = 262_144  # numbers held at a time while summing sparse rows; stays in cache
-FILLED = 0.05  # share of present cells from which a plain matrix product is faster
 LINKS = "source bigint, block int, ids array<bigint>, sims array<double>, masses array<double>"
 
 
@@ -60,11 +59,8 @@ def _dense(rows, columns, values, n_rows, n_columns):
 def _times(rows, columns, values, n_rows, dense):
     """A sparse matrix, given as cells, times a dense one.
 
-    Well filled matrices go through BLAS. Otherwise the dense rows that cells point to are summed per
-    sparse row, a bounded number of cells at a time."""
+    The dense rows that cells point to are summed per sparse row, a bounded number of cells at a time."""
     width = dense.shape[1]
-    if len(values) > FILLED * n_rows * len(dense):
-        return _dense(rows, columns, values, n_rows, len(dense)) @ dense
     result = np.zeros((n_rows, width))
     order = np.argsort(rows, kind="stable")
     step = max(1, CHUNK // max(1, width))
@@ -128,12 +124,10 @@ def similar_entities(cells: DataFrame, max_entities: int, max_shared: int) -> Da
     return tiles.groupBy("low", "high").applyInPandas(_multiply_blocks, LINKS)
 
 
-def as_pairs(links: DataFrame) -> DataFrame:
-    """Neighbour lists -> one row per unordered pair: left_id < right_id, sim."""
+def neighbours_of(links: DataFrame) -> DataFrame:
+    """Neighbour lists -> one row per neighbour: id, neighbour, sim."""
     pairs = links.select("source", F.inline(F.arrays_zip("ids", "sims")))
-    return pairs.where(F.col("source") < F.col("ids")).select(
-        F.col("source").alias("left_id"), F.col("ids").alias("right_id"), F.col("sims").alias("sim")
-    )
+    return pairs.select(F.col("source").alias("id"), F.col("ids").alias("neighbour"), F.col("sims").alias("sim"))
 
 
 def candidate_scores(

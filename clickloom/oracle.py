@@ -29,7 +29,7 @@ e_all AS (
 e AS (SELECT * FROM e_all WHERE {_LEGAL})"""
 
 _RECENT = f"""{_EVENTS},
-r AS (SELECT * FROM e WHERE datetime > (SELECT max(datetime) FROM e_all) - INTERVAL 48 HOUR)"""
+r AS (SELECT * FROM e)"""
 
 _ODS = f"""{_EVENTS},
 ods AS (
@@ -69,11 +69,9 @@ s AS (
 
 def _cells(log: str) -> str:
     return f"""
-top_items AS (SELECT item_id FROM {log} GROUP BY item_id HAVING count(DISTINCT user_id) >= 2
-  ORDER BY count(DISTINCT user_id) DESC, item_id LIMIT 4000),
+top_items AS (SELECT item_id FROM {log} GROUP BY item_id HAVING count(DISTINCT user_id) >= 2),
 kept AS (SELECT * FROM {log} WHERE item_id IN (SELECT item_id FROM top_items)),
-top_users AS (SELECT user_id FROM kept GROUP BY user_id HAVING count(*) >= 2
-  ORDER BY count(*) DESC, user_id LIMIT 8000),
+top_users AS (SELECT user_id FROM kept GROUP BY user_id HAVING count(*) >= 2),
 cells AS (SELECT user_id, item_id,
     CAST(max({_case('behavior_type', BEHAVIOR_WEIGHTS.items(), 'NULL')}) AS BIGINT) AS weight
   FROM kept WHERE user_id IN (SELECT user_id FROM top_users) GROUP BY user_id, item_id)"""
@@ -158,18 +156,23 @@ def _funnel_layers(source: str) -> str:
     )
 
 
+# --- fixed values: segment by high marks for recency, frequency and breadth ---
+_SEGMENT_NAMES = """(VALUES (true, true, true, '重要价值客户'), (true, false, true, '重要发展客户'),
+  (false, true, true, '重要保持客户'), (false, false, true, '重要挽留客户'), (true, true, false, '一般价值客户'),
+  (true, false, false, '一般发展客户'), (false, true, false, '一般保持客户'), (false, false, false, '一般挽留客户'))
+  AS g(recent, often, broad, customer_layer)"""
+# --- end of fixed values ---
+
+# Purchases by user and item first; a user's figures are sums over the items bought.
 _RFM = f"""{_RECENT},
-rfm AS (SELECT user_id, date_sub('hour', max(datetime) FILTER (WHERE behavior_type = 'buy'), (SELECT max(datetime) FROM r)) AS r_hours,
-    {BUY} AS f_cnt, count(DISTINCT CASE WHEN behavior_type = 'buy' THEN item_id END) AS m_items
-  FROM r GROUP BY user_id HAVING {BUY} > 0),
-scored AS (SELECT *, {_case('r_hours', RECENCY_EDGES, '1', '<=')} AS r_score,
-    {_case('f_cnt', VOLUME_EDGES, '2', '>=')} AS f_score, {_case('m_items', VOLUME_EDGES, '2', '>=')} AS m_score FROM rfm),
-layered AS (SELECT user_id, r_hours, f_cnt, m_items, CAST(r_score AS BIGINT) AS r_score, CAST(f_score AS BIGINT) AS f_score,
-    CAST(m_score AS BIGINT) AS m_score,
-    CASE WHEN m_score >= 3 THEN '重要' ELSE '一般' END
-    || CASE WHEN r_score >= 3 AND f_score >= 3 THEN '价值' WHEN r_score >= 3 THEN '发展'
-        WHEN f_score >= 3 THEN '保持' ELSE '挽留' END || '客户' AS customer_layer
-  FROM scored)"""
+bought AS (SELECT user_id, item_id, count(*) AS times, max(datetime) AS latest FROM r WHERE behavior_type = 'buy' GROUP BY user_id, item_id),
+buyers AS (SELECT user_id, date_sub('hour', max(latest), (SELECT max(datetime) FROM r)) AS r_hours,
+    CAST(sum(times) AS BIGINT) AS f_cnt, count(item_id) AS m_items FROM bought WHERE user_id IS NOT NULL GROUP BY user_id),
+marks AS (SELECT buyers.*, CAST({_case('r_hours', RECENCY_EDGES, '1', '<=')} AS BIGINT) AS r_score,
+    CAST({_case('f_cnt', VOLUME_EDGES, '2', '>=')} AS BIGINT) AS f_score,
+    CAST({_case('m_items', VOLUME_EDGES, '2', '>=')} AS BIGINT) AS m_score FROM buyers),
+layered AS (SELECT marks.*, customer_layer FROM marks JOIN {_SEGMENT_NAMES}
+  ON recent = (r_score >= 3) AND often = (f_score >= 3) AND broad = (m_score >= 3))"""
 
 _WINDOW_COUNTS = f"{PV} AS pv, {_USERS} AS uv, {CART} AS cart, {BUY} AS buy, count(*) AS events"
 _TUMBLING = f"""{_EVENTS},
@@ -279,7 +282,7 @@ SELECT *, CAST(rows_hit AS DOUBLE) / row_cnt AS share FROM c""",
 SELECT hour, 'PV 浏览量' AS metric, pv AS value FROM h UNION ALL SELECT hour, 'UV 独立访客', uv FROM h""",
     "hour_behavior": f"""WITH {_EVENTS} SELECT CAST(extract(hour FROM datetime) AS BIGINT) AS hour, behavior_name, count(*) AS cnt
 FROM e JOIN {_BEHAVIOR_ROWS} USING (behavior_type) GROUP BY 1, 2""",
-    "behavior_mix": f"""WITH {_EVENTS}, c AS (SELECT * FROM e WHERE behavior_type IN ('pv', 'fav', 'buy'))
+    "behavior_mix": f"""WITH {_EVENTS}, c AS (SELECT * FROM e)
 SELECT k.behavior_type, k.behavior_name, count(c.event_id) AS cnt, CAST(k.place AS BIGINT) AS place
 FROM {_BEHAVIOR_ROWS} LEFT JOIN c USING (behavior_type) GROUP BY ALL""",
     "funnel_wide": f"WITH {_RECENT} SELECT a AS pv_users, b AS intent_users, c AS buy_users FROM ({_FUNNEL} r) x",
@@ -359,9 +362,11 @@ WHERE timestamp - timestamp % 300 + 300 <= newest - 5""",
 SELECT *, CAST(cells AS DOUBLE) / (n_users * n_items) AS density FROM c""",
     "cf_rating_cells": f"WITH {_MODEL} SELECT * FROM cells",
     "cf_item_similarity": f"""WITH {_EVENT_MODEL},{_similar('cells', 'item_id', 'user_id', 'sims')}
-SELECT a AS item_a, b AS item_b, sim FROM sims WHERE a < b""",
+SELECT a AS item_id, rank, b AS neighbour, sim FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(sim, 6) DESC, b) AS rank FROM sims) x
+WHERE rank <= 10""",
     "cf_user_similarity": f"""WITH {_EVENT_MODEL},{_similar('cells', 'user_id', 'item_id', 'sims')}
-SELECT a AS user_a, b AS user_b, sim FROM sims WHERE a < b""",
+SELECT a AS user_id, rank, b AS neighbour, sim FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(sim, 6) DESC, b) AS rank FROM sims) x
+WHERE rank <= 10""",
     "cf_scores": f"""WITH {_EVENT_MODEL},{_scores('cells')}
 SELECT user_id, item_id, round(max(score) FILTER (WHERE algorithm = 'ItemCF'), 6) AS item_score,
   round(max(score) FILTER (WHERE algorithm = 'UserCF'), 6) AS user_score FROM unseen WHERE score > 0 GROUP BY 1, 2""",
@@ -369,7 +374,7 @@ SELECT user_id, item_id, round(max(score) FILTER (WHERE algorithm = 'ItemCF'), 6
 SELECT user_id, algorithm, rank, item_id, round(score, 6) AS score FROM ranked WHERE rank <= 5""",
     "cf_recommendation_table": f"""WITH {_MODEL},{_scores('cells')}
 SELECT user_id, algorithm, rank, item_id, round(score, 4) AS score FROM ranked
-WHERE rank <= 3 AND user_id IN (SELECT DISTINCT user_id FROM cells ORDER BY user_id LIMIT 1000)""",
+WHERE rank <= 3""",
     "cf_leave_one_out": f"WITH {_MODEL},{_HIDDEN} SELECT * FROM hidden",
     "cf_hit_rate": f"""WITH {_MODEL},{_HIDDEN},
 train AS (SELECT c.* FROM cells c ANTI JOIN hidden h ON c.user_id = h.user_id AND c.item_id = h.item_id),{_scores('train')},
@@ -382,8 +387,9 @@ SELECT algorithm, CAST(5 AS BIGINT) AS k, evaluated_users, hits, CAST(hits AS DO
   CAST(hits AS DOUBLE) / evaluated_users / random_hit_rate AS lift FROM h, b""",
     "hot_items": f"WITH {_SALES},{_HOT} SELECT item_id, interactions, rank FROM hot",
     "cf_fallback": f"""WITH {_MODEL},{_scores('cells')},{_HOT},
-listed AS (SELECT DISTINCT user_id FROM ranked WHERE user_id IN (SELECT DISTINCT user_id FROM cells ORDER BY user_id LIMIT 1000))
-SELECT u.user_id, 'Hot' AS algorithm, rank, item_id, interactions FROM (SELECT DISTINCT user_id FROM s) u CROSS JOIN hot
+listed AS (SELECT user_id, algorithm AS source, rank, item_id FROM ranked WHERE rank <= 3)
+SELECT * FROM listed UNION ALL
+SELECT u.user_id, 'Hot', rank, item_id FROM (SELECT DISTINCT user_id FROM s) u CROSS JOIN hot
 WHERE u.user_id NOT IN (SELECT user_id FROM listed)""",
     "cf_examples": f"""WITH {_MODEL},{_scores('cells')},{_HOT},
 sizes AS (SELECT user_id, count(*) AS cells FROM cells GROUP BY 1),

@@ -9,76 +9,52 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.behavior import behavior_col, behavior_weight
 from clickloom.functions.rates import ratio
-from clickloom.operators.products import as_pairs, candidate_scores, similar_entities
+from clickloom.operators.products import candidate_scores, neighbours_of, similar_entities
 from clickloom.operators.ranking import heaviest_cell, number_rows, top_k, top_per_group
 from clickloom.schema import (
     HOT_ITEMS,
-    MAX_MODEL_ITEMS,
-    MAX_MODEL_USERS,
     MIN_ITEM_USERS,
     MIN_USER_ACTIONS,
+    NEIGHBOURS,
     TABLE_TOP_K,
-    TABLE_USERS,
     TOP_K,
 )
 from clickloom.session import materialize
 
 ALGORITHMS = {"UserCF": "user_score", "ItemCF": "item_score"}
-# A broadcast side of ids may have this many rows (16 bytes each); beyond it Spark chooses the join.
-BROADCAST_IDS = 1_000_000
-
-
-def _small(ids: DataFrame, limit: int) -> DataFrame:
-    """Mark a side whose row limit is part of its query as a broadcast, if that limit is small."""
-    return F.broadcast(ids) if limit <= BROADCAST_IDS else ids
 
 
 @dataclass(frozen=True)
 class RatingModel:
-    """The rating matrix as cells (user_id, item_id, weight) with the limits that bound it."""
+    """The rating matrix as cells (user_id, item_id, weight), with its numbers of items and users."""
 
     cells: DataFrame
-    max_items: int
-    max_users: int
-
-    def with_cells(self, cells: DataFrame) -> "RatingModel":
-        return RatingModel(cells, self.max_items, self.max_users)
-
-
-def popular_items(df: DataFrame, min_users: int, limit: int) -> DataFrame:
-    """Items by distinct users; (item, user) is combined first, so a hot item is counted in parallel."""
-    pairs = df.select("item_id", "user_id").where(F.col("user_id").isNotNull()).distinct()
-    counted = pairs.groupBy("item_id").agg(F.count("*").alias("users"))
-    return top_k(counted.where(F.col("users") >= min_users), limit, ["users"], "item_id").select("item_id")
+    n_items: int
+    n_users: int
 
-
-def active_users(df: DataFrame, min_actions: int, limit: int) -> DataFrame:
-    """Users by number of actions; expects pre-counted rows with ``actions``."""
-    counted = df.groupBy("user_id").agg(F.sum("actions").alias("actions"))
-    return top_k(counted.where(F.col("actions") >= min_actions), limit, ["actions"], "user_id").select("user_id")
+    @staticmethod
+    def of(cells: DataFrame) -> "RatingModel":
+        sizes = [cells.select(name).distinct().count() for name in ("item_id", "user_id")]
+        return RatingModel(cells, *sizes)
 
 
 def rating_model(
-    df: DataFrame,
-    min_item_users: int = MIN_ITEM_USERS,
-    min_user_actions: int = MIN_USER_ACTIONS,
-    max_items: int = MAX_MODEL_ITEMS,
-    max_users: int = MAX_MODEL_USERS,
+    df: DataFrame, min_item_users: int = MIN_ITEM_USERS, min_user_actions: int = MIN_USER_ACTIONS
 ) -> RatingModel:
-    """The most popular items, the most active users among their visitors, and the heaviest
-    behaviour per (user, item).
-
-    The log is read twice, with three columns. What is left for the second pass is combined per
-    (user, item) and written once; the cells, at most max_items x max_users, likewise."""
-    items = popular_items(df, min_item_users, max_items)
-    kept = df.join(_small(items, max_items), "item_id", "left_semi")
-    combined = kept.groupBy("user_id", "item_id").agg(
+    """Items with enough users, users with enough actions on these items, and the heaviest behaviour
+    per (user, item); no limit on how many.
+
+    The log is read once: everything follows from one row per (user, item), which is combined before
+    the shuffle, so hot items and users are collapsed, and written once."""
+    combined = df.where(F.col("user_id").isNotNull()).groupBy("user_id", "item_id").agg(
         F.max(behavior_weight(behavior_col())).alias("weight"), F.count("*").alias("actions")
     )
-    combined = materialize(combined.where(F.col("user_id").isNotNull()), "popular-cells")
-    users = active_users(combined, min_user_actions, max_users)
-    cells = combined.join(_small(users, max_users), "user_id", "left_semi").where(F.col("weight").isNotNull())
-    return RatingModel(materialize(cells.select("user_id", "item_id", "weight"), "cells"), max_items, max_users)
+    combined = materialize(combined, "pairs")
+    items = combined.groupBy("item_id").agg(F.count("*").alias("n")).where(F.col("n") >= min_item_users)
+    kept = combined.join(items.select("item_id"), "item_id", "left_semi")
+    users = kept.groupBy("user_id").agg(F.sum("actions").alias("n")).where(F.col("n") >= min_user_actions)
+    cells = kept.join(users.select("user_id"), "user_id", "left_semi").where(F.col("weight").isNotNull())
+    return RatingModel.of(materialize(cells.select("user_id", "item_id", "weight"), "cells"))
 
 
 def matrix_stats(model: RatingModel) -> DataFrame:
@@ -91,20 +67,19 @@ def matrix_stats(model: RatingModel) -> DataFrame:
     return sizes.withColumn("density", ratio(F.col("cells"), F.col("n_users") * F.col("n_items")))
 
 
-def _squares(cells: DataFrame, entity: str, limit: int) -> DataFrame:
-    squares = cells.groupBy(entity).agg(F.sum(F.col("weight") * F.col("weight")).alias("square"))
-    return _small(squares, limit)
+def _squares(cells: DataFrame, entity: str) -> DataFrame:
+    return cells.groupBy(entity).agg(F.sum(F.col("weight") * F.col("weight")).alias("square"))
 
 
 def _with_norms(model: RatingModel) -> DataFrame:
     """Cells with the norm of their user."""
-    normed = model.cells.join(_squares(model.cells, "user_id", model.max_users), "user_id")
+    normed = model.cells.join(_squares(model.cells, "user_id"), "user_id")
     return normed.select("user_id", "item_id", F.col("weight").cast("double").alias("weight"), F.sqrt("square").alias("norm"))
 
 
 def _item_links(model: RatingModel) -> DataFrame:
     """Neighbours of every item, with cosine and the mass that user-based scores need."""
-    cells = _with_norms(model).join(_squares(model.cells, "item_id", model.max_items), "item_id")
+    cells = _with_norms(model).join(_squares(model.cells, "item_id"), "item_id")
     named = cells.select(
         F.col("item_id").alias("entity"),
         F.col("user_id").alias("shared"),
@@ -112,32 +87,41 @@ def _item_links(model: RatingModel) -> DataFrame:
         (F.col("weight") / F.col("norm")).alias("scaled"),
         F.col("square").cast("double").alias("square"),
     )
-    return similar_entities(named, model.max_items, model.max_users)
-
+    return similar_entities(named, model.n_items, model.n_users)
 
-def item_similarity(model: RatingModel) -> DataFrame:
-    """Cosine of every two items with a common user: item_a < item_b, sim. The diagonal is absent."""
-    return as_pairs(_item_links(model)).toDF("item_a", "item_b", "sim")
 
-
-def user_similarity(model: RatingModel) -> DataFrame:
-    """Cosine of every two users with a common item: user_a < user_b, sim. The diagonal is absent."""
+def _user_links(model: RatingModel) -> DataFrame:
     weight = F.col("weight").cast("double")
-    cells = model.cells.join(_squares(model.cells, "user_id", model.max_users), "user_id").select(
+    cells = model.cells.join(_squares(model.cells, "user_id"), "user_id").select(
         F.col("user_id").alias("entity"),
         F.col("item_id").alias("shared"),
         weight.alias("weight"),
         weight.alias("scaled"),
         F.col("square").cast("double").alias("square"),
     )
-    return as_pairs(similar_entities(cells, model.max_users, model.max_items)).toDF("user_a", "user_b", "sim")
+    return similar_entities(cells, model.n_users, model.n_items)
+
+
+def _nearest(links: DataFrame, k: int) -> DataFrame:
+    best = top_per_group(neighbours_of(links), ["id"], k, [F.round("sim", 6).desc()], "neighbour")
+    return best.select("id", "rank", "neighbour", "sim")
+
+
+def item_similarity(model: RatingModel, k: int = NEIGHBOURS) -> DataFrame:
+    """The k items of the largest cosine for every item: item_id, rank, neighbour, sim."""
+    return _nearest(_item_links(model), k).withColumnRenamed("id", "item_id")
+
+
+def user_similarity(model: RatingModel, k: int = NEIGHBOURS) -> DataFrame:
+    """The k users of the largest cosine for every user: user_id, rank, neighbour, sim."""
+    return _nearest(_user_links(model), k).withColumnRenamed("id", "user_id")
 
 
 def _scores(model: RatingModel, users: DataFrame | None, k: int | None) -> DataFrame:
     rated = _with_norms(model)
     if users is not None:
-        rated = rated.join(_small(users, model.max_users), "user_id", "left_semi")
-    return candidate_scores(rated, _item_links(model), model.max_items, model.max_users, k)
+        rated = rated.join(users, "user_id", "left_semi")
+    return candidate_scores(rated, _item_links(model), model.n_items, model.n_users, k)
 
 
 def score_matrix(model: RatingModel) -> DataFrame:
@@ -157,14 +141,9 @@ def recommend(model: RatingModel, k: int = TOP_K, users: DataFrame | None = None
     return best.select("user_id", "algorithm", "rank", "item_id", "score")
 
 
-def first_users(model: RatingModel, limit: int) -> DataFrame:
-    return model.cells.select("user_id").distinct().orderBy("user_id").limit(limit)
-
-
-def recommendation_table(model: RatingModel, users: int = TABLE_USERS, k: int = TABLE_TOP_K) -> DataFrame:
-    """The published table: the first users by id, both algorithms, k items, score with four decimals."""
-    rows = recommend(model, k, first_users(model, users))
-    return rows.withColumn("score", F.round("score", 4))
+def recommendation_table(model: RatingModel, k: int = TABLE_TOP_K) -> DataFrame:
+    """The published table: both algorithms, k items for every user, score with four decimals."""
+    return recommend(model, k).withColumn("score", F.round("score", 4))
 
 
 def leave_one_out(model: RatingModel, min_cells: int = 3) -> tuple[RatingModel, DataFrame]:
@@ -172,22 +151,19 @@ def leave_one_out(model: RatingModel, min_cells: int = 3) -> tuple[RatingModel,
 
     At most one hidden cell per user of the model. Both have many readers and are written once."""
     hidden = materialize(heaviest_cell(model.cells, min_cells), "hidden")
-    kept = model.cells.join(_small(hidden, model.max_users), ["user_id", "item_id"], "left_anti")
-    return model.with_cells(materialize(kept, "training")), hidden
+    kept = model.cells.join(hidden, ["user_id", "item_id"], "left_anti")
+    return RatingModel.of(materialize(kept, "training")), hidden
 
 
 def evaluate(model: RatingModel, k: int = TOP_K, min_cells: int = 3) -> DataFrame:
     """Hit rate at k per algorithm against a random choice: algorithm, k, evaluated_users, hits,
     hit_rate, random_hit_rate, lift."""
     training, hidden = leave_one_out(model, min_cells)
-    found = recommend(training, k, hidden.select("user_id")).join(
-        _small(hidden, model.max_users), ["user_id", "item_id"], "left_semi"
-    )
+    found = recommend(training, k, hidden.select("user_id")).join(hidden, ["user_id", "item_id"], "left_semi")
     hits = found.groupBy("algorithm").agg(F.count("*").alias("hits"))
-    n_items = model.cells.select(F.count_distinct("item_id")).scalar()
-    seen = training.cells.join(_small(hidden.select("user_id"), model.max_users), "user_id", "left_semi")
+    seen = training.cells.join(hidden.select("user_id"), "user_id", "left_semi")
     # every evaluated user keeps at least min_cells - 1 cells, so none is missing here
-    pools = seen.groupBy("user_id").agg((n_items - F.count("*")).alias("pool"))
+    pools = seen.groupBy("user_id").agg((F.lit(model.n_items) - F.count("*")).alias("pool"))
     base = pools.agg(
         F.count("*").alias("evaluated_users"), F.try_divide(F.lit(float(k)), F.avg("pool")).alias("random_hit_rate")
     )
@@ -229,6 +205,13 @@ def fallback(users: DataFrame, recommended: DataFrame, hot: DataFrame) -> DataFr
     )
 
 
+def served(users: DataFrame, recommended: DataFrame, hot: DataFrame) -> DataFrame:
+    """What every user is shown: the own recommendations where there are any, else the hot list."""
+    own = recommended.select("user_id", F.col("algorithm").alias("source"), F.col("rank").cast("int").alias("rank"), "item_id")
+    rest = fallback(users, recommended, hot)
+    return own.unionByName(rest.select("user_id", F.col("algorithm").alias("source"), F.col("rank").cast("int").alias("rank"), "item_id"))
+
+
 def example_lists(model: RatingModel, hot: DataFrame, users: int = 3, k: int = TOP_K) -> DataFrame:
     """Lists of the first users by id, and of the user with the fewest cells, who gets the hot list:
     example, user_id, cells, algorithm, rank, item_id."""

@@ -67,10 +67,8 @@ CLEAN_UNTIL = "2017-12-04"
 DETAIL_ROWS = 1000
 MIN_ITEM_USERS = 2
 MIN_USER_ACTIONS = 2
-MAX_MODEL_ITEMS = 4000
-MAX_MODEL_USERS = 8000
 TOP_K = 5
 TABLE_TOP_K = 3
-TABLE_USERS = 1000
+NEIGHBOURS = 10
 HOT_ITEMS = 20
 # --- end of fixed values ---

@@ -49,21 +49,16 @@ def best(scores, seen, items, k):
     return [(item, round(s, 9)) for _, item, s in sorted(order)[:k]]
 
 
-@pytest.fixture(params=["gathered", "plain"])
-def branch(request, monkeypatch):
-    """Both ways to multiply, and blocks so small that many tiles take part."""
-    monkeypatch.setattr(products, "FILLED", 2.0 if request.param == "gathered" else 0.0)
+@pytest.fixture
+def branch(monkeypatch):
+    """Blocks so small that many tiles take part."""
     monkeypatch.setattr(products, "CHUNK", 50)
     monkeypatch.setattr(products, "BLOCK", 7)
     monkeypatch.setattr(products, "USER_BLOCK", 11)
-    return request.param
-
-
-LIMITS = dict(max_items=40, max_users=60)
 
 
 def test_scores_and_similarities(log, branch):
-    model = recommend.rating_model(log(random_log(1)), **LIMITS)
+    model = recommend.rating_model(log(random_log(1)))
     users, items, matrix = dense(model)
     by_item, by_user = expected_scores(matrix)
     found = {(r["user_id"], r["item_id"]): r for r in recommend.score_matrix(model).collect()}
@@ -79,11 +74,11 @@ def test_scores_and_similarities(log, branch):
         assert found[key]["user_score"] == pytest.approx(user_score, abs=1e-9)
 
     for similar, ids, sims in (
-        (recommend.item_similarity(model), items, cosine(matrix.T)),
-        (recommend.user_similarity(model), users, cosine(matrix)),
+        (recommend.item_similarity(model, 1000), items, cosine(matrix.T)),
+        (recommend.user_similarity(model, 1000), users, cosine(matrix)),
     ):
-        pairs = {(r[0], r[1]): r[2] for r in similar.collect()}
-        rows, columns = np.nonzero(np.triu(sims))
+        pairs = {(r[0], r["neighbour"]): r["sim"] for r in similar.collect()}
+        rows, columns = np.nonzero(sims)
         assert pairs.keys() == {(ids[a], ids[b]) for a, b in zip(rows, columns)}
         for a, b in zip(rows, columns):
             assert pairs[ids[a], ids[b]] == pytest.approx(sims[a, b], abs=1e-12)
@@ -91,7 +86,7 @@ def test_scores_and_similarities(log, branch):
 
 @pytest.mark.parametrize("seed", [2, 3])
 def test_recommendations(log, branch, seed):
-    model = recommend.rating_model(log(random_log(seed)), **LIMITS)
+    model = recommend.rating_model(log(random_log(seed)))
     users, items, matrix = dense(model)
     found = {}
     for r in recommend.recommend(model, 3).orderBy("rank").collect():
@@ -102,7 +97,7 @@ def test_recommendations(log, branch, seed):
 
 
 def test_hit_rate(log, branch):
-    model = recommend.rating_model(log(random_log(4)), **LIMITS)
+    model = recommend.rating_model(log(random_log(4)))
     users, items, matrix = dense(model)
     training, hidden = matrix.copy(), {}
     for at in range(len(users)):
@@ -124,14 +119,23 @@ def test_hit_rate(log, branch):
         assert row["lift"] == pytest.approx(hits / len(hidden) / (5 / pool))
 
 
-def test_limits_and_ties(log):
+def test_thresholds_are_the_only_limits(log):
     rows = [(u, i, 1, "pv", 0) for i, n in ((5, 3), (4, 3), (9, 4), (1, 1)) for u in range(n)]
-    items = recommend.popular_items(log(rows), 2, 2)
-    assert [r["item_id"] for r in items.collect()] == [9, 4]
-    model = recommend.rating_model(log(rows), max_items=2, max_users=2)
-    assert rows_of(model.cells) == [(0, 4, 1), (0, 9, 1), (1, 4, 1), (1, 9, 1)]
+    model = recommend.rating_model(log(rows))
+    assert rows_of(model.cells) == [(u, i, 1) for u in range(3) for i in (4, 5, 9)]
     stats = recommend.matrix_stats(model).first()
-    assert (stats["n_users"], stats["n_items"], stats["cells"], stats["density"]) == (2, 2, 4, 1.0)
+    assert (stats["n_users"], stats["n_items"], stats["cells"], stats["density"]) == (3, 3, 9, 1.0)
+    assert (model.n_users, model.n_items) == (3, 3)
+
+
+def test_a_user_with_a_third_of_all_rows(log, branch):
+    rows = random_log(3) + [(999, i % 30, 1, "pv", i) for i in range(len(random_log(3)) // 2)]
+    model = recommend.rating_model(log(rows))
+    users, items, matrix = dense(model)
+    by_item, _ = expected_scores(matrix)
+    found = {(r["user_id"], r["item_id"]): r["item_score"] for r in recommend.score_matrix(model).collect()}
+    wanted = {(u, i): by_item[a, b] for a, u in enumerate(users) for b, i in enumerate(items) if not matrix[a, b] and by_item[a, b] > 0}
+    assert wanted.keys() <= found.keys() and all(found[key] == pytest.approx(value) for key, value in wanted.items())
 
 
 def test_activity_counts_rows_and_weight_is_the_heaviest(log):
@@ -160,20 +164,21 @@ def test_isolated_user_gets_the_hot_list(log):
     listed = recommend.fallback(df, table, hot)
     assert {r["user_id"] for r in listed.collect()} == {1, 2, 3, 4} - covered != set()
     assert listed.columns == ["user_id", "algorithm", "rank", "item_id", "interactions"]
+    shown = recommend.served(df, table, hot).collect()
+    assert {r["user_id"] for r in shown} == {1, 2, 3, 4}
+    assert {r["user_id"] for r in shown if r["source"] == "Hot"} == {1, 2, 3, 4} - covered
 
 
-def test_published_table_takes_first_users_and_rounds(log):
-    model = recommend.rating_model(log(random_log(6)), **LIMITS)
-    table = recommend.recommendation_table(model, users=4, k=2)
-    first = sorted({r["user_id"] for r in model.cells.collect()})[:4]
-    rows = table.collect()
-    assert {r["user_id"] for r in rows} <= set(first) and max(r["rank"] for r in rows) == 2
-    assert all(r["score"] == round(r["score"], 4) for r in rows)
+def test_published_table_has_every_user_and_rounds(log):
+    model = recommend.rating_model(log(random_log(6)))
+    rows = recommend.recommendation_table(model, k=2).collect()
+    assert {r["user_id"] for r in rows} == {r["user_id"] for r in recommend.recommend(model).collect()}
+    assert max(r["rank"] for r in rows) == 2 and all(r["score"] == round(r["score"], 4) for r in rows)
 
 
 def test_examples_name_first_users_and_the_smallest(log):
     df = log(random_log(7))
-    model = recommend.rating_model(df, **LIMITS)
+    model = recommend.rating_model(df)
     sizes = {r["user_id"]: r["n"] for r in model.cells.groupBy("user_id").agg(F.count("*").alias("n")).collect()}
     rows = recommend.example_lists(model, recommend.hot_items(df)).collect()
     assert {r["user_id"] for r in rows if r["example"] == "first"} <= set(sorted(sizes)[:3])
@@ -186,11 +191,11 @@ def test_model_without_pairs(log):
     model = recommend.rating_model(df)
     assert recommend.recommend(model).collect() == []
     assert recommend.item_similarity(model).collect() == []
-    assert rows_of(recommend.user_similarity(model)) == [(1, 2, 1.0)]
+    assert rows_of(recommend.user_similarity(model)) == [(1, 1, 2, 1.0), (2, 1, 1, 1.0)]
     assert [r["evaluated_users"] for r in recommend.evaluate(model).collect()] == [0, 0]
 
 
 def test_block_sizes_keep_tiles_bounded():
     assert products.entity_blocks(4000, 8000) == 8
-    assert products.entity_blocks(4000, 80_000) == 80  # more shared members, smaller blocks
+    assert products.entity_blocks(4000, 160_000) == 80  # more shared members, smaller blocks
     assert products.entity_blocks(1, 10**9) == 1

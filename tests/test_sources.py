@@ -136,18 +136,6 @@ def test_shared_dir_comes_from_the_session(spark):
     assert session.shared_path(spark, "a") != session.shared_path(spark, "a")
 
 
-def test_cluster_without_shared_folder_is_refused():
-    class Context:
-        master = "spark://somewhere:7077"
-
-        def getConf(self):
-            return {}
-
-        def getCheckpointDir(self):
-            return None
-
-    class Session:
-        sparkContext = Context()
-
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_dir(Session())
+def test_shared_dir_without_a_setting_is_below_the_warehouse(spark):
+    if not spark.sparkContext.getConf().get("spark.checkpoint.dir"):
+        assert session.shared_dir(spark).startswith(spark.conf.get("spark.sql.warehouse.dir"))

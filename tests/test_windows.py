@@ -1,3 +1,4 @@
+from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
 from hypothesis import HealthCheck, given, settings
@@ -10,15 +11,20 @@ EPOCH = datetime(1970, 1, 1)
 
 
 def sliding_by_hand(rows, size, slide):
+    """From the events' side: each event names the windows that hold it."""
     size, slide = size * 60, slide * 60
-    start, last, found = min(r[4] for r in rows) // slide * slide, max(r[4] for r in rows), []
-    while start <= last:
-        inside = [r for r in rows if start <= r[4] < start + size]
-        users = {r[0] for r in inside if r[0] is not None}
-        count = lambda kind: sum(r[3] == kind for r in inside)
-        found.append((EPOCH + timedelta(seconds=start), count("pv"), len(users), count("cart"), count("buy"), len(inside)))
-        start += slide
-    return found
+    held = defaultdict(list)
+    for row in rows:
+        newest = row[4] // slide * slide
+        for start in range(newest, newest - size, -slide):
+            held[start].append(row)
+    first = min(row[4] for row in rows) // slide * slide
+    out = []
+    for start in range(first, max(row[4] for row in rows) + 1, slide):
+        kinds = Counter(row[3] for row in held[start])
+        users = {row[0] for row in held[start]} - {None}
+        out.append((EPOCH + timedelta(seconds=start), kinds["pv"], len(users), kinds["cart"], kinds["buy"], len(held[start])))
+    return out
 
 
 event = st.tuples(
