@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 500  # entities per block
-USER_BLOCK = 2000  # users scored together
+USER_BLOCK = 8000  # users scored together
 TILE_CELLS = 8_000_000  # cells that one block may hold if every rating is present
-CHUNK = 262_144  # numbers held at a time while summing sparse rows; stays in cache
+CHUNK = 262_144  # numbers held at a time while summing sparse rows or writing out links; stays in cache
 LINKS = "source bigint, block int, ids array<bigint>, sims array<double>, masses array<double>"
 
 
@@ -174,14 +174,27 @@ def candidate_scores(
             at = np.minimum(np.searchsorted(ids, rated_items), len(ids) - 1)
             return ids[at] == rated_items, at
 
-        def matrix(name):
-            return _dense(source_at, item_at, np.concatenate(linked[name].to_numpy()), len(sources), len(items))
-
+        # For each rated cell its source's links, written out a bounded number at a time.
+        order = np.argsort(source_at, kind="stable")
+        ends = np.cumsum(np.bincount(source_at, minlength=len(sources)))
+        item_at = item_at[order]
+        sims, masses = (np.concatenate(linked[name].to_numpy())[order] for name in ("sims", "masses"))
         known, at = placed(sources)
-        cells = user_at[known], at[known], rated["weight"].to_numpy()[known], len(users)
+        cell_user, cell_source, cell_weight = user_at[known], at[known], rated["weight"].to_numpy()[known]
+        lengths = np.diff(ends, prepend=0)[cell_source]
+        by_item, by_user = np.zeros(len(users) * len(items)), np.zeros(len(users) * len(items))
+        upto = np.cumsum(lengths)
+        cuts = np.flatnonzero(np.diff(upto // CHUNK)) + 1
+        for part in np.split(np.arange(len(lengths)), cuts):
+            n = lengths[part]
+            link = np.arange(n.sum()) + np.repeat(ends[cell_source[part]] - np.cumsum(n), n)
+            cell = np.repeat(part, n)
+            where = cell_user[cell] * len(items) + item_at[link]
+            for total, values in ((by_item, sims), (by_user, masses)):
+                np.add.at(total, where, cell_weight[cell] * values[link])
+        by_item = by_item.reshape(len(users), len(items))
+        by_user = by_user.reshape(len(users), len(items)) / norms[:, None]
         seen, seen_at = placed(items)
-        by_item = _times(*cells, matrix("sims"))
-        by_user = _times(*cells, matrix("masses")) / norms[:, None]
         for scores in (by_item, by_user):
             scores[user_at[seen], seen_at[seen]] = -np.inf
         row, column = np.nonzero(best(by_item) | best(by_user))
