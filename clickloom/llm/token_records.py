@@ -34,7 +34,7 @@ from clickloom.session import materialize, shared_path
 BLOCK_BYTES = 4 << 20
 FILE_BLOCKS = 8
 #: Pieces of text whose ids a worker keeps.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 400_000
 
 _HEAD, _ID, _SUM = struct.Struct("<Q"), struct.Struct("<?q"), struct.Struct("<I")
 #: Up to this character the two libraries agree on what is a letter, a number and white space (tested).
