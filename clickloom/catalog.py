@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.functions.behavior import parse_bigint
+from clickloom.functions.behavior import behavior_col, choose, parse_bigint
 from clickloom.operators import cleaning, quality, windows
 from clickloom.plans import metrics, recommend, rfm, warehouse
-from clickloom.schema import CLEAN_SCHEMA, EXPORT_COLUMNS, ODS_COLUMNS
+from clickloom.schema import BEHAVIOR_CODES, CLEAN_SCHEMA, EXPORT_COLUMNS, ODS_COLUMNS, SAMPLE_SCHEMA, STREAM_SCHEMA
 from clickloom.session import pin_session, shared_path
 from clickloom.sources import adapters, files, tables
 from clickloom.streaming import jobs
+from clickloom.streaming import sources as stream_sources
 from clickloom.streaming.sources import event_files_stream
 
 # Parameters of registered queries; the given events cover January 2024.
@@ -59,6 +62,11 @@ def _detail(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.to_dwd(adapters.dirty_landing(spark, folder))
 
 
+def _coded(log: DataFrame) -> DataFrame:
+    """Behaviours as the integer codes that samples and messages use."""
+    return log.withColumn("behavior_type", choose(behavior_col(), {kind: code for code, kind in BEHAVIOR_CODES.items()}))
+
+
 # --- sources, landing, cleaning ---
 
 
@@ -128,6 +136,32 @@ def export_roundtrip(spark, folder):
     return files.read_csv(spark, path, schema, header=True)
 
 
+@query
+def sample_roundtrip(spark, folder):
+    """The log with integer codes written as CSV with a header, read back by its declared schema, named and counted."""
+    path = shared_path(spark, "sample")
+    files.write_csv(_coded(adapters.behavior(spark, folder)).select(*SAMPLE_SCHEMA.fieldNames()), path)
+    read = cleaning.with_named_codes(files.read_sample_log(spark, path))
+    return read.groupBy("behavior_type").agg(
+        F.count("*").alias("cnt"), F.count("item_id").alias("with_item"), F.sum("timestamp").alias("time_sum")
+    )
+
+
+@query
+def clean_table(spark, folder):
+    """The clean log written once, in order, and read back."""
+    clean = cleaning.clean_behavior(_dirty_raw(spark, folder), CLEAN_FROM, CLEAN_UNTIL)
+    return tables.write_clean(clean, shared_path(spark, "clean"))
+
+
+@query
+def replaced_table(spark, folder):
+    """A catalog table of the log, replaced by one of other columns: actions of each item."""
+    name, log = f"clickloom_{uuid.uuid4().hex}", adapters.behavior(spark, folder)
+    tables.replace_table(log, name)
+    return tables.replace_table(log.groupBy("item_id").agg(F.count("*").alias("cnt")), name)
+
+
 @query
 def partition_overwrite(spark, folder):
     """All days written, then one day replaced by its purchases: rows per day afterwards."""
@@ -169,7 +203,7 @@ def dwd_reconcile(spark, folder):
 
 @query
 def dwd_layer_audit(spark, folder):
-    return quality.layer_audit(adapters.dirty_landing(spark, folder), _detail(spark, folder))
+    return quality.layer_audit(adapters.dirty_landing(spark, folder))
 
 
 @query
@@ -425,6 +459,31 @@ def stream_upsert(spark, folder):
     return jobs.latest_windows(spark, f"{work}/table")
 
 
+def _messages(spark, folder):
+    texts = {name: F.col(name).cast("string") for name in ("user_id", "item_id", "category_id")}
+    coded = _coded(adapters.behavior(spark, folder)).withColumns(texts)
+    return coded.withColumnRenamed("datetime", "ts").select(*STREAM_SCHEMA.fieldNames())
+
+
+@query
+def decoded_messages(spark, folder):
+    """Events as JSON messages in binary, decoded and named."""
+    packed = _messages(spark, folder).select(F.to_json(F.struct("*")).cast("binary").alias("value"))
+    return stream_sources.normalize(stream_sources.decode_messages(packed))
+
+
+@query
+def stream_messages(spark, folder):
+    """Messages as JSON files, one file a batch, streamed into a table and counted."""
+    work = shared_path(spark, "stream")
+    _messages(spark, folder).repartition(ARRIVALS).write.json(f"{work}/messages")
+    stream = stream_sources.json_stream(spark, f"{work}/messages", max_files=1)
+    arrived = jobs.run_to_table(stream, f"{work}/table", f"{work}/checkpoint")
+    return arrived.groupBy("behavior_type").agg(
+        F.count("*").alias("cnt"), F.min("datetime").alias("first_time"), F.max("datetime").alias("last_time")
+    )
+
+
 @query
 def late_rows(spark, folder):
     """Events arrive in batches by quarter of their ids, every 37th one batch later than the rest;

@@ -43,10 +43,6 @@ def is_legal(kind: Column) -> Column:
     return kind.isin(*BEHAVIORS)
 
 
-def is_intent(kind: Column) -> Column:
-    return kind.isin("cart", "fav")
-
-
 def parse_bigint(text: Column) -> Column:
     """Text to bigint; text that is no number becomes NULL."""
     return text.try_cast("bigint")

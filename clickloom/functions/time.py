@@ -30,11 +30,6 @@ def whole_hours_between(start: Column, end: Column) -> Column:
     return F.greatest(F.timestamp_diff("HOUR", start, end), F.lit(0))
 
 
-def floor_minutes(moment: Column, minutes: int) -> Column:
-    seconds = F.unix_seconds(moment)
-    return F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(minutes * 60)))
-
-
 def plus_minutes(moment: Column, minutes: int) -> Column:
     return moment + F.make_dt_interval(mins=F.lit(minutes))
 

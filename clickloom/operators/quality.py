@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.functions.behavior import behavior_col, is_legal
+from clickloom.functions.behavior import behavior_col, is_legal, parse_bigint
 from clickloom.functions.rates import ratio
-from clickloom.operators.cleaning import in_range, with_datetime
+from clickloom.operators.cleaning import has_key_fields, in_range, with_datetime
 from clickloom.schema import CLEAN_FROM, CLEAN_UNTIL, ODS_COLUMNS
+from clickloom.session import materialize
 
 
 SKETCH_ACCURACY = 100_000  # rank error of an approximate quantile: rows / accuracy
-FEW_ROWS = 200_000  # up to here a bracket is the whole range; above, its margin is at least eight ranks
+SLICES = 1024  # equal parts of a bracket's range that are ordered one by one
 
 
 class EmptyLoadError(RuntimeError):
@@ -93,15 +94,24 @@ def clean_report(raw: DataFrame, start: str = CLEAN_FROM, end: str = CLEAN_UNTIL
 
 
 def clean_profile(clean: DataFrame) -> DataFrame:
-    """Span and distinct users, items and categories of a clean log."""
-    return clean.agg(
+    """Span and distinct users, items and categories of a clean log.
+
+    Each distinct count is a scalar subquery of its own column, so rows are never multiplied."""
+
+    def distinct(name):
+        return clean.where(F.col(name).isNotNull()).select(name).distinct().select(F.count("*")).scalar()
+
+    spanned = clean.agg(
         F.count("*").alias("row_cnt"),
         F.min("datetime").alias("first_time"),
         F.max("datetime").alias("last_time"),
         ((F.unix_seconds(F.max("datetime")) - F.unix_seconds(F.min("datetime"))) / 60).alias("span_minutes"),
-        F.count_distinct("user_id").alias("users"),
-        F.count_distinct("item_id").alias("items"),
-        F.count_distinct("category_id").alias("categories"),
+    )
+    return spanned.select(
+        "*",
+        distinct("user_id").alias("users"),
+        distinct("item_id").alias("items"),
+        distinct("category_id").alias("categories"),
     )
 
 
@@ -121,12 +131,23 @@ def require_rows(loaded: DataFrame) -> DataFrame:
     return loaded
 
 
-def layer_audit(ods: DataFrame, dwd: DataFrame) -> DataFrame:
-    """Row counts of landing and detail layer and the rows removed between them."""
-    left = ods.select(F.lit(1).alias("ods"), F.lit(0).alias("dwd"))
-    right = dwd.select(F.lit(0).alias("ods"), F.lit(1).alias("dwd"))
-    counts = left.unionByName(right).agg(
-        F.coalesce(F.sum("ods"), F.lit(0)).alias("ods_rows"), F.coalesce(F.sum("dwd"), F.lit(0)).alias("dwd_rows")
+def layer_audit(ods: DataFrame) -> DataFrame:
+    """Row counts of the landing and of the detail layer made from it, and the rows removed between them.
+
+    One scan and one shuffle: rows that stay are grouped as a whole, the others collapse to one group."""
+    ids = [name for name in ODS_COLUMNS if name != "behavior_type"]
+    kept = F.coalesce(has_key_fields(*ids) & is_legal(behavior_col()), F.lit(False))
+    flagged = ods.select(kept.alias("kept"), *ODS_COLUMNS)
+    grouped = (
+        flagged.select("kept", *[F.when(F.col("kept"), F.col(name)).alias(name) for name in ODS_COLUMNS])
+        .groupBy("kept", *ODS_COLUMNS)
+        .agg(F.count("*").alias("copies"))
+    )
+    typed = F.col("kept")
+    for name in ids:
+        typed = typed & parse_bigint(F.col(name)).isNotNull()
+    counts = grouped.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("ods_rows"), F.count_if(typed).alias("dwd_rows")
     )
     return counts.withColumn("removed_rows", F.col("ods_rows") - F.col("dwd_rows"))
 
@@ -158,47 +179,65 @@ def frame_difference(left: DataFrame, right: DataFrame) -> DataFrame:
 def describe_values(df: DataFrame, columns: list[str], quantiles=(0.25, 0.5, 0.75)) -> DataFrame:
     """count, mean, std, min, exact quartiles (linear interpolation) and max per numeric column.
 
-    Two scans and no sort of the data. The first brackets every quantile between two approximate
-    ones, a few times the sketch's guaranteed rank error apart. The second counts the rows between
-    the brackets, one group each, and the values inside them; all of it is combined before the
-    shuffle. The wanted ranks are then found among these few values. A rank outside its bracket is
-    an error, never a wrong number."""
-    whole = all(isinstance(df.schema[name].dataType, T.IntegralType) for name in columns)
-    kind = "bigint" if whole else "double"
-    long = df.select(*[F.col(name).cast(kind).alias(name) for name in columns]).unpivot(
-        [], columns, "column_name", "value"
-    )
-    long = long.where(F.col("value").isNotNull())
-    quantiles, value = sorted(quantiles), F.col("value")
-    margin = 4 / SKETCH_ACCURACY
-    marks = [min(1.0, max(0.0, q + side)) for q in quantiles for side in (-margin, margin)]
-    summary = long.groupBy("column_name").agg(
-        F.count("*").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.percentile_approx("value", F.array(*map(F.lit, marks)), F.lit(SKETCH_ACCURACY)).alias("marks"),
-    )
-    stats = ["count", "mean", "std", "min", "max"]
-    many = F.col("count") > FEW_ROWS
-    edges = []
-    for place in range(len(quantiles)):
-        edges.append(F.when(many, F.col("marks")[2 * place]).otherwise(F.col("min")).alias(f"low{place}"))
-        edges.append(F.when(many, F.col("marks")[2 * place + 1]).otherwise(F.col("max")).alias(f"high{place}"))
+    Three scans and no sort of the data; whole numbers are described as such beside fractions. The first counts the
+    values. The second brackets every quantile between two approximate ones, further apart than the sketch's guaranteed
+    rank error and a few ranks more, so the wanted ranks are always inside. The third counts the rows between
+    the brackets, one group each, and the values inside them; all of it is combined before the shuffle and
+    written as a small table. A bracket is cut into slices of its range, ordered one by one."""
+    whole = [name for name in columns if isinstance(df.schema[name].dataType, T.IntegralType)]
+    rest = [name for name in columns if name not in whole]
+    parts = [_describe(df, names, kind, sorted(quantiles)) for names, kind in ((whole, "bigint"), (rest, "double")) if names]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _describe(df: DataFrame, columns: list[str], kind: str, quantiles: list[float]) -> DataFrame:
+    typed = df.select(*[F.col(name).cast(kind).alias(name) for name in columns])
+    sizes = typed.agg(*[F.count(name).alias(name) for name in columns]).first()
+    value = F.col("value")
+
+    def summed(name):
+        margin = 4 / SKETCH_ACCURACY + 8 / max(sizes[name], 1)
+        marks = [min(1.0, max(0.0, q + side)) for side in (-margin, margin) for q in quantiles]
+        return F.struct(
+            F.count(name).alias("count"),
+            F.avg(name).alias("mean"),
+            F.stddev_samp(name).alias("std"),
+            F.min(name).alias("min"),
+            F.max(name).alias("max"),
+            F.percentile_approx(name, F.array(*map(F.lit, marks)), F.lit(SKETCH_ACCURACY)).alias("marks"),
+        ).alias(name)
+
+    wide = typed.agg(*[summed(name) for name in columns])
+    summary = wide.unpivot([], columns, "column_name", "found").select("column_name", "found.*").where("count > 0")
+    long = typed.unpivot([], columns, "column_name", "value").where(value.isNotNull())
+    stats, k = ["count", "mean", "std", "min", "max"], len(quantiles)
+    edges = [F.slice("marks", 1, k).alias("lows"), F.slice("marks", k + 1, k).alias("highs")]
     # the broadcast side has one row per described column
     bracketed = long.join(F.broadcast(summary.select("column_name", *stats, *edges)), "column_name")
 
     inside, passed = F.lit(False), F.lit(0)
-    for place in range(len(quantiles)):
-        inside = inside | value.between(F.col(f"low{place}"), F.col(f"high{place}"))
-        passed = passed + (value > F.col(f"high{place}")).cast("int")
-    counted = bracketed.groupBy("column_name", passed.alias("passed"), F.when(inside, value).alias("near")).agg(
-        F.count("*").alias("n"), *[F.first(name).alias(name) for name in stats]
+    for place in range(k):
+        inside = inside | value.between(F.col("lows")[place], F.col("highs")[place])
+        passed = passed + (value > F.col("highs")[place]).cast("int")
+    bracketed = bracketed.withColumns({"passed": passed, "near": F.when(inside, value)})
+    low, high = (F.get(F.col(side), F.col("passed")).cast("double") for side in ("lows", "highs"))
+    depth = F.floor(F.try_divide(F.col("near").cast("double") - low, high - low) * SLICES)
+    # rows in front of a bracket are one NULL entry in a slice of its own, which comes first
+    part = F.when(F.col("near").isNull(), -1).otherwise(F.coalesce(depth, F.lit(0)))
+    counted = materialize(
+        bracketed.groupBy("column_name", "passed", part.alias("part"), "near").agg(
+            F.count("*").alias("n"), *[F.first(name).alias(name) for name in stats]
+        ),
+        "near-quantiles",
+    )
+    parts = counted.groupBy("column_name", "passed", "part").agg(F.sum("n").alias("size"))
+    ahead = Window.partitionBy("column_name").orderBy("passed", "part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select("column_name", "passed", "part", F.coalesce(F.sum("size").over(ahead), F.lit(0)).alias("offset"))
+    order = Window.partitionBy("column_name", "passed", "part").orderBy("near")
+    # at most SLICES + 2 rows for each quantile of a column
+    placed = counted.join(F.broadcast(offsets), ["column_name", "passed", "part"]).withColumn(
+        "upto", F.col("offset") + F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
     )
-    # rows in front of a bracket are one NULL entry, which comes before the values of the bracket
-    order = Window.partitionBy("column_name").orderBy("passed", F.asc_nulls_first("near"))
-    placed = counted.withColumn("upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
 
     def value_at(place):
         here = (place >= F.col("upto") - F.col("n")) & (place < F.col("upto"))
@@ -207,10 +246,9 @@ def describe_values(df: DataFrame, columns: list[str], quantiles=(0.25, 0.5, 0.7
     points = []
     for q in quantiles:
         position = (F.col("count") - 1) * q
-        low, high = value_at(F.floor(position)), value_at(F.ceil(position))
-        part = F.max(position - F.floor(position))
-        lost = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
-        points.append(F.coalesce(low + (high - low) * part, lost).alias(f"p{round(q * 100)}"))
-    low, high = (F.first(name).cast("double").alias(name) for name in ("min", "max"))
+        below, above = value_at(F.floor(position)), value_at(F.ceil(position))
+        share = F.max(position - F.floor(position))
+        points.append((below + (above - below) * share).alias(f"p{round(q * 100)}"))
+    least, most = (F.first(name).cast("double").alias(name) for name in ("min", "max"))
     known = [F.first(name).alias(name) for name in ("count", "mean", "std")]
-    return placed.groupBy("column_name").agg(*known, low, *points, high)
+    return placed.groupBy("column_name").agg(*known, least, *points, most)

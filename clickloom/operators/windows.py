@@ -9,6 +9,7 @@ from clickloom.functions.behavior import counters
 from clickloom.functions.rates import ratio
 from clickloom.functions.time import plus_minutes, window_label
 from clickloom.operators.rollup import COUNTERS, people
+from clickloom.session import materialize
 
 _DAY = 86400
 
@@ -89,7 +90,8 @@ def sliding_windows(df: DataFrame, size_minutes: int = 15, slide_minutes: int =
     (pane, user), a pane being one slide long. A user's pane adds that user to the windows which no
     earlier pane of the same user reaches, a gap-free range that follows from the previous pane.
     Rows are then summed per (pane, first new window), at most panes x (size / slide) rows whatever
-    the number of events, and only these are spread over the windows."""
+    the number of events. They are written as a table, which gives the span of the windows as well, so the
+    events are read once, and only these rows are spread over the windows."""
     if size_minutes % slide_minutes:
         raise ValueError("the window size must be a multiple of the slide")
     slide, reach = slide_minutes * 60, (size_minutes - slide_minutes) * 60
@@ -102,17 +104,19 @@ def sliding_windows(df: DataFrame, size_minutes: int = 15, slide_minutes: int =
     previous = F.lag("pane").over(Window.partitionBy("user_id").orderBy("pane"))
     oldest = F.col("pane") - reach
     first_new = F.greatest(oldest, F.coalesce(previous + slide, oldest))
-    summed = (
+    summed = materialize(
         panes.withColumn("first_new", first_new)
         .groupBy("pane", "first_new")
-        .agg(people().alias("users"), *[F.sum(name).alias(name) for name in COUNTERS])
+        .agg(people().alias("users"), *[F.sum(name).alias(name) for name in COUNTERS]),
+        "panes",
     )
     spread = summed.withColumn("start", F.explode(F.sequence(oldest, F.col("pane"), F.lit(slide))))
     new_users = F.when(F.col("start") >= F.col("first_new"), F.col("users")).otherwise(0)
     windows = spread.groupBy("start").agg(
         F.sum(new_users).alias("uv"), *[F.sum(name).alias(name) for name in COUNTERS]
     )
-    filled = window_spine(df, slide_minutes, time).join(windows, "start", "left")
+    times = summed.select(F.timestamp_seconds("pane").alias(time))
+    filled = window_spine(times, slide_minutes, time).join(windows, "start", "left")
     values = {"pv": "pv", "uv": "uv", "cart": "cart", "buy": "buy", "events": "actions"}
     begin = F.timestamp_seconds(F.col("start"))
     return filled.select(

@@ -233,6 +233,10 @@ SELECT a AS raw_rows, b AS after_missing, c AS after_enum, d AS after_range, e A
   count(item_id) AS with_item, CAST(sum(CAST(timestamp AS BIGINT)) AS BIGINT) AS time_sum FROM ods GROUP BY 1""",
     "export_roundtrip": f"""WITH {_EVENTS} SELECT user_id, item_id, category_id, behavior_type, datetime FROM e
 WHERE {_SLICE} AND behavior_type IN ('pv', 'buy')""",
+    "sample_roundtrip": f"""WITH {_EVENTS} SELECT behavior_type, count(*) AS cnt, count(item_id) AS with_item,
+  CAST(sum(timestamp) AS BIGINT) AS time_sum FROM e GROUP BY 1""",
+    "clean_table": f"WITH {_RAW} SELECT * FROM n4",
+    "replaced_table": f"WITH {_EVENTS} SELECT item_id, count(*) AS cnt FROM e GROUP BY 1",
     "partition_overwrite": f"""WITH {_DWD} SELECT dt, count(*) AS cnt FROM dwd
 WHERE dt <> '2024-01-10' OR behavior_type = 'buy' GROUP BY dt""",
     "load_verification": f"""WITH {_EVENTS}, c AS (SELECT behavior_type, count(*) AS cnt FROM e GROUP BY 1)
@@ -352,6 +356,10 @@ SELECT window_start, """
     )
     + ", closed AS matches FROM c",
     "stream_upsert": f"WITH {_TUMBLING} SELECT {_STREAM_COLUMNS} FROM w WHERE {_CLOSED}",
+    "decoded_messages": f"""WITH {_EVENTS} SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(item_id AS VARCHAR) AS item_id,
+  CAST(category_id AS VARCHAR) AS category_id, behavior_type, datetime FROM e""",
+    "stream_messages": f"""WITH {_EVENTS} SELECT behavior_type, count(*) AS cnt, min(datetime) AS first_time,
+  max(datetime) AS last_time FROM e GROUP BY 1""",
     "late_rows": f"""WITH {_EVENTS},
 arrived AS (SELECT *, (event_id * 4) // (SELECT max(event_id) + 1 FROM events) + CASE WHEN event_id % 37 = 0 THEN 1 ELSE 0 END AS batch FROM e_all),
 known AS (SELECT batch, max(max(timestamp)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest

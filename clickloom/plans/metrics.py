@@ -4,7 +4,7 @@ Input columns: user_id, item_id, category_id, behavior_type, datetime."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.behavior import (
@@ -291,12 +291,14 @@ def slice_coverage(df: DataFrame, hours=None, behaviors=None) -> DataFrame:
 def gmv_daily(orders: DataFrame, paid: str = "paid") -> DataFrame:
     """dt, gmv, order_cnt, pay_users, avg_order_value from paid orders.
 
-    Input columns: order_id, user_id, amount (decimal), status, datetime."""
-    daily = orders.where(F.col("status") == paid).groupBy(day_of(F.col("datetime")).alias("dt"))
-    summed = daily.agg(
-        F.sum("amount").alias("gmv"),
-        F.count_distinct("order_id").alias("order_cnt"),
-        F.count_distinct("user_id").alias("pay_users"),
+    Input columns: order_id, user_id, amount (decimal), status, datetime. Rows are combined per (day, order,
+    user), the first row of an order counts for it, and then per (day, user)."""
+    rows = orders.where(F.col("status") == paid).groupBy(day_of(F.col("datetime")).alias("dt"), "order_id", "user_id")
+    first = F.row_number().over(Window.partitionBy("dt", "order_id").orderBy("user_id")) == 1
+    counted = rows.agg(F.sum("amount").alias("gmv")).withColumn("orders", (first & F.col("order_id").isNotNull()).cast("int"))
+    per_user = counted.groupBy("dt", "user_id").agg(F.sum("gmv").alias("gmv"), F.sum("orders").alias("orders"))
+    summed = per_user.groupBy("dt").agg(
+        F.sum("gmv").alias("gmv"), F.sum("orders").alias("order_cnt"), F.count("user_id").alias("pay_users")
     )
     return summed.withColumn("avg_order_value", F.round(F.col("gmv") / F.col("pay_users"), 2))
 

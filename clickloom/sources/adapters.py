@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.behavior import choose
 from clickloom.functions.time import epoch_to_datetime
-from clickloom.operators.cleaning import recent
 from clickloom.schema import ODS_COLUMNS
 
 # Event types and the behaviours they stand for.
@@ -66,12 +65,6 @@ def dirty_landing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def recent_behavior(spark: SparkSession, folder: str, hours: int = 48) -> DataFrame:
-    """The legal behaviours of the last hours before the newest event of any type."""
-    everything = behavior(spark, folder, legal_only=False)
-    return recent(behavior(spark, folder), hours, everything)
-
-
 def sales_behavior(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines as a behaviour log for recommendations: customer, part and a fixed mapping of flags."""
     orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", "o_custkey")

@@ -3,6 +3,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from clickloom.operators import quality
 from tests.conftest import rows_of
 
@@ -46,8 +48,41 @@ def test_description_of_many_values_with_a_hot_one(spark):
     check_description(spark, [7] * 60_000 + many.tolist())
 
 
+def test_description_of_a_million_rows_with_a_hot_value(spark):
+    n = 1_200_000
+    df = spark.range(n).selectExpr("IF(id % 3 = 0, 7, pmod(id * 7919, 1000003) - 400000) AS v", "IF(id < 2, id, NULL) AS w")
+    found = {row["column_name"]: row for row in quality.describe_values(df, ["v", "w"]).collect()}
+    ids = np.arange(n)
+    values = np.where(ids % 3 == 0, 7, ids * 7919 % 1000003 - 400000)
+    assert [found["v"][f"p{p}"] for p in (25, 50, 75)] == np.percentile(values, [25, 50, 75]).tolist()
+    assert [found["w"][f"p{p}"] for p in (25, 50, 75)] == [0.25, 0.5, 0.75]
+
+
+def test_large_ids_beside_fractions_keep_their_digits(spark):
+    df = spark.createDataFrame([(2**60 + 1, 0.5)], "a long, b double")
+    assert quality.describe_values(df, ["a", "b"]).where("column_name = 'a'").first()["mean"] == 2.0**60
+    assert quality.describe_values(df.limit(0), ["a", "b"]).isEmpty()
+
+
+def test_profile_and_audit_never_multiply_rows(spark):
+    log = spark.createDataFrame(
+        [(1, 5, 1, "pv", 9, "2024-01-01 00:00:00"), (1, 6, None, "pv", 9, "2024-01-01 00:30:00")],
+        "user_id long, item_id long, category_id long, behavior_type string, timestamp long, datetime string",
+    ).withColumn("datetime", F.col("datetime").cast("timestamp"))
+    profile = quality.clean_profile(log)
+    assert profile.first()[-3:] == (1, 2, 1)
+    landed = spark.createDataFrame(
+        [("1", "2", "3", "pv", "4"), ("1", "2", "3", "pv", "4"), ("1", "x", "3", "pv", "4"), ("", "2", "3", "pv", "4"), ("1", "2", "3", None, "4")],
+        "user_id string, item_id string, category_id string, behavior_type string, timestamp string",
+    )
+    audit = quality.layer_audit(landed)
+    assert rows_of(audit) == [(5, 1, 4)]
+    assert rows_of(quality.layer_audit(landed.limit(0))) == [(0, 0, 0)]
+    for df in (profile, audit):
+        assert "Expand" not in df._jdf.queryExecution().toString()
+
+
 def test_brackets_are_used_and_hold_for_many_rows(spark, monkeypatch):
-    monkeypatch.setattr(quality, "FEW_ROWS", 5_000)
     monkeypatch.setattr(quality, "SKETCH_ACCURACY", 2_000)
     rng = np.random.default_rng(5)
     check_description(spark, rng.integers(0, 50, 60_000).tolist())
