@@ -33,7 +33,7 @@ _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 def grams(text: str) -> np.ndarray | None:
     """Hashes of the distinct n-grams; None for a text without a letter."""
     clean = _ROUGH.sub(" ", text.lower()).strip()
-    if not clean:
+    if not any(map(str.isalpha, clean)):
         return None
     chars = np.frombuffer(f" {clean} ".encode("utf-32-le"), np.uint32)
     seen = np.zeros(1 << _BITS, bool)

@@ -216,3 +216,10 @@ def test_shards_fit_and_split_only_where_needed(spark, odd, nothing):
     out = shards(odd, 1 << 20)
     assert out.count() == 11 and {r.shard for r in out.collect()} == {""} and out.columns[:6] == [c for c in odd.columns if c != "depth"]
     assert shards(nothing).count() == 0
+
+
+def test_fractions_and_roman_numerals_are_no_letters():
+    from clickloom.llm.language import grams
+
+    assert all(grams(text) is None for text in ("", " 12 ", "\u00bd \u00b2", "\u2167 -- 3"))
+    assert grams("\u00bd a") is not None and grams("\u4e2d") is not None
