@@ -23,9 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.session import materialize
+
 #: Pages and bytes that a group has on average at most.
 GROUP_PAGES = 256
 GROUP_BYTES = 8 << 20
+#: Most hosts of several groups that are broadcast with their number of groups; more of them are joined.
+BROADCAST_HOSTS = 200_000
 #: Share of a group's pages on which a valid class occurs at least.
 SUPPORT = 0.3
 
@@ -253,7 +257,11 @@ def main_text(pages: DataFrame) -> DataFrame:
         F.col("page_id").cast("bigint").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host")
     )
     sizes = pages.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.octet_length("html")).alias("bytes"))
-    groups = F.greatest(F.ceil(F.col("n") / GROUP_PAGES), F.ceil(F.col("bytes") / GROUP_BYTES), F.lit(1))
-    dealt = pages.join(sizes.select("host", groups.alias("groups")), "host")
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("page_id", "url"), "groups")).drop("groups")
+    groups = F.greatest(F.ceil(F.col("n") / GROUP_PAGES), F.ceil(F.col("bytes") / GROUP_BYTES))
+    large = materialize(sizes.select("host", groups.alias("groups")).where("groups > 1"), "large-hosts")
+    few = large.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
+    part = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("groups", F.lit(1)))
+    dealt = pages.join(F.broadcast(large) if few else large, "host", "left").withColumn("part", part).drop("groups")
+    if not few:  # the join dealt pages by host, which would put all groups of a host in one task
+        dealt = dealt.repartition("host", "part")
     return dealt.groupBy("host", "part").applyInArrow(_extract_group, "page_id bigint, url string, text string, n_chars bigint")

@@ -223,3 +223,18 @@ def test_fractions_and_roman_numerals_are_no_letters():
 
     assert all(grams(text) is None for text in ("", " 12 ", "\u00bd \u00b2", "\u2167 -- 3"))
     assert grams("\u00bd a") is not None and grams("\u4e2d") is not None
+
+
+def test_groups_of_a_host_are_dealt_to_several_tasks_either_way(spark, monkeypatch):
+    from clickloom.llm import main_text as module
+
+    rows = [(k, f"http://hot/{k}", f"<html><nav>menu</nav><article><p>text {k}</p></article></html>") for k in range(60)]
+    pages = spark.createDataFrame(rows + [(60, None, None)], "page_id long, url string, html string")
+    monkeypatch.setattr(module, "GROUP_PAGES", 10)
+    for hosts in (10, 0):
+        monkeypatch.setattr(module, "BROADCAST_HOSTS", hosts)
+        found = module.main_text(pages)
+        assert sorted((r.page_id, r.text) for r in found.collect()) == [(k, f"text {k}") for k in range(60)] + [(60, "")]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        dealt = plan.split("hashpartitioning(")[1].split(")")[0]  # the exchange nearest to the groups
+        assert dealt.startswith("host#") and "part#" in dealt
