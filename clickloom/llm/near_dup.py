@@ -133,20 +133,42 @@ def _labels(linked: np.ndarray) -> np.ndarray:
 
 
 def _swept(low: np.ndarray, matches: int) -> np.ndarray:
-    """For one long list: a member in the component of each. Only members outside the first component are
-    compared with all others, as pairs within it cannot join anything further."""
-    n = len(low)
-    label = np.full(n, -1, np.int64)
-    while (rest := np.flatnonzero(label < 0)).size:
-        one = rest[0]
-        agree = np.zeros(n, np.uint8)
-        for k in range(COORDINATES):
-            agree += low[:, k] == low[one, k]
-        met = agree >= matches
+    """For one long list what ``_labels`` gives. Members are dealt to seeds that they meet. The coordinates in which
+    two members differ are a distance, so a member at distance r of its seed can only meet others up to r further away
+    than the seed does: those that the seed does not meet itself are compared with it."""
+    n, reach = len(low), COORDINATES - matches
+    columns = np.ascontiguousarray(low.T)
+    label, left = np.arange(n), np.ones(n, bool)
+
+    def differ(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), len(others)), np.uint8)
+        for column in columns:
+            out += column[rows][:, None] != column[others]
+        return out
+
+    def join(names: np.ndarray) -> None:
+        names = np.unique(names)
+        if len(names) > 1:
+            label[np.isin(label, names)] = names[0]
+
+    everyone = np.arange(n)
+    while left.any():
+        one = left.argmax()
+        far = differ(everyone[one : one + 1], everyone)[0].astype(np.int64)
+        met = far <= reach
         met[one] = True
-        names = np.unique(label[met & (label >= 0)])
-        root = min(one, names[0]) if names.size else one
-        label[met | np.isin(label, names)] = root
+        join(label[met])
+        own = np.flatnonzero(met & left)
+        left[own] = False
+        own = own[np.argsort(far[own], kind="stable")]
+        step = max(1, (1 << 22) // n)
+        for at in range(0, len(own), step):
+            rows = own[at : at + step]
+            ring = np.flatnonzero(~met & (far <= reach + far[rows[-1]]) & (label != label[one]))
+            if len(ring):
+                linked = differ(rows, ring) <= reach
+                for k in np.flatnonzero(linked.any(axis=1)):
+                    join(np.append(label[ring[linked[k]]], label[rows[k]]))
     return label
 
 

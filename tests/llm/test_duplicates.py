@@ -84,6 +84,38 @@ def test_long_lists_are_joined_as_short_ones():
     assert np.array_equal(near_dup._labels(agree[None])[0], near_dup._swept(low, 26))
 
 
+def test_long_lists_are_joined_over_sparse_links():
+    rng = np.random.default_rng(4)
+
+    def walk(start, members, steps):
+        rows = [start]
+        for _ in range(members - 1):
+            rows.append(rows[-1].copy())
+            rows[-1][rng.choice(near_dup.COORDINATES, steps, replace=False)] = rng.integers(0, 256, steps)
+        return rows
+
+    def own(low):
+        found = near_dup._swept(low, near_dup.MATCHES)
+        want = near_dup._labels(((low[:, None, :] == low[None, :, :]).sum(-1) >= near_dup.MATCHES)[None])[0]
+        assert np.array_equal(want, found)
+        return len(set(found.tolist()))
+
+    hub = np.zeros(near_dup.COORDINATES, np.uint8)
+    path = np.stack([hub, hub, hub, hub])  # links 0-2, 2-3, 3-1 alone
+    path[2, :20], path[3, :40], path[1, :60] = 1, 1, 1
+    assert own(path) == 1
+    leaves = np.stack([hub] * 60)  # two stars, joined by their last leaves alone
+    leaves[30:, :60] = 1
+    for k in range(1, 29):
+        leaves[[k, 30 + k], 60 + k % 4] = 2 + k
+    leaves[29, :20], leaves[59, 40:60] = 1, 0
+    assert own(leaves) == 1
+    for steps in (5, 15, 25, 27, 40):
+        starts = rng.integers(0, 256, (3, near_dup.COORDINATES)).astype(np.uint8)
+        low = np.stack([row for start in starts for row in walk(start, 40, steps)])
+        own(low[rng.permutation(len(low))])
+
+
 def test_similar_counts_whole_sets():
     sets = [np.arange(a, b, dtype=np.uint64) for a, b in ((0, 100), (10, 100), (20, 120), (500, 501))]
     assert similar(sets, 80, 100).tolist() == [
