@@ -34,10 +34,11 @@ COORDINATES = 64
 MATCHES = 38
 #: Entries of the table of counts that orders the postings, whatever the size of the corpus.
 RARITY = 1 << 16
-#: Members of a list, and bytes of sets of a group, that one task compares with as many others.
+#: Members of a list, and bytes and number of sets of a group, that one task compares with as many others.
 CHUNK = 4096
 SMALL = 48
 CHUNK_BYTES = 4 << 20
+CHUNK_SETS = 2048
 
 _FACTORS = np.random.default_rng(20240607).integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPOTS = np.random.default_rng(11).integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -262,9 +263,12 @@ def similar(sets: list[np.ndarray], above: int, of: int) -> np.ndarray:
         part = np.zeros((len(sets), width), np.float32)
         part[rows[begin:end], column[begin:end] - at] = 1
         both += part @ part.T
-    both = np.rint(both).astype(np.int64)
     np.fill_diagonal(both, lengths)
-    return of * both >= above * (lengths[:, None] + lengths[None, :] - both)
+    linked = np.empty(both.shape, bool)
+    for at in range(0, len(sets), 256):  # so that there is one matrix of numbers alone
+        some = np.rint(both[at : at + 256]).astype(np.int64)
+        linked[at : at + 256] = of * some >= above * (lengths[at : at + 256, None] + lengths[None, :] - some)
+    return linked
 
 
 def _confirm(above: int, of: int):
@@ -330,7 +334,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, above: int = 80, of: int =
     # One row of each class stands for it. Texts are joined by doc_id and told apart by the digest.
     first = sketches.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
     wanted = near.withColumnRenamed("node", "digest").join(first, "digest")
-    sizes = wanted.groupBy("root").agg(F.ceil(F.sum("n") * 8 / CHUNK_BYTES).alias("chunks"))
+    chunks = F.greatest(F.ceil(F.sum("n") * 8 / CHUNK_BYTES), F.ceil(F.count("*") / CHUNK_SETS))
+    sizes = wanted.groupBy("root").agg(chunks.alias("chunks"))
     wanted = wanted.join(sizes, "root").select(F.col("doc_id").alias("of_doc"), "root", "digest", "chunks")
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("of_doc")))
     found = texts.select("text", "root", "digest", "chunks").mapInArrow(

@@ -123,6 +123,21 @@ def test_similar_counts_whole_sets():
     ]
 
 
+def test_tasks_compare_a_bounded_number_of_short_sets(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "CHUNK_SETS", 20)
+    monkeypatch.setattr(near_dup, "components", lambda edges, name: edges.sparkSession.createDataFrame(joined[name], "node binary, root binary"))
+    texts = [f"x{k} " + " ".join(f"w{j}" for j in range(60)) for k in range(200)]
+    digests = [near_dup._digest(near_dup.shingle_set(t.encode().split(), 5, near_dup.WordHash())) for t in texts]
+    joined = {"near": [(d, min(digests)) for d in digests], "linked": []}
+    asked = []
+    whole = near_dup._meet
+    monkeypatch.setattr(near_dup, "_meet", lambda df, key, chunks: asked.append(whole(df, key, chunks)) or asked[-1])
+    near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).count()
+    sizes = [r["count"] for r in asked[-1].groupBy("root", "c", "d").count().collect()]
+    assert len(sizes) == 55 and max(sizes) <= 80
+    assert sum(sizes) == 200 * 10
+
+
 def test_components_of_a_path_a_star_and_a_cycle(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint"), "test").collect()}
