@@ -3,8 +3,8 @@
 Documents are read in shards of a bounded number of bytes. A shard's words are numbered by the words of the
 benchmark; runs of known words are laid end to end and their suffixes sorted (prefix doubling). Every suffix of
 every test item is then searched in the sorted suffixes, all at once, one word deeper at each step. The interval
-that is left at the window's length holds all places of that window; the last interval that is not empty
-holds the longest verbatim match and its places.
+that is left at the window's length holds all places of that window, and each document's longest verbatim match begins
+at one of its own places: those whose words before do not match as well are followed as far as they match.
 
 Nothing is shuffled: a document lies in one shard, and the benchmark comes to it in blocks of a fixed number
 of words, each broadcast by itself, so neither side needs to fit into a task's memory whole."""
@@ -95,14 +95,12 @@ def _bound(text, order, depth, wanted, low, high, after: bool):
     return low
 
 
-def search(text: np.ndarray, order: np.ndarray, block: Block):
-    """For each test suffix: length of its longest match in ``text``, the interval of ``order`` that has it, and
-    the interval at the depth of its window."""
+def search(text: np.ndarray, order: np.ndarray, block: Block) -> np.ndarray:
+    """For each test suffix the interval of ``order`` that has its window, empty if none has."""
     n = len(block.start)
     low, high = np.zeros(n, np.int64), np.full(n, len(order), np.int64)
-    longest = np.zeros(n, np.int64)
     windows = np.zeros((n, 2), np.int64)
-    active, depth = np.arange(n), 0
+    active, depth = np.flatnonzero(block.length >= block.window), 0
     while len(active):
         wanted = block.words[block.start[active] + depth]
         a = _bound(text, order, depth, wanted, low[active], high[active], False)
@@ -110,11 +108,28 @@ def search(text: np.ndarray, order: np.ndarray, block: Block):
         found = a < b
         active, a, b = active[found], a[found], b[found]
         depth += 1
-        low[active], high[active], longest[active] = a, b, depth
-        whole = active[block.window[active] == depth]
-        windows[whole] = np.stack([low[whole], high[whole]], axis=1)
-        active = active[block.length[active] > depth]
-    return longest, np.stack([low, high], axis=1), windows
+        low[active], high[active] = a, b
+        whole = block.window[active] == depth
+        windows[active[whole]] = np.stack([a[whole], b[whole]], axis=1)
+        active = active[~whole]
+    return windows
+
+
+def extend(text: np.ndarray, block: Block, rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of windows that stand in ``text``, test suffixes ``rows`` and their places ``at``, those that cannot be extended to the
+    left, and the length to which each matches to the right."""
+    before = (block.offset[rows] > 0) & (at > 0)
+    first = ~(before & (text[at - 1] == block.words[block.start[rows] - 1]))
+    rows, at = rows[first], at[first]
+    size = block.window[rows].copy()
+    active = np.arange(len(rows))
+    while len(active):
+        active = active[size[active] < block.length[rows[active]]]
+        deeper = block.words[block.start[rows[active]] + size[active]]
+        # A run ends in a zero, which no test item has.
+        active = active[text[at[active] + size[active]] == deeper]
+        size[active] += 1
+    return rows, at, size
 
 
 def _places(intervals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,23 +168,22 @@ class _Shard:
         where = np.full(len(text), -1, np.int64)
         text[at], where[at] = numbers[places], places
         order = suffix_order(text)
-        longest, best, windows = search(text, order, block)
-
-        rows, places = _places(windows)
-        starts = where[order[places]]
+        rows, places = _places(search(text, order, block))
+        at = order[places]
+        starts = where[at]
         np.add.at(self.hit, starts, 1)
         np.add.at(self.hit, starts + block.window[rows], -1)
         if len(rows):
             pairs = np.unique(np.stack([self.doc[starts], block.item[rows]], axis=1), axis=0)
             for doc, item in pairs.tolist():
                 self.items[doc].add(block.names[item])
-        long = np.flatnonzero(longest >= block.window)
-        rows, places = _places(best[long])
-        rows, starts = long[rows], where[order[places]]
-        for k in np.lexsort((starts, block.item[rows], -longest[rows], self.doc[starts])).tolist():
-            doc, size = int(self.doc[starts[k]]), int(longest[rows[k]])
-            if size > self.longest[doc][0]:
-                self.longest[doc] = (size, block.names[block.item[rows[k]]], int(block.offset[rows[k]]), int(starts[k] - self.begins[doc]))
+        rows, at, size = extend(text, block, rows, at)
+        starts = where[at]
+        doc = self.doc[starts]
+        order = np.lexsort((starts, block.item[rows], -size, doc))
+        for k in order[np.diff(doc[order], prepend=-1) > 0].tolist():  # the best of each document
+            if size[k] > self.longest[doc[k]][0]:
+                self.longest[doc[k]] = (int(size[k]), block.names[block.item[rows[k]]], int(block.offset[rows[k]]), int(starts[k] - self.begins[doc[k]]))
 
     def rows(self) -> list[list]:
         covered = np.cumsum(self.hit)[:-1] > 0

@@ -172,6 +172,17 @@ def test_contamination_is_that_of_all_windows(spark, odd, nothing, monkeypatch):
     assert contamination(odd, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_the_longest_match_is_that_of_each_document(spark):
+    words = [f"w{k}" for k in range(60)]
+    bench = spark.createDataFrame([("i", " ".join(words)), ("j", " ".join(words[30:] + words[:30]))], "item_id string, text string")
+    parts = {0: (0, 50), 1: (0, 20), 2: (10, 23), 3: (5, 17), 4: (30, 60), 5: (32, 47)}
+    rows = [(k, " ".join(["x"] * k + words[a:b] + ["y"] * 3)) for k, (a, b) in parts.items()]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    found = {r.doc_id: (r.longest, r.longest_item, r.item_start, r.doc_start) for r in contamination(docs, bench).collect()}
+    want = {k: (b - a, "i", a, k) for k, (a, b) in parts.items()}
+    assert found == want | {3: (0, None, None, None)}
+
+
 def test_water_is_filled_to_the_caps(spark):
     sizes = spark.createDataFrame([("a", 100), ("b", 1000), ("c", 10), (None, 0), ("d", 5000)], "source string, source_size bigint")
     found = {r.source: r.target for r in targets(sizes, (1, 2, 3), 3).collect()}
