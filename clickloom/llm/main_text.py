@@ -7,10 +7,10 @@ order wherever they occur, each round of them before the next; a class nests in
 between the same two members of that one. The elements that valid classes open are the page's template, and
 what lies between their tokens are its slots.
 
-The slots of an article or main element are extracted as the main text. Where the template has none, the
-main text is in the container whose slots hold most varying words over the group; strings that
-belong to the template are left out there. Slots that the template marks as menu, header, footer, sidebar, notice,
-advert, form, comment or code are dropped in either case."""
+The slots of an article or main element are extracted as the main text. Where a page has none, its
+main text is in the container whose slots hold most varying words over the pages with the same containers, or else
+in its own largest; strings that belong to the template are left out there. Equal pages count as one. Slots that the
+template marks as menu, header, footer, sidebar, notice, advert, form, comment or code are dropped in either case."""
 
 from __future__ import annotations
 
@@ -198,19 +198,50 @@ def _blocks(page: Page, inside) -> str:
 def extract(sources: list[str]) -> list[str]:
     """Main texts of pages of one host."""
     pages = [Page(source) for source in sources]
-    opened, fixed = template(pages)
+    # Strings do not belong to the template because a page is there several times.
+    distinct = list({tuple((kind, element.path, text) for kind, element, text in page.events): page for page in pages}.values())
+    opened, fixed = template(distinct)
+    if len(distinct) < 3:
+        fixed = set()
     roots = {element.path for page in pages for kind, element, _ in page.events if kind == "open" and element.root}
     # A root that the template does not confirm still counts on a page that has no other.
     sure = roots & opened
-    volume: Counter[str] = Counter()
-    for page in pages:
+
+    def volume(page: Page, left_out: set[tuple[str, str]]) -> Counter[str]:
+        """Words by container, those of some strings left out."""
+        found: Counter[str] = Counter()
         for kind, element, text in page.events:
-            if kind == "text" and _kept(element, None):
-                varying = 0 if len(pages) > 2 and (element.path, text) in fixed else len(text.split())
+            if kind == "text" and not text.isspace() and _kept(element, None):
+                varying = 0 if (element.path, text) in left_out else len(text.split())
                 while element.parent and (element.name in _INLINE or element.path not in opened or element.name in ("p", "li", "br")):
                     element = element.parent
-                volume[element.path] += varying
-    body = max(volume, key=lambda path: (volume[path], path), default=None)
+                found[element.path] += varying
+        return found
+
+    def largest(found: Counter[str]) -> str:
+        return max(found, key=lambda path: (found[path], path))
+
+    layouts: dict[frozenset[str], Counter[str]] = defaultdict(Counter)
+    for page in distinct:
+        if not any(element.root for _, element, _ in page.events):
+            found = volume(page, fixed)
+            layouts[frozenset(found)].update(found)
+
+    def body_text(page: Page) -> str:
+        left_out, found = fixed, volume(page, fixed)
+        if not found:
+            return ""
+        body = largest(layouts[frozenset(found)])
+        if not any(n for path, n in found.items() if path == body or path.startswith(f"{body}/")):
+            if not any(found.values()):  # all its strings are on other pages too
+                left_out, found = set(), volume(page, set())
+            body = largest(found)
+        return _blocks(
+            page,
+            lambda element, text: (element.path == body or element.path.startswith(f"{body}/"))
+            and _kept(element, None)
+            and (element.path, text) not in left_out,
+        )
 
     out = []
     for page in pages:
@@ -218,17 +249,8 @@ def extract(sources: list[str]) -> list[str]:
         own = own or {element.path for kind, element, _ in page.events if kind == "open" and element.root}
         if use := own & sure or own:
             out.append(_blocks(page, lambda element, _, use=use: (root := _root_of(element, use)) is not None and _kept(element, root)))
-        elif body is not None:
-            out.append(
-                _blocks(
-                    page,
-                    lambda element, text: (element.path == body or element.path.startswith(f"{body}/"))
-                    and _kept(element, None)
-                    and (len(pages) < 3 or (element.path, text) not in fixed),
-                )
-            )
         else:
-            out.append("")
+            out.append(body_text(page))
     return out
 
 

@@ -80,6 +80,17 @@ def test_main_text_without_articles_leaves_out_the_template():
     assert extract(sources) == [f"{'word ' * 9}{k} is it and {k * 7}" for k in range(6)]
 
 
+def test_main_text_of_two_layouts_and_of_copies():
+    texts = [f"{'word ' * 9}{k} is it" for k in range(9)]
+    bodies = ["<div id=x><p>{}</p></div>"] * 6 + ["<section><div class=story><p>{}</p></div></section>"] * 3
+    sources = [PAGE.format(k=k, main=body.format(text)) for k, (body, text) in enumerate(zip(bodies, texts, strict=True))]
+    assert extract(sources) == texts
+    other = "<html><body><table><tr><td>quite another site</td></tr></table></body></html>"
+    assert extract([*sources, other]) == [*texts, "quite another site"]
+    assert extract(sources[:1] * 3) == texts[:1] * 3
+    assert extract(sources[:6] + sources[:1] * 9) == texts[:6] + texts[:1] * 9
+
+
 def test_main_text_of_odd_pages(spark):
     rows = [(1, None, None), (2, "http://a.b/c", ""), (3, "x", "a < b &lt; c"), (3, "x", "a < b &lt; c"), (None, "http://a.b/d", "<article>" + "<p>y" * 20_000)]
     pages = spark.createDataFrame([(*r, "z") for r in rows], "page_id bigint, url string, html string, text string")
