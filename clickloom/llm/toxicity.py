@@ -2,7 +2,8 @@
 
 Two zstandard dictionaries share a part trained on ordinary text, so what they know of ordinary words is the same
 to the byte and cancels out. The toxic one has in front the words that mark toxic text: those that begin
-with a segment whose document frequencies speak for the toxic class by a likelihood ratio. A window is a
+with a segment whose document frequencies speak for the toxic class by a likelihood ratio beyond a fixed level of
+significance. Near copies of a text say the same thing again, so they count once and stay in one half. A window is a
 fixed number of words between short carriers from the shared part, because the compressor gives up on very short input
 and finds no match in its last bytes. The distance is the compressed length with the ordinary dictionary less that with the toxic
 one. A window with a distance is taken apart, and the distance of each of its words measured in the same way. Over
@@ -17,14 +18,15 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import add_columns
+from clickloom.llm.common import WordHash, add_columns
+from clickloom.llm.near_dup import shingle_set, signature
 
 #: Most training rows of each class.
 SAMPLE = {1: 3000, 0: 6000}
@@ -38,6 +40,8 @@ CARRIER = 40
 #: Distance of a window that is looked at word by word, and of a word that counts as toxic.
 NEAR, FAR = 1, 3
 _SHORTEST, _LONGEST = 4, 12
+#: Probability that any segment at all that says nothing of the class marks it, shared out over those that are tested.
+ERROR = 0.05
 
 
 def _words(text: str) -> list[bytes]:
@@ -49,20 +53,39 @@ def windows(text: str) -> list[bytes]:
     return [b" " + b" ".join(words[k : k + WINDOW]) + b" " for k in range(0, len(words), WINDOW)]
 
 
-def _segments(texts: list[str]) -> tuple[Counter, Counter]:
-    """Document frequencies of beginnings of words, the whole word included, and of words."""
-    starts, words = Counter(), Counter()
+def families(texts: list[str]) -> dict[str, str]:
+    """For each text the first of which it is a near copy: half of the signature of its three-word shingles is the same."""
+    hashes, first, seen = WordHash(), {}, defaultdict(list)
     for text in texts:
-        own = {b" " + w + b" " for w in _words(text)}
+        if text in first:
+            continue
+        own = signature(shingle_set(_words(text), 3, hashes))
+        near = Counter(other for entry in enumerate(own.tolist()) for other in seen.get(entry, ()))
+        best, n = near.most_common(1)[0] if near else (text, 0)
+        first[text] = best if 2 * n >= len(own) else text
+        if first[text] is text:
+            for entry in enumerate(own.tolist()):
+                seen[entry].append(text)
+    return first
+
+
+def _segments(texts: list[str], first: dict[str, str]) -> tuple[Counter, Counter]:
+    """Document frequencies of beginnings of words, the whole word included, and of words; near copies count once."""
+    starts, words, members = Counter(), Counter(), defaultdict(list)
+    for text in texts:
+        members[first[text]].append(text)
+    for family in members.values():
+        own = {b" " + w + b" " for text in family for w in _words(text)}
         words.update(own)
         starts.update({w[:n] for w in own for n in range(_SHORTEST, min(_LONGEST, len(w)) + 1)})
     return starts, words
 
 
-def marking_words(toxic: list[str], ordinary: list[str]) -> list[bytes]:
+def marking_words(toxic: list[str], ordinary: list[str], first: dict[str, str] | None = None) -> list[bytes]:
     """Words of toxic texts that begin with a segment that marks them, the more frequent ones last."""
-    n, m = len(toxic), len(ordinary)
-    (bad, words), (good, _) = _segments(toxic), _segments(ordinary)
+    first = families(toxic + ordinary) if first is None else first
+    n, m = len({first[t] for t in toxic}), len({first[t] for t in ordinary})
+    (bad, words), (good, _) = _segments(toxic, first), _segments(ordinary, first)
 
     def ratio(a: int, b: int) -> float:
         """Log likelihood ratio of frequencies a of n and b of m against one common frequency."""
@@ -71,7 +94,9 @@ def marking_words(toxic: list[str], ordinary: list[str]) -> list[bytes]:
             0 if b else -m * math.log(1 - p)
         )
 
-    marks = {s for s, a in bad.items() if a >= 3 and a * m > 50 * n * (good[s] + 0.5) * min(1.0, m / 2000) and ratio(a, good[s]) > max(8.0, 0.03 * n)}
+    tested = [s for s, a in bad.items() if a >= 3]
+    least = math.log(max(len(tested), 1) / ERROR)
+    marks = {s for s in tested if bad[s] * m > 50 * n * (good[s] + 0.5) * min(1.0, m / 2000) and ratio(bad[s], good[s]) > least}
     # Of nested segments the longest that still stands for most of the shorter one's texts.
     longer = Counter()
     for s in marks:
@@ -86,8 +111,9 @@ class Model:
     """Dictionaries and weights; compressors are made where they are used."""
 
     def __init__(self, toxic: list[str], ordinary: list[str]) -> None:
-        halves = [[t for t in texts if zlib.crc32(t.encode()) % 2 == k] for texts in (toxic, ordinary) for k in (0, 1)]
-        self.shared, self.toxic = self._dictionaries(halves[0] or toxic, halves[2] or ordinary)
+        first = families(toxic + ordinary)
+        halves = [[t for t in texts if zlib.crc32(first[t].encode()) % 2 == k] for texts in (toxic, ordinary) for k in (0, 1)]
+        self.shared, self.toxic = self._dictionaries(halves[0] or toxic, halves[2] or ordinary, first)
         self.compressors = None
         self.mean, self.scale, self.weights, self.shift = np.zeros(4), np.ones(4), np.zeros(5), 0.0
         if not toxic or not ordinary:
@@ -114,17 +140,17 @@ class Model:
         else:  # the best that can be done is to call all toxic: nothing was learnt, so nothing is
             cut = value.max() + 1
         self.shift = math.log(THRESHOLD / (1 - THRESHOLD)) - cut
-        self.shared, self.toxic = self._dictionaries(toxic, ordinary)
+        self.shared, self.toxic = self._dictionaries(toxic, ordinary, first)
         self.compressors = None
 
     @staticmethod
-    def _dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
+    def _dictionaries(toxic: list[str], ordinary: list[str], first: dict[str, str]) -> tuple[bytes, bytes]:
         samples = [w for text in ordinary for w in windows(text)]
         try:
             shared = zstandard.train_dictionary(DICTIONARY, samples, k=64, d=8, level=LEVEL).as_bytes()
         except zstandard.ZstdError:  # too little text to train on: the text itself
             shared = b"".join(samples)[-DICTIONARY:]
-        marks = marking_words(toxic, ordinary) if toxic and ordinary else []
+        marks = marking_words(toxic, ordinary, first) if toxic and ordinary else []
         try:
             front = zstandard.train_dictionary(DICTIONARY, marks, k=16, d=6, level=LEVEL).as_bytes() if len(marks) > 4000 else b""
         except zstandard.ZstdError:

@@ -123,6 +123,20 @@ def test_toxic_words_are_learnt(spark, odd, nothing):
     assert toxicity(nothing, known).count() == 0
 
 
+def test_rare_markers_are_learnt_at_the_full_sample():
+    from clickloom.llm.toxicity import SAMPLE, marking_words
+
+    rng = random.Random(7)
+    plain = [f"{a}{b}{c}" for a in "lo mi ta re su na".split() for b in "ka pen dor fil gu".split() for c in "ba ce di".split()]
+    toxic, ordinary = ([" ".join(rng.choices(plain, k=12)) for _ in range(SAMPLE[label])] for label in (1, 0))
+    for k in range(30):  # one text in a hundred
+        toxic[k * 100] += " grobnak"
+    copies = " ".join(rng.choices(plain, k=40)) + " vexhole"
+    for k in range(40):  # near copies are no evidence of their words
+        toxic[k * 70 + 1] = f"{copies} {k}"
+    assert marking_words(toxic, ordinary) == [b" grobnak "]
+
+
 def test_languages_are_told_apart(spark, odd, nothing):
     texts = {"xx": "the cat sat on the mat and then ran", "yy": "der hund und die katze sind nicht hier", "zz": "le chat est sur la table avec une souris"}
     rng = random.Random(1)
