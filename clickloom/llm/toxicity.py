@@ -151,11 +151,7 @@ class Model:
         except zstandard.ZstdError:  # too little text to train on: the text itself
             shared = b"".join(samples)[-DICTIONARY:]
         marks = marking_words(toxic, ordinary, first) if toxic and ordinary else []
-        try:
-            front = zstandard.train_dictionary(DICTIONARY, marks, k=16, d=6, level=LEVEL).as_bytes() if len(marks) > 4000 else b""
-        except zstandard.ZstdError:
-            front = b""
-        return shared, (front + b"".join(marks))[-DICTIONARY:]
+        return shared, b"".join(marks)[-DICTIONARY:]
 
     def _distance(self):
         """Function from a window to its distance."""

@@ -137,6 +137,14 @@ def test_rare_markers_are_learnt_at_the_full_sample():
     assert marking_words(toxic, ordinary) == [b" grobnak "]
 
 
+def test_the_toxic_dictionary_holds_its_words_whatever_their_number(monkeypatch):
+    from clickloom.llm import toxicity as module
+
+    marks = [b" %04d " % k for k in range(4500)]
+    monkeypatch.setattr(module, "marking_words", lambda *_: marks)
+    assert module.Model._dictionaries(["bad"], ["good"], {})[1] == b"".join(marks)
+
+
 def test_languages_are_told_apart(spark, odd, nothing):
     texts = {"xx": "the cat sat on the mat and then ran", "yy": "der hund und die katze sind nicht hier", "zz": "le chat est sur la table avec une souris"}
     rng = random.Random(1)
