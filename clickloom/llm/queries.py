@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import exact_dup, mixture, shards
+from clickloom.llm import exact_dup, mixture, shards, spelling
 from clickloom.llm.common import table
 from clickloom.llm.decontaminate import contamination
 from clickloom.llm.language import predict_language
@@ -83,6 +83,10 @@ def op10_repeated_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(_documents(spark, folder).select("doc_id", "text"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -96,6 +100,7 @@ QUERIES = {
         op8_language,
         op9_mixture,
         op10_repeated_text,
+        op11_spelling_variants,
     )
 }
 
@@ -103,4 +108,5 @@ ORACLE = {
     "op4_shards": shards.ORACLE,
     "op5_exact_duplicates": exact_dup.ORACLE,
     "op9_mixture": mixture.ORACLE,
+    "op11_spelling_variants": spelling.ORACLE,
 }
