@@ -14,6 +14,7 @@ from clickloom.llm.near_dup import near_duplicates
 from clickloom.llm.repeated_text import remove_repeated
 from clickloom.llm.token_records import token_records
 from clickloom.llm.toxicity import toxicity
+from clickloom.llm.whitening import whitened_rows
 from clickloom.session import pin_session
 
 
@@ -87,6 +88,11 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.spelling_variants(_documents(spark, folder).select("doc_id", "text"))
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    pin_session(spark)
+    return whitened_rows(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -101,6 +107,7 @@ QUERIES = {
         op9_mixture,
         op10_repeated_text,
         op11_spelling_variants,
+        op12_whitening,
     )
 }
 
