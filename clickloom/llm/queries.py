@@ -9,6 +9,7 @@ from clickloom.llm import exact_dup, mixture, shards, spelling
 from clickloom.llm.common import table
 from clickloom.llm.decontaminate import contamination
 from clickloom.llm.language import predict_language
+from clickloom.llm.license_scan import license_scan
 from clickloom.llm.main_text import main_text
 from clickloom.llm.near_dup import near_duplicates
 from clickloom.llm.repeated_text import remove_repeated
@@ -93,6 +94,11 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitened_rows(table(spark, folder, "embeddings"))
 
 
+def op13_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = license_scan(_documents(spark, folder).select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -108,6 +114,7 @@ QUERIES = {
         op10_repeated_text,
         op11_spelling_variants,
         op12_whitening,
+        op13_licenses,
     )
 }
 
