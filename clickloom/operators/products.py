@@ -1,214 +1,274 @@
-"""Products of a sparse rating matrix, tile by tile.
+"""Products of a sparse rating matrix by an inverted join.
 
-The matrix arrives as cells (user_id, item_id, weight). Joining it with itself would emit every pair
-of cells that share a user. Here Spark brings the cells of two blocks of entities together (one
-shuffle, each cell copied once per block), a task multiplies them as one small matrix product, and
-only finished sums leave the task. Blocks come from a hash of the id, so popular ids spread. The
-number of blocks follows from the numbers of users and items, so a group has a bounded size: with
-more members in common, or more items, the blocks get smaller.
-"""
+The matrix arrives as cells (user_id, item_id, weight). Joining it with itself would emit every pair of
+cells that share a member. Here entities are dealt into groups by a hash of their id, about as many as the multiplications
+ask for. A group asks for the members its own cells name, each once, and an inverted join brings it the cells of these
+members and of nothing else: a cell travels to the groups that reach it, never to all. Cells of a member travel
+in packs of bounded size. A task then sums products entity by entity and lets only sums leave, of a top-k only what can still be
+among the best.
+
+A group that reaches more than ``REACH`` cells, because its members are hot, is salted: the members that it reaches are
+dealt to several tasks, whose partial sums Spark adds up. Rows go straight to the partition of their group and salt, so
+two groups never share a task and nothing is sorted."""
 
 from __future__ import annotations
 
 import sys
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.session import materialize
+
 # The task functions below travel with the job; executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK = 500  # entities per block
-USER_BLOCK = 8000  # users scored together
-TILE_CELLS = 8_000_000  # cells that one block may hold if every rating is present
-CHUNK = 262_144  # numbers held at a time while summing sparse rows or writing out links; stays in cache
-LINKS = "source bigint, block int, ids array<bigint>, sims array<double>, masses array<double>"
-
-
-def blocks_for(limit: int, block: int) -> int:
-    return max(1, -(-limit // block))
-
-
-def entity_blocks(max_entities: int, max_shared: int) -> int:
-    """Number of blocks of entities, so that a block stays below TILE_CELLS even when dense."""
-    return blocks_for(max_entities, max(1, min(BLOCK, TILE_CELLS // max_shared)))
-
-
-def block_of(column: Column, count: int) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(count)).cast("int")
-
-
-def _one_task_per_tile(df: DataFrame, tiles: int, *key: str) -> DataFrame:
-    """As many partitions as tiles, so that a task holds few of them."""
-    return df.repartition(tiles, *key)
-
-
-def _every(count: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+WORK = 100_000_000  # multiplications that a group does, on average
+SMALL_WORK = 4_000_000  # below the number of cores, groups are made for so many
+REACH = 4_000_000  # cells that a task holds
+PACK = 4096  # cells of one member that travel as one row
+FLUSH = 500_000  # result rows that a task holds before it sends them
+CUTS = 128  # stretches of scores whose maxima give a first bound for the k-th best
 
 
-def _dense(rows, columns, values, n_rows, n_columns):
-    matrix = np.zeros((n_rows, n_columns))
-    matrix[rows, columns] = values
-    return matrix
+def groups_for(work: float, entities: int, cores: int) -> int:
+    """Number of groups for so many multiplications: at least one, at most one for each entity, and no last round of tasks for a few."""
+    wanted = -(-work // WORK)
+    wanted = min(cores, -(-work // SMALL_WORK)) if wanted <= cores else round(wanted / cores) * cores
+    return int(max(1, min(wanted, entities)))
 
 
-def _times(rows, columns, values, n_rows, dense):
-    """A sparse matrix, given as cells, times a dense one.
+def _group_of(entity: str, groups: int) -> Column:
+    return F.pmod(F.xxhash64(entity), F.lit(groups)).cast("int")
 
-    The dense rows that cells point to are summed per sparse row, a bounded number of cells at a time."""
-    width = dense.shape[1]
-    result = np.zeros((n_rows, width))
-    order = np.argsort(rows, kind="stable")
-    step = max(1, CHUNK // max(1, width))
-    for start in range(0, len(order), step):
-        part = order[start : start + step]
-        heads = np.flatnonzero(np.r_[True, np.diff(rows[part]) != 0])
-        sums = np.add.reduceat(dense[columns[part]] * values[part, None], heads, axis=0)
-        result[rows[part][heads]] += sums
-    return result
 
+def packed(cells: DataFrame, member: str, largest: int, *columns: str) -> DataFrame:
+    """Rows (member, n, one array for each column): the member's cells in packs of about ``PACK`` for a member of ``largest`` cells, so of at most
+    about that for any; ``n`` is the pack's size."""
+    pack = F.pmod(F.xxhash64(columns[0], F.lit(3)), F.lit(-(-largest // PACK) or 1))
+    # One list of structs, so that the arrays stay in step.
+    held = cells.groupBy(member, pack.alias("pack")).agg(F.count("*").alias("n"), F.collect_list(F.struct(*columns)).alias("cells"))
+    return materialize(held.select(member, "n", *[F.col(f"cells.{name}").alias(name) for name in columns]), "packs")
 
-def _multiply_blocks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """One tile: the cells of blocks ``low`` and ``high`` -> links from each id to ids of the other block."""
-    low, high = key
-    shared, shared_at = np.unique(rows["shared"].to_numpy(), return_inverse=True)
 
-    def side(block):
-        inside = rows["mine"].to_numpy() == block
-        cells = rows[inside]
-        ids, first, at = np.unique(cells["entity"].to_numpy(), return_index=True, return_inverse=True)
-        return ids, cells["square"].to_numpy()[first], at, shared_at[inside], cells
-
-    left_ids, left_squares, left_at, left_shared, left = side(low)
-    right_ids, right_squares, right_at, right_shared, right = side(high)
-
-    def product(name):
-        other = _dense(right_shared, right_at, right[name].to_numpy(), len(shared), len(right_ids))
-        return _times(left_at, left_shared, left["weight"].to_numpy(), len(left_ids), other)
-
-    dot, mass = product("weight"), product("scaled")
-    if low == high:
-        np.fill_diagonal(dot, 0)
-    sim = dot / np.sqrt(np.outer(left_squares, right_squares))
-
-    def links(ids, block, partners, dot, sim, mass):
-        found = []
-        for at, source in enumerate(ids):
-            (near,) = np.nonzero(dot[at])
-            if len(near):
-                found.append((source, block, partners[near], sim[at, near], mass[at, near]))
-        return found
-
-    found = links(left_ids, high, right_ids, dot, sim, mass)
-    if low != high:
-        found += links(right_ids, low, left_ids, dot.T, sim.T, mass.T)
-    return pd.DataFrame(found, columns=["source", "block", "ids", "sims", "masses"])
-
-
-def similar_entities(cells: DataFrame, max_entities: int, max_shared: int) -> DataFrame:
-    """For every entity its neighbours, in one list per block: source, block, ids, sims, masses.
-
-    ``cells``: entity, shared, weight, scaled and ``square``, the entity's sum of squared weights.
-    sim is the cosine, mass = sum(w_source * scaled_neighbour) over shared members; mass is symmetric
-    if scaled is the weight times a factor of the shared member. An entity is not its own neighbour."""
-    count = entity_blocks(max_entities, max_shared)
-    placed = cells.select("entity", "shared", "weight", "scaled", "square", block_of(F.col("entity"), count).alias("mine"))
-    tiles = placed.withColumn("other", _every(count)).select(
-        *placed.columns, F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high")
-    )
-    tiles = _one_task_per_tile(tiles, count * (count + 1) // 2, "low", "high")
-    return tiles.groupBy("low", "high").applyInPandas(_multiply_blocks, LINKS)
-
-
-def neighbours_of(links: DataFrame) -> DataFrame:
-    """Neighbour lists -> one row per neighbour: id, neighbour, sim."""
-    pairs = links.select("source", F.inline(F.arrays_zip("ids", "sims")))
-    return pairs.select(F.col("source").alias("id"), F.col("ids").alias("neighbour"), F.col("sims").alias("sim"))
+@dataclass(frozen=True)
+class Size:
+    """Of the cells: how many, how many the largest entity has, and the sum of squared numbers of cells of the entities."""
+
+    entities: int = 0
+    cells: int = 0
+    largest: int = 0
+    pairs: int = 0
+
+
+def _salts(reached: DataFrame, size: Size) -> int:
+    """Salts that the largest group needs, for rows (group, n)."""
+    if size.cells <= REACH:  # no group can reach so many cells
+        return 1
+    largest = reached.groupBy("group").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
+    return max(1, -(-largest // REACH))
+
+
+def _placed(rows: DataFrame, parts: int) -> DataFrame:
+    return rows.repartitionById(parts, F.col("part"))
+
+
+def _salt_of(member: str, salts: int) -> Column:
+    return F.pmod(F.xxhash64(member, F.lit(1)), F.lit(salts)).cast("int")
+
+
+def _read(batches, names, lists):
+    """Columns of a partition as arrays, single values repeated for each entry of the lists; None if it has no rows."""
+    held = [batch for batch in batches if batch.num_rows]
+    if not held:
+        return None
+    table = pa.Table.from_batches(held).combine_chunks()
+    sizes = pa.compute.list_value_length(table.column(lists[0])).to_numpy()
+    single = [np.repeat(table.column(name).to_numpy(), sizes) for name in names]
+    return single + [pa.compute.list_flatten(table.column(name)).to_numpy() for name in lists]
+
+
+class _Rows:
+    """A sparse matrix by rows: ``column`` and ``value`` of row r lie at start[r] : start[r + 1]."""
+
+    def __init__(self, row: np.ndarray, column: np.ndarray, value: np.ndarray, rows: int) -> None:
+        order = np.argsort(row, kind="stable")
+        self.column, self.value = column[order].astype(np.int32), value[order]
+        small = self.value.astype(np.float32)
+        if np.array_equal(small, self.value):  # whole weights: half the memory to read, the same products
+            self.value = small
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=rows))])
+
+    def entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of all entries of some rows, and how many each row has."""
+        begins = self.start[rows]
+        sizes = self.start[rows + 1] - begins
+        return np.arange(sizes.sum()) + np.repeat(begins - np.cumsum(sizes) + sizes, sizes), sizes
+
+
+def _best(scores: np.ndarray, k: int | None, tolerance: float) -> np.ndarray:
+    """Places of the scores above zero, with ``k`` of those not more than ``tolerance`` below the k-th best."""
+    if k is None:
+        return np.flatnonzero(scores > 0)
+    width = len(scores) // CUTS
+    if width and k <= CUTS:
+        # The k-th best maximum of a stretch is not above the k-th best score.
+        bound = np.partition(scores[: width * CUTS].reshape(CUTS, width).max(axis=1), -k)[-k]
+        above = np.flatnonzero(scores >= max(bound - tolerance, np.finfo(float).tiny))
+    else:
+        above = np.flatnonzero(scores > 0)
+    if len(above) <= k:
+        return above
+    edge = np.partition(scores[above], -k)[-k]
+    return above[scores[above] >= edge - tolerance]
+
+
+class _Out:
+    """Result rows, sent in batches."""
+
+    def __init__(self, names: list[str]) -> None:
+        self.names, self.parts, self.rows = names, [], 0
+
+    def add(self, *columns):
+        """A batch once enough rows are held."""
+        self.parts.append(columns)
+        self.rows += len(columns[0])
+        if self.rows >= FLUSH:
+            yield self.batch()
+
+    def batch(self) -> pa.RecordBatch:
+        columns = [np.concatenate(x) for x in zip(*self.parts, strict=True)]
+        self.parts, self.rows = [], 0
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], self.names)
+
+    def rest(self):
+        if self.parts:
+            yield self.batch()
+
+
+def _similar(groups: int, k: int | None, tolerance: float):
+    def run(batches):
+        found = _read(batches, ("shared", "group"), ("entity", "weight", "square", "home"))
+        if found is None:
+            return
+        shared, group, entity, weight, square, home = found
+        ids, first, row = np.unique(entity, return_index=True, return_inverse=True)
+        square = square[first]
+        members, column = np.unique(shared, return_inverse=True)
+        by_member = _Rows(column, row, weight, len(members))
+        mine = _Rows(row, column, weight, len(ids))
+        out = _Out(["entity", "neighbour", "dot", "squares"])
+        for r in np.unique(row[home == group]):
+            cells = slice(mine.start[r], mine.start[r + 1])
+            at, sizes = by_member.entries(mine.column[cells])
+            dots = np.bincount(by_member.column[at], np.repeat(mine.value[cells], sizes) * by_member.value[at], len(ids))
+            dots[r] = 0
+            near = _best(dots / np.sqrt(square * square[r]), k, tolerance)
+            yield from out.add(np.full(len(near), ids[r]), ids[near], dots[near], square[near] * square[r])
+        yield from out.rest()
+
+    return run
+
+
+def neighbours(cells: DataFrame, entities: int, shared: Size, k: int | None = None, tolerance: float = 2e-6) -> DataFrame:
+    """Cosines above zero of different entities: (entity, neighbour, sim).
+
+    ``cells``: entity, shared, weight and ``square``, the entity's sum of squared weights; ``entities`` is the number of these, ``shared``
+    the size of the cells by shared member. With ``k`` a task passes on only what can still be among the k largest of an entity: all
+    not more than ``tolerance`` below the k-th; the choice is made afterwards."""
+    groups = groups_for(shared.pairs, entities, cells.sparkSession.sparkContext.defaultParallelism)
+    named = cells.select("shared", "entity", F.col("weight").cast("double").alias("weight"), F.col("square").cast("double").alias("square"), _group_of("entity", groups).alias("home"))
+    packs = packed(named, "shared", shared.largest, "entity", "weight", "square", "home")
+    # The groups that a member's own entities live in are those that ask for it.
+    asked = packs.select("shared", F.explode(F.array_distinct("home")).alias("group")).distinct()
+    met = asked.join(packs, "shared")
+    salts = _salts(met, shared)
+    placed = met.select((F.col("group") * salts + _salt_of("shared", salts)).alias("part"), "shared", "group", "entity", "weight", "square", "home")
+    schema = "entity bigint, neighbour bigint, dot double, squares double"
+    found = _placed(placed, groups * salts).mapInArrow(_similar(groups, k if salts == 1 else None, tolerance), schema)
+    if salts > 1:
+        found = found.groupBy("entity", "neighbour").agg(F.sum("dot").alias("dot"), F.first("squares").alias("squares"))
+    return found.select("entity", "neighbour", (F.col("dot") / F.sqrt("squares")).alias("sim"))
+
+
+def _score(k: int | None, tolerance: float):
+    def run(batches):
+        found = _read(batches, ("user_id", "own", "reached"), ("item_id", "weight", "item_norm"))
+        if found is None:
+            return
+        user, own, reached, item, weight, item_norm = found
+        users, row = np.unique(user, return_inverse=True)
+        items, first, column = np.unique(item, return_index=True, return_inverse=True)
+        inorm = item_norm[first]
+        own, reached = own.astype(bool), reached.astype(bool)
+        unorm = np.sqrt(np.bincount(row[reached], weight[reached] ** 2, len(users)))
+        mine = _Rows(row[own], column[own], weight[own], len(users))
+        by_user = _Rows(row[reached], column[reached], weight[reached], len(users))
+        by_item = _Rows(column[reached], row[reached], weight[reached], len(items))
+        unorm[unorm == 0] = 1  # users that are only looked for here
+        out = _Out(["user_id", "item_id", "item_score", "user_score"])
+        for r in np.unique(row[own]):
+            cells = slice(mine.start[r], mine.start[r + 1])
+            seen, rated = mine.column[cells], mine.value[cells].astype(float)
+            at, sizes = by_item.entries(seen)
+            # What the user has in common with each user reached: divided by the norms of the items, and as it is.
+            common, other = by_item.value[at], by_item.column[at]
+            scaled = np.bincount(other, np.repeat(rated / inorm[seen], sizes) * common, len(users))
+            plain = np.bincount(other, np.repeat(rated, sizes) * common, len(users)) / unorm
+            met = np.flatnonzero(scaled)
+            at, sizes = by_user.entries(met)
+            there, theirs = by_user.column[at], by_user.value[at]
+            by_items = np.bincount(there, np.repeat(scaled[met], sizes) * theirs, len(items)) / inorm
+            by_users = np.bincount(there, np.repeat(plain[met], sizes) * theirs, len(items)) / np.sqrt(rated @ rated)
+            by_items[seen] = by_users[seen] = 0
+            if k is None:
+                chosen = np.flatnonzero((by_items > 0) | (by_users > 0))
+            else:
+                chosen = np.union1d(_best(by_items, k, tolerance), _best(by_users, k, tolerance))
+            yield from out.add(np.full(len(chosen), users[r]), items[chosen], by_items[chosen], by_users[chosen])
+        yield from out.rest()
+
+    return run
 
 
 def candidate_scores(
-    cells: DataFrame,
-    links: DataFrame,
-    max_items: int,
-    max_users: int,
-    k: int | None = None,
-    tolerance: float = 2e-6,
+    cells: DataFrame, work: float, entities: int, users: Size, k: int | None = None, wanted: DataFrame | None = None, tolerance: float = 2e-6
 ) -> DataFrame:
     """Scores of unseen items: (user_id, item_id, item_score, user_score), at least one above zero.
 
-    item_score = sum_j w_uj * sim(j, i); user_score = sum_j (w_uj / norm_u) * mass(j, i), which for an
-    unseen item equals the sum over all other users v of cos(u, v) * w_vi, without users x users.
-
-    ``cells``: user_id, item_id, weight and ``norm`` of the user; ``links`` from similar_entities. With
-    ``k`` a tile passes on only what can still be among the k best of a user: every item of its block
-    not more than ``tolerance`` below the k-th best there. The choice is made afterwards, on all tiles."""
-    item_blocks, user_blocks = entity_blocks(max_items, max_users), blocks_for(max_users, USER_BLOCK)
-    ratings = cells.select(
-        "user_id", "item_id", "weight", "norm", block_of(F.col("user_id"), user_blocks).alias("users"), _every(item_blocks).alias("block")
-    )
-    spread = links.withColumn("users", _every(user_blocks))
-    ratings, spread = (_one_task_per_tile(df, user_blocks * item_blocks, "users", "block") for df in (ratings, spread))
-
-    def best(scores):
-        above = scores > 0
-        if k is None or scores.shape[1] <= k:
-            return above
-        edge = np.partition(scores, -k, axis=1)[:, -k]
-        return above & (scores >= edge[:, None] - tolerance)
-
-    def score(rated: pd.DataFrame, linked: pd.DataFrame) -> pd.DataFrame:
-        if rated.empty or linked.empty:
-            return pd.DataFrame(columns=["user_id", "item_id", "item_score", "user_score"], dtype="float64")
-        users, first, user_at = np.unique(rated["user_id"].to_numpy(), return_index=True, return_inverse=True)
-        norms = rated["norm"].to_numpy()[first]
-        sources, source_at = np.unique(linked["source"].to_numpy(), return_inverse=True)
-        source_at = np.repeat(source_at, linked["ids"].map(len).to_numpy())
-        items, item_at = np.unique(np.concatenate(linked["ids"].to_numpy()), return_inverse=True)
-        rated_items = rated["item_id"].to_numpy()
-
-        def placed(ids):
-            at = np.minimum(np.searchsorted(ids, rated_items), len(ids) - 1)
-            return ids[at] == rated_items, at
-
-        # For each rated cell its source's links, written out a bounded number at a time.
-        order = np.argsort(source_at, kind="stable")
-        ends = np.cumsum(np.bincount(source_at, minlength=len(sources)))
-        item_at = item_at[order]
-        sims, masses = (np.concatenate(linked[name].to_numpy())[order] for name in ("sims", "masses"))
-        known, at = placed(sources)
-        cell_user, cell_source, cell_weight = user_at[known], at[known], rated["weight"].to_numpy()[known]
-        lengths = np.diff(ends, prepend=0)[cell_source]
-        by_item, by_user = np.zeros(len(users) * len(items)), np.zeros(len(users) * len(items))
-        upto = np.cumsum(lengths)
-        cuts = np.flatnonzero(np.diff(upto // CHUNK)) + 1
-        for part in np.split(np.arange(len(lengths)), cuts):
-            n = lengths[part]
-            link = np.arange(n.sum()) + np.repeat(ends[cell_source[part]] - np.cumsum(n), n)
-            cell = np.repeat(part, n)
-            where = cell_user[cell] * len(items) + item_at[link]
-            for total, values in ((by_item, sims), (by_user, masses)):
-                np.add.at(total, where, cell_weight[cell] * values[link])
-        by_item = by_item.reshape(len(users), len(items))
-        by_user = by_user.reshape(len(users), len(items)) / norms[:, None]
-        seen, seen_at = placed(items)
-        for scores in (by_item, by_user):
-            scores[user_at[seen], seen_at[seen]] = -np.inf
-        row, column = np.nonzero(best(by_item) | best(by_user))
-        return pd.DataFrame(
-            {
-                "user_id": users[row],
-                "item_id": items[column],
-                "item_score": by_item[row, column],
-                "user_score": by_user[row, column],
-            }
-        )
-
-    return (
-        ratings.groupBy("users", "block")
-        .cogroup(spread.groupBy("users", "block"))
-        .applyInPandas(score, "user_id bigint, item_id bigint, item_score double, user_score double")
-    )
+    item_score = sum over rated items j of w_uj * cos(j, i); user_score = sum over other users v of cos(u, v) * w_vi. Both follow from what u has in common
+    with each v, the first divided by the norms of the items, so neither items x items nor users x users are written.
+
+    ``cells``: user_id, item_id, weight and item_norm; read several times. ``wanted`` (user_id) limits for whom scores are made, ``entities``
+    is their number, ``users`` the size of the cells by user and ``work`` the number of products. With ``k`` a task passes on only what can still be
+    among a user's k best by either score, see ``neighbours``. A task holds at least the whole row of each user that it reaches, at most the number of items."""
+    groups = groups_for(work, entities, cells.sparkSession.sparkContext.defaultParallelism)
+    named = cells.select("user_id", "item_id", F.col("weight").cast("double").alias("weight"), "item_norm")
+    by_user = packed(named, "user_id", users.largest, "item_id", "weight", "item_norm")
+    home = _group_of("user_id", groups)
+    if wanted is None:
+        by_user, own = by_user.withColumn("wanted", F.lit(True)), named
+    else:
+        chosen = wanted.select("user_id").distinct()
+        by_user = by_user.join(chosen.withColumn("found", F.lit(True)), "user_id", "left").withColumn("wanted", F.col("found").isNotNull()).drop("found")
+        own = named.join(chosen, "user_id", "left_semi")
+    asked = own.select(home.alias("group"), "item_id").distinct()
+    reached = asked.join(named.select("item_id", "user_id"), "item_id").select("group", "user_id").distinct()
+    met = reached.join(by_user, "user_id")
+    salts = _salts(met, users)
+    salt = _salt_of("user_id", salts)
+    mine = F.col("wanted") & (home == F.col("group"))
+    if salts == 1:
+        rows = met.withColumn("salt", F.lit(0)).withColumn("reached", F.lit(True))
+    else:  # a group's own users are needed in all its tasks
+        rows = met.withColumn("salt", F.explode(F.when(mine, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(salt)))).withColumn("reached", F.col("salt") == salt)
+    rows = rows.select((F.col("group") * salts + F.col("salt")).alias("part"), "user_id", mine.alias("own"), "reached", "item_id", "weight", "item_norm")
+    schema = "user_id bigint, item_id bigint, item_score double, user_score double"
+    found = _placed(rows, groups * salts).mapInArrow(_score(k if salts == 1 else None, tolerance), schema)
+    if salts == 1:
+        return found
+    return found.groupBy("user_id", "item_id").agg(F.sum("item_score").alias("item_score"), F.sum("user_score").alias("user_score"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.behavior import behavior_col, behavior_weight
 from clickloom.functions.rates import ratio
-from clickloom.operators.products import candidate_scores, neighbours_of, similar_entities
+from clickloom.operators.products import Size, candidate_scores, neighbours
 from clickloom.operators.ranking import heaviest_cell, number_rows, top_k, top_per_group
 from clickloom.schema import (
     HOT_ITEMS,
@@ -26,16 +26,19 @@ ALGORITHMS = {"UserCF": "user_score", "ItemCF": "item_score"}
 
 @dataclass(frozen=True)
 class RatingModel:
-    """The rating matrix as cells (user_id, item_id, weight), with its numbers of items and users."""
+    """The rating matrix as cells (user_id, item_id, weight), with its sizes by item and by user."""
 
     cells: DataFrame
-    n_items: int
-    n_users: int
+    items: Size
+    users: Size
 
     @staticmethod
     def of(cells: DataFrame) -> "RatingModel":
-        sizes = [cells.select(name).distinct().count() for name in ("item_id", "user_id")]
-        return RatingModel(cells, *sizes)
+        n, names = F.col("n"), ("item_id", "user_id")
+        sized = [cells.groupBy(name).agg(F.count("*").alias("n")).select(F.lit(name).alias("kind"), "n") for name in names]
+        summed = sized[0].union(sized[1]).groupBy("kind").agg(F.count("*"), F.sum(n), F.max(n), F.sum(n * n))
+        found = {row[0]: Size(*row[1:]) for row in summed.collect()}
+        return RatingModel(cells, *[found.get(name, Size()) for name in names])
 
 
 def rating_model(
@@ -58,70 +61,47 @@ def rating_model(
 
 
 def matrix_stats(model: RatingModel) -> DataFrame:
-    """n_users, n_items, cells and density of the rating matrix."""
-    sizes = model.cells.agg(
-        F.count_distinct("user_id").alias("n_users"),
-        F.count_distinct("item_id").alias("n_items"),
-        F.count("*").alias("cells"),
-    )
-    return sizes.withColumn("density", ratio(F.col("cells"), F.col("n_users") * F.col("n_items")))
+    """n_users, n_items, cells and density of the rating matrix: the numbers that the model holds."""
+    sizes = {"n_users": model.users.entities, "n_items": model.items.entities, "cells": model.items.cells}
+    known = model.cells.sparkSession.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in sizes.items()])
+    return known.withColumn("density", ratio(F.col("cells"), F.col("n_users") * F.col("n_items")))
 
 
 def _squares(cells: DataFrame, entity: str) -> DataFrame:
     return cells.groupBy(entity).agg(F.sum(F.col("weight") * F.col("weight")).alias("square"))
 
 
-def _with_norms(model: RatingModel) -> DataFrame:
-    """Cells with the norm of their user."""
-    normed = model.cells.join(_squares(model.cells, "user_id"), "user_id")
-    return normed.select("user_id", "item_id", F.col("weight").cast("double").alias("weight"), F.sqrt("square").alias("norm"))
-
-
-def _item_links(model: RatingModel) -> DataFrame:
-    """Neighbours of every item, with cosine and the mass that user-based scores need."""
-    cells = _with_norms(model).join(_squares(model.cells, "item_id"), "item_id")
-    named = cells.select(
-        F.col("item_id").alias("entity"),
-        F.col("user_id").alias("shared"),
-        "weight",
-        (F.col("weight") / F.col("norm")).alias("scaled"),
-        F.col("square").cast("double").alias("square"),
-    )
-    return similar_entities(named, model.n_items, model.n_users)
-
-
-def _user_links(model: RatingModel) -> DataFrame:
-    weight = F.col("weight").cast("double")
-    cells = model.cells.join(_squares(model.cells, "user_id"), "user_id").select(
-        F.col("user_id").alias("entity"),
-        F.col("item_id").alias("shared"),
-        weight.alias("weight"),
-        weight.alias("scaled"),
-        F.col("square").cast("double").alias("square"),
+def _nearest(model: RatingModel, entity: str, shared: str, k: int) -> DataFrame:
+    cells = model.cells.join(_squares(model.cells, entity), entity).select(
+        F.col(entity).alias("entity"), F.col(shared).alias("shared"), "weight", "square"
     )
-    return similar_entities(cells, model.n_users, model.n_items)
-
-
-def _nearest(links: DataFrame, k: int) -> DataFrame:
-    best = top_per_group(neighbours_of(links), ["id"], k, [F.round("sim", 6).desc()], "neighbour")
-    return best.select("id", "rank", "neighbour", "sim")
+    own, other = (model.items, model.users) if entity == "item_id" else (model.users, model.items)
+    best = top_per_group(neighbours(cells, own.entities, other, k), ["entity"], k, [F.round("sim", 6).desc()], "neighbour")
+    return best.select(F.col("entity").alias(entity), "rank", "neighbour", "sim")
 
 
 def item_similarity(model: RatingModel, k: int = NEIGHBOURS) -> DataFrame:
     """The k items of the largest cosine for every item: item_id, rank, neighbour, sim."""
-    return _nearest(_item_links(model), k).withColumnRenamed("id", "item_id")
+    return _nearest(model, "item_id", "user_id", k)
 
 
 def user_similarity(model: RatingModel, k: int = NEIGHBOURS) -> DataFrame:
     """The k users of the largest cosine for every user: user_id, rank, neighbour, sim."""
-    return _nearest(_user_links(model), k).withColumnRenamed("id", "user_id")
+    return _nearest(model, "user_id", "item_id", k)
 
 
 def _scores(model: RatingModel, users: DataFrame | None, k: int | None) -> DataFrame:
-    rated = _with_norms(model)
-    if users is not None:
-        rated = rated.join(users, "user_id", "left_semi")
-    return candidate_scores(rated, _item_links(model), model.n_items, model.n_users, k)
+    norms = _squares(model.cells, "item_id").select("item_id", F.sqrt(F.col("square").cast("double")).alias("item_norm"))
+    cells = materialize(model.cells.join(norms, "item_id"), "normed")
+    # A cell meets, on average, so many users, and each of them so many of their cells.
+    total = max(model.users.cells, 1)
+    each = model.items.pairs / total * model.users.pairs / total
+    if users is None:
+        return candidate_scores(cells, model.users.cells * each, model.users.entities, model.users, k)
+    users = users.select("user_id").distinct()
+    rated = model.cells.join(users, "user_id", "left_semi").groupBy("user_id").agg(F.count("*").alias("n"))
+    n_users, n_cells = rated.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return candidate_scores(cells, n_cells * each, n_users, model.users, k, users)
 
 
 def score_matrix(model: RatingModel) -> DataFrame:
@@ -163,7 +143,7 @@ def evaluate(model: RatingModel, k: int = TOP_K, min_cells: int = 3) -> DataFram
     hits = found.groupBy("algorithm").agg(F.count("*").alias("hits"))
     seen = training.cells.join(hidden.select("user_id"), "user_id", "left_semi")
     # every evaluated user keeps at least min_cells - 1 cells, so none is missing here
-    pools = seen.groupBy("user_id").agg((F.lit(model.n_items) - F.count("*")).alias("pool"))
+    pools = seen.groupBy("user_id").agg((F.lit(model.items.entities) - F.count("*")).alias("pool"))
     base = pools.agg(
         F.count("*").alias("evaluated_users"), F.try_divide(F.lit(float(k)), F.avg("pool")).alias("random_hit_rate")
     )

@@ -1,4 +1,4 @@
-"""Tiled recommendation against dense numpy formulas on small random logs."""
+"""Recommendation against dense numpy formulas on small random logs."""
 
 import numpy as np
 import pytest
@@ -49,12 +49,14 @@ def best(scores, seen, items, k):
     return [(item, round(s, 9)) for _, item, s in sorted(order)[:k]]
 
 
-@pytest.fixture
-def branch(monkeypatch):
-    """Blocks so small that many tiles take part."""
-    monkeypatch.setattr(products, "CHUNK", 50)
-    monkeypatch.setattr(products, "BLOCK", 7)
-    monkeypatch.setattr(products, "USER_BLOCK", 11)
+@pytest.fixture(params=["salted", "groups"])
+def branch(monkeypatch, request):
+    """Many groups, with and without salts; results leave in small batches."""
+    monkeypatch.setattr(products, "WORK", 3000)
+    monkeypatch.setattr(products, "FLUSH", 7)
+    if request.param == "salted":
+        monkeypatch.setattr(products, "REACH", 60)
+        monkeypatch.setattr(products, "PACK", 3)
 
 
 def test_scores_and_similarities(log, branch):
@@ -125,7 +127,7 @@ def test_thresholds_are_the_only_limits(log):
     assert rows_of(model.cells) == [(u, i, 1) for u in range(3) for i in (4, 5, 9)]
     stats = recommend.matrix_stats(model).first()
     assert (stats["n_users"], stats["n_items"], stats["cells"], stats["density"]) == (3, 3, 9, 1.0)
-    assert (model.n_users, model.n_items) == (3, 3)
+    assert (model.users.entities, model.items.entities, model.users.largest, model.items.pairs) == (3, 3, 3, 27)
 
 
 def test_a_user_with_a_third_of_all_rows(log, branch):
@@ -147,7 +149,7 @@ def test_heaviest_cell_needs_three_cells_and_takes_the_lowest_id(spark):
     cells = spark.createDataFrame(
         [(1, 9, 4), (1, 3, 4), (1, 2, 1), (2, 1, 4), (2, 2, 4)], "user_id long, item_id long, weight int"
     )
-    model = recommend.RatingModel(cells, 10, 10)
+    model = recommend.RatingModel.of(cells)
     training, hidden = recommend.leave_one_out(model)
     assert rows_of(hidden) == [(1, 3)]
     assert rows_of(training.cells) == [(1, 2, 1), (1, 9, 4), (2, 1, 4), (2, 2, 4)]
@@ -195,7 +197,21 @@ def test_model_without_pairs(log):
     assert [r["evaluated_users"] for r in recommend.evaluate(model).collect()] == [0, 0]
 
 
-def test_block_sizes_keep_tiles_bounded():
-    assert products.entity_blocks(4000, 8000) == 8
-    assert products.entity_blocks(4000, 160_000) == 80  # more shared members, smaller blocks
-    assert products.entity_blocks(1, 10**9) == 1
+def test_groups_follow_the_work():
+    assert products.groups_for(0, 5, 8) == 1
+    assert products.groups_for(10**6, 500, 8) == 1
+    assert products.groups_for(3 * 10**7, 500, 8) == 8  # as many as cores, as long as they have something to do
+    assert products.groups_for(10**10, 500, 8) == 96  # whole rounds of tasks
+    assert products.groups_for(10**10, 7, 8) == 7
+
+
+def test_cells_travel_only_to_groups_that_reach_them(spark, monkeypatch):
+    """Islands that share nothing: a group of one island gets no cell of another, however many groups there are."""
+    monkeypatch.setattr(products, "WORK", 1)
+    rows = [(island * 10 + u, island * 10 + i, 1 + (u * i) % 4) for island in range(40) for u in range(3) for i in range(3)]
+    model = recommend.RatingModel.of(spark.createDataFrame(rows, "user_id long, item_id long, weight int"))
+    sent = []
+    placed = products._placed
+    monkeypatch.setattr(products, "_placed", lambda rows, parts: sent.append(rows.select(F.sum(F.size("entity"))).first()[0]) or placed(rows, parts))
+    assert recommend.item_similarity(model).count() == 40 * 3 * 2
+    assert sent[0] <= 3 * len(rows)  # at most the three groups of an island's items
