@@ -103,8 +103,3 @@ def slice_condition(hours: tuple[int, int] | None = None, behaviors: list[str] |
 def slice_behavior(df: DataFrame, hours=None, behaviors=None) -> DataFrame:
     return df.where(slice_condition(hours, behaviors))
 
-
-def recent(df: DataFrame, hours: int, horizon: DataFrame | None = None) -> DataFrame:
-    """Rows younger than ``hours`` before the newest datetime of ``horizon`` (default: the log)."""
-    newest = (horizon or df).select(F.max("datetime")).scalar()
-    return df.where(F.col("datetime") > newest - F.make_dt_interval(hours=F.lit(hours)))

@@ -257,8 +257,9 @@ def candidate_scores(
         by_user = by_user.join(chosen.withColumn("found", F.lit(True)), "user_id", "left").withColumn("wanted", F.col("found").isNotNull()).drop("found")
         own = named.join(chosen, "user_id", "left_semi")
     asked = own.select(home.alias("group"), "item_id").distinct()
-    reached = asked.join(named.select("item_id", "user_id"), "item_id").select("group", "user_id").distinct()
-    met = reached.join(by_user, "user_id")
+    # By number, since few bytes become many rows here: partitions that look small must not be merged.
+    reached = asked.repartition(groups, "item_id").join(named.select("item_id", "user_id"), "item_id").select("group", "user_id").distinct()
+    met = reached.repartition(groups, "user_id").join(by_user, "user_id")
     salts = _salts(met, users)
     salt = _salt_of("user_id", salts)
     mine = F.col("wanted") & (home == F.col("group"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.functions.behavior import counters
+from clickloom.functions.behavior import behavior_col, counters
 from clickloom.functions.rates import ratio
 from clickloom.functions.time import plus_minutes, window_label
 from clickloom.operators.rollup import COUNTERS, people
@@ -60,45 +60,21 @@ def user_windows(df: DataFrame, minutes: int = 5, time: str = "datetime") -> Dat
     )
 
 
-def window_spine(df: DataFrame, slide_minutes: int, time: str = "datetime") -> DataFrame:
-    """Every window start (epoch seconds) from the slide of the first event to that of the last.
+def user_panes(df: DataFrame, slide_minutes: int, time: str = "datetime") -> DataFrame:
+    """One row per (pane, user), a pane being one slide long; ``pane`` is its start in epoch seconds."""
+    second, slide = F.unix_seconds(F.col(time)), F.lit(slide_minutes * 60)
+    return df.select("user_id", "behavior_type", (second - F.pmod(second, slide)).alias("pane")).groupBy("pane", "user_id").agg(*counters())
 
-    Days first, then the starts of a day, so a stray early event cannot build one huge array."""
-    slide = slide_minutes * 60
-    second = F.unix_seconds(F.col(time))
-    start_of = lambda column: column - F.pmod(column, F.lit(slide))
-    bounds = df.agg(start_of(F.min(second)).alias("low"), start_of(F.max(second)).alias("high"))
-    bounds = bounds.where(F.col("low").isNotNull())
-    span = _DAY if _DAY % slide == 0 else slide * 1000
-    chunk = lambda column: column - F.pmod(column, F.lit(span))
-    days = bounds.select(
-        "low", "high", F.explode(F.sequence(chunk(F.col("low")), chunk(F.col("high")), F.lit(span))).alias("day")
-    )
-    starts = F.sequence(F.col("day"), F.col("day") + F.lit(span - slide), F.lit(slide))
-    return (
-        days.select("low", "high", F.explode(starts).alias("start"))
-        .where(F.col("start").between(F.col("low"), F.col("high")))
-        .select("start")
-    )
 
+def windows_of_panes(panes: DataFrame, size_minutes: int, slide_minutes: int) -> DataFrame:
+    """(pane, user) rows -> start (epoch seconds), uv and the counters of all windows that hold a pane.
 
-def sliding_windows(df: DataFrame, size_minutes: int = 15, slide_minutes: int = 5, time: str = "datetime") -> DataFrame:
-    """Sliding windows from the slide of the first event on, empty windows included.
-
-    Events are never copied into the windows they fall in. They are first combined to one row per
-    (pane, user), a pane being one slide long. A user's pane adds that user to the windows which no
-    earlier pane of the same user reaches, a gap-free range that follows from the previous pane.
-    Rows are then summed per (pane, first new window), at most panes x (size / slide) rows whatever
-    the number of events, and only these are spread over the windows."""
+    A user's pane adds that user to the windows which no earlier pane of the same user reaches, a gap-free range that
+    follows from the previous pane. Rows are then summed per (pane, first new window), at most
+    panes x (size / slide) rows whatever the number of events, and only these are spread over the windows."""
     if size_minutes % slide_minutes:
         raise ValueError("the window size must be a multiple of the slide")
     slide, reach = slide_minutes * 60, (size_minutes - slide_minutes) * 60
-    second = F.unix_seconds(F.col(time))
-    panes = (
-        df.select("user_id", "behavior_type", (second - F.pmod(second, F.lit(slide))).alias("pane"))
-        .groupBy("pane", "user_id")
-        .agg(*counters())
-    )
     previous = F.lag("pane").over(Window.partitionBy("user_id").orderBy("pane"))
     oldest = F.col("pane") - reach
     first_new = F.greatest(oldest, F.coalesce(previous + slide, oldest))
@@ -109,20 +85,60 @@ def sliding_windows(df: DataFrame, size_minutes: int = 15, slide_minutes: int =
     )
     spread = summed.withColumn("start", F.explode(F.sequence(oldest, F.col("pane"), F.lit(slide))))
     new_users = F.when(F.col("start") >= F.col("first_new"), F.col("users")).otherwise(0)
-    windows = spread.groupBy("start").agg(
-        F.sum(new_users).alias("uv"), *[F.sum(name).alias(name) for name in COUNTERS]
+    return spread.groupBy("start").agg(F.sum(new_users).alias("uv"), *[F.sum(name).alias(name) for name in COUNTERS])
+
+
+def without_gaps(found: DataFrame, size_minutes: int, slide_minutes: int) -> DataFrame:
+    """Windows by ``start`` from the first pane on, those without events as zeros.
+
+    Every window fills the gap up to the next one; the log is not asked again. One row for each window takes part, a
+    number that depends on the time span alone. Gaps are cut into days, so a stray early event cannot build one huge array."""
+    slide, reach = slide_minutes * 60, (size_minutes - slide_minutes) * 60
+    order, all_rows = Window.orderBy("start"), Window.partitionBy()
+    bounded = found.withColumn("last", F.coalesce(F.lead("start").over(order) - slide, F.col("start")))
+    bounded = bounded.withColumn("low", F.min("start").over(all_rows) + reach)
+    span = _DAY if _DAY % slide == 0 else slide * 1000
+    days = bounded.withColumn("day", F.explode(F.sequence(F.col("start"), F.col("last"), F.lit(span))))
+    filled = days.withColumn("at", F.explode(F.sequence(F.col("day"), F.least(F.col("day") + (span - slide), F.col("last")), F.lit(slide))))
+    own = F.col("at") == F.col("start")
+    return filled.where(F.col("at") >= F.col("low")).select(
+        F.col("at").alias("start"), *[F.when(own, F.col(name)).otherwise(0).alias(name) for name in ("uv", *COUNTERS)]
     )
-    filled = window_spine(df, slide_minutes, time).join(windows, "start", "left")
+
+
+def named_windows(found: DataFrame, size_minutes: int) -> DataFrame:
     values = {"pv": "pv", "uv": "uv", "cart": "cart", "buy": "buy", "events": "actions"}
     begin = F.timestamp_seconds(F.col("start"))
-    return filled.select(
+    return found.select(
         begin.alias("window_start"),
         plus_minutes(begin, size_minutes).alias("window_end"),
         F.date_format(begin, "HH:mm").alias("window"),
-        *[F.coalesce(F.col(source), F.lit(0)).alias(name) for name, source in values.items()],
+        *[F.col(source).alias(name) for name, source in values.items()],
     )
 
 
+def sliding_windows(df: DataFrame, size_minutes: int = 15, slide_minutes: int = 5, time: str = "datetime") -> DataFrame:
+    """Sliding windows from the slide of the first event on, empty windows included, in one scan.
+
+    Events are never copied into the windows they fall in: they are first combined to one row per (pane, user)."""
+    found = windows_of_panes(user_panes(df, slide_minutes, time), size_minutes, slide_minutes)
+    return named_windows(without_gaps(found, size_minutes, slide_minutes), size_minutes)
+
+
+def turnover_windows(df: DataFrame, goods: DataFrame, minutes: int = 5, time: str = "datetime") -> DataFrame:
+    """Purchases and their turnover per tumbling window, for batch and stream alike: window_start, window_end, buys, turnover, unpriced.
+
+    ``goods`` (item_id, price) is the static side of the join and read again by every micro-batch; it has one row for an item. A
+    purchase of an item without a price counts as ``unpriced`` and adds nothing. Amounts are decimals, so sums do not depend on order."""
+    buys = df.where(behavior_col() == "buy").select(time, "item_id")
+    priced = buys.join(goods.select("item_id", F.col("price").cast("decimal(18,2)").alias("price")), "item_id", "left")
+    counted = priced.groupBy(F.window(time, f"{minutes} minutes").alias("window")).agg(
+        F.count("*").alias("buys"), F.coalesce(F.sum("price"), F.lit(0).cast("decimal(28,2)")).alias("turnover"),
+        F.count_if(F.col("price").isNull()).alias("unpriced"),
+    )
+    return counted.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "buys", "turnover", "unpriced")
+
+
 def peak_windows(windows: DataFrame) -> DataFrame:
     """The window of most page views and the one of most purchases, the earlier one on ties."""
     columns = ["window_start", "window", "pv", "uv", "buy"]
@@ -144,16 +160,3 @@ def time_span(df: DataFrame, time: str = "datetime") -> DataFrame:
         F.max(time).alias("last_time"),
         ((F.unix_seconds(F.max(time)) - F.unix_seconds(F.min(time))) / 60).alias("span_minutes"),
     )
-
-
-__all__ = [
-    "fold_window_users",
-    "peak_windows",
-    "sliding_windows",
-    "time_span",
-    "tumbling_windows",
-    "user_windows",
-    "window_spine",
-    "window_users",
-    "with_window_label",
-]

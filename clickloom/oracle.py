@@ -28,9 +28,6 @@ e_all AS (
     FROM events) x),
 e AS (SELECT * FROM e_all WHERE {_LEGAL})"""
 
-_RECENT = f"""{_EVENTS},
-r AS (SELECT * FROM e)"""
-
 _ODS = f"""{_EVENTS},
 ods AS (
   SELECT CASE WHEN event_id % 97 = 0 THEN '' ELSE CAST(user_id AS VARCHAR) END AS user_id,
@@ -164,9 +161,9 @@ _SEGMENT_NAMES = """(VALUES (true, true, true, '重要价值客户'), (true, fal
 # --- end of fixed values ---
 
 # Purchases by user and item first; a user's figures are sums over the items bought.
-_RFM = f"""{_RECENT},
-bought AS (SELECT user_id, item_id, count(*) AS times, max(datetime) AS latest FROM r WHERE behavior_type = 'buy' GROUP BY user_id, item_id),
-buyers AS (SELECT user_id, date_sub('hour', max(latest), (SELECT max(datetime) FROM r)) AS r_hours,
+_RFM = f"""{_EVENTS},
+bought AS (SELECT user_id, item_id, count(*) AS times, max(datetime) AS latest FROM e WHERE behavior_type = 'buy' GROUP BY user_id, item_id),
+buyers AS (SELECT user_id, date_sub('hour', max(latest), (SELECT max(datetime) FROM e)) AS r_hours,
     CAST(sum(times) AS BIGINT) AS f_cnt, count(item_id) AS m_items FROM bought WHERE user_id IS NOT NULL GROUP BY user_id),
 marks AS (SELECT buyers.*, CAST({_case('r_hours', RECENCY_EDGES, '1', '<=')} AS BIGINT) AS r_score,
     CAST({_case('f_cnt', VOLUME_EDGES, '2', '>=')} AS BIGINT) AS f_score,
@@ -259,7 +256,7 @@ FROM ods GROUP BY ALL HAVING count(*) > 1""",
   {_USERS} AS uv, {BUY} AS buy_cnt, {_half_up(BUY, PV, 4)} AS buy_rate FROM dwd GROUP BY 1""",
     "ads_category": f"""WITH {_DWD} SELECT category_id, {PV} AS pv, {BUY} AS buy_cnt, {_half_up(BUY, PV, 4)} AS buy_rate
 FROM dwd GROUP BY 1 HAVING {PV} > 100 ORDER BY 2 DESC, 1 LIMIT 20""",
-    "ads_funnel": f"WITH {_RECENT} {_funnel_layers('r')}",
+    "ads_funnel": f"WITH {_EVENTS} {_funnel_layers('e')}",
     "overall_kpis": f"""WITH {_EVENTS} SELECT count(*) AS total_records, {_USERS} AS uv, {PV} AS pv, {FAV} AS fav_cnt, {CART} AS cart_cnt,
   {BUY} AS buy_cnt, {_half_up(CART, PV, 4)} AS cart_rate, {_half_up(BUY, PV, 4)} AS buy_rate FROM e""",
     "demo_kpis": f"""WITH {_EVENTS} SELECT {PV} AS pv, {_USERS} AS uv, {FAV} AS fav_cnt, {CART} AS cart_cnt, {BUY} AS buy_cnt,
@@ -289,9 +286,9 @@ FROM e JOIN {_BEHAVIOR_ROWS} USING (behavior_type) GROUP BY 1, 2""",
     "behavior_mix": f"""WITH {_EVENTS}, c AS (SELECT * FROM e)
 SELECT k.behavior_type, k.behavior_name, count(c.event_id) AS cnt, CAST(k.place AS BIGINT) AS place
 FROM {_BEHAVIOR_ROWS} LEFT JOIN c USING (behavior_type) GROUP BY ALL""",
-    "funnel_wide": f"WITH {_RECENT} SELECT a AS pv_users, b AS intent_users, c AS buy_users FROM ({_FUNNEL} r) x",
-    "funnel_long": f"WITH {_RECENT} {_funnel_layers('r')}",
-    "funnel_rates": f"""WITH {_RECENT}, f AS ({_FUNNEL} r)
+    "funnel_wide": f"WITH {_EVENTS} SELECT a AS pv_users, b AS intent_users, c AS buy_users FROM ({_FUNNEL} e) x",
+    "funnel_long": f"WITH {_EVENTS} {_funnel_layers('e')}",
+    "funnel_rates": f"""WITH {_EVENTS}, f AS ({_FUNNEL} e)
 SELECT '1. 浏览用户' AS stage, a AS users, CAST(1.0 AS DOUBLE) AS rate, format('{{:,}}', a) || ' 人' AS label FROM f
 UNION ALL SELECT '2. 意向用户（加购/收藏）', b, {_or_zero('b', 'a')}, format('{{:,}}', b) || ' 人（' || printf('%.1f', {_or_zero('b', 'a')} * 100) || '%）' FROM f
 UNION ALL SELECT '3. 购买用户', c, {_or_zero('c', 'a')}, format('{{:,}}', c) || ' 人（' || printf('%.1f', {_or_zero('c', 'a')} * 100) || '%）' FROM f""",

@@ -101,11 +101,6 @@ def test_prepare_adds_hour_and_name(log):
     assert (row["hour"], row["behavior_name"]) == (5, "加购")
 
 
-def test_recent_is_exclusive_at_the_old_end(log):
-    df = log([(1, 1, 1, "pv", 0), (2, 1, 1, "pv", 1), (3, 1, 1, "pv", 3600)])
-    assert rows_of(cleaning.recent(df, 1), "user_id") == [(2,), (3,)]
-
-
 def test_codes_become_the_enum(spark):
     df = spark.createDataFrame([(code,) for code in (1, 2, 3, 4, 9)], "behavior_type int")
     kinds = [row[0] for row in cleaning.with_named_codes(df).collect()]
