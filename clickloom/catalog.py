@@ -23,6 +23,7 @@ CLEAN_FROM, CLEAN_UNTIL = "2024-01-03", "2024-01-28"
 SLICE_HOURS, SLICE_BEHAVIORS = (8, 20), ["pv", "buy"]
 REPLACED_DAY = "2024-01-10"
 ARRIVALS = 4
+ORDER_DELAY = "400 days"
 
 QUERIES: dict = {}
 
@@ -450,13 +451,83 @@ def stream_reconcile(spark, folder):
     return compared.na.fill(-1, [name for name in compared.columns if name.startswith("left_")])
 
 
+def _by_arrival(spark, folder, name, key, run, arrivals=ARRIVALS):
+    """A table lands in parts, in the order of its key; ``run`` takes in each part as it arrives, from its checkpoint."""
+    work = shared_path(spark, "stream")
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    last = rows.select(F.max(key) + 1).scalar()
+    for step in range(arrivals):
+        rows.where(F.floor(F.col(key) * arrivals / last) == step).write.mode("append").parquet(f"{work}/arrivals")
+        yield run(f"{work}/arrivals", work)
+
+
 @query
 def stream_upsert(spark, folder):
-    """Windows written by a batch function into a result table keyed by window start."""
+    """Finished windows of a stream of two parts in a result table keyed by window start."""
+
+    def run(path, work):
+        return jobs.keep_windows(jobs.stream_windows(event_files_stream(spark, path)), f"{work}/table", f"{work}/checkpoint")
+
+    *_, table = _by_arrival(spark, folder, "events", "event_id", run, 2)
+    return table.drop("dt")
+
+
+@query
+def stream_early(spark, folder):
+    """Windows as far as known after each of two parts; the last state has every window, with the number of parts that changed it."""
+
+    def run(path, work):
+        return jobs.early_windows(event_files_stream(spark, path), f"{work}/table", f"{work}/checkpoint", grain=jobs.DAYS)
+
+    *_, table = _by_arrival(spark, folder, "events", "event_id", run, 2)
+    return table.drop("dt")
+
+
+@query
+def stream_sliding_30_1(spark, folder):
+    """Finished windows of 30 minutes every minute, summed from panes that leave the stream's state."""
+
+    def run(path, work):
+        return jobs.sliding_stream(event_files_stream(spark, path), f"{work}/table", f"{work}/checkpoint", grain=jobs.DAYS)
+
+    *_, table = _by_arrival(spark, folder, "events", "event_id", run, 2)
+    return table.drop("dt")
+
+
+@query
+def stream_corrected(spark, folder):
+    """The stream's result table after a batch recomputation has replaced the days that differ."""
     work = shared_path(spark, "stream")
-    counted = jobs.stream_windows(_event_stream(spark, folder))
-    jobs.start_to_function(counted, jobs.upsert_windows(f"{work}/table"), f"{work}/checkpoint").awaitTermination()
-    return jobs.latest_windows(spark, f"{work}/table")
+    counted = jobs.by_day(jobs.stream_windows(_event_stream(spark, folder)))
+    jobs.keep_windows(counted.drop("dt"), f"{work}/table", f"{work}/checkpoint")
+    table = jobs.KeyedTable(spark, f"{work}/table", counted.schema, ["window_start"])
+    jobs.correct_windows(table, jobs.by_day(windows.tumbling_windows(adapters.behavior(spark, folder)).drop("window")))
+    return table.read().drop("dt")
+
+
+@query
+def turnover_5m(spark, folder):
+    return windows.turnover_windows(adapters.behavior(spark, folder), adapters.goods(spark, folder))
+
+
+@query
+def stream_turnover(spark, folder):
+    """Turnover by window of a stream joined with the table of parts."""
+    work = shared_path(spark, "stream")
+    counted = jobs.stream_turnover(_event_stream(spark, folder), adapters.goods(spark, folder))
+    return jobs.run_to_table(counted, f"{work}/table", f"{work}/checkpoint")
+
+
+@query
+def stream_distinct(spark, folder):
+    """The dirty landing as a stream of files: rows that came twice count once."""
+    work = shared_path(spark, "stream")
+    landed = adapters.dirty_landing(spark, folder)
+    landed.write.parquet(f"{work}/landing")
+    stream = spark.readStream.schema(landed.schema).parquet(f"{work}/landing")
+    timed = stream.withColumn("datetime", F.timestamp_seconds(F.col("timestamp").cast("bigint")))
+    kept = jobs.run_to_table(jobs.without_repeats(timed, ODS_COLUMNS), f"{work}/table", f"{work}/checkpoint")
+    return kept.groupBy("behavior_type").agg(F.count("*").alias("cnt"), F.count("item_id").alias("with_item"))
 
 
 def _messages(spark, folder):
@@ -486,19 +557,19 @@ def stream_messages(spark, folder):
 
 @query
 def late_rows(spark, folder):
-    """Events arrive in batches by quarter of their ids, every 37th one batch later than the rest;
-    the rows that reach the stream after their window was closed."""
-    work = shared_path(spark, "late")
-    events = adapters.open_events(spark, folder)
-    last = events.select(F.max("event_id") + 1).scalar()
-    turn = F.floor(F.col("event_id") * ARRIVALS / last).cast("int") + F.when(F.col("event_id") % 37 == 0, 1).otherwise(0)
-    arrived = events.withColumn("arrival", turn)
-    handle = jobs.split_late(f"{work}/main", f"{work}/late", f"{work}/progress")
-    for step in range(ARRIVALS + 1):
-        arrived.where(F.col("arrival") == step).drop("arrival").write.mode("append").parquet(f"{work}/arrivals")
-        stream = event_files_stream(spark, f"{work}/arrivals", legal_only=False, extra=("event_id",))
-        jobs.start_to_function(stream, handle, f"{work}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{work}/late").select("event_id", "user_id", "behavior_type", "datetime", "batch")
+    """Orders land in the order of their keys, their dates in any order: per part, rows taken in and rows that the engine
+    dropped because their date was behind its watermark."""
+    schema = spark.read.parquet(f"{folder}/orders.parquet").schema
+
+    def run(path, work):
+        stream = spark.readStream.schema(schema).parquet(path).select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("o_orderdate"))
+        kept = jobs.without_repeats(stream, ["o_orderkey"], ORDER_DELAY, "o_orderdate")
+        started = jobs.start_to_table(kept, f"{work}/table", f"{work}/checkpoint")
+        started.awaitTermination()
+        return sum(progress["numInputRows"] for progress in started.recentProgress), jobs.dropped_rows(started)
+
+    rows = [(part, *counts) for part, counts in enumerate(_by_arrival(spark, folder, "orders", "o_orderkey", run))]
+    return spark.createDataFrame(rows, "part bigint, rows_in bigint, late bigint")
 
 
 # --- recommendations ---

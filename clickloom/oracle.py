@@ -180,6 +180,13 @@ w AS (SELECT time_bucket(INTERVAL 5 MINUTE, datetime) AS window_start,
 _CLOSED = "window_end <= (SELECT max(datetime) FROM e) - INTERVAL 5 SECOND"
 
 
+_TURNOVER = f"""WITH {_EVENTS},
+w AS (SELECT time_bucket(INTERVAL 5 MINUTE, datetime) AS window_start, time_bucket(INTERVAL 5 MINUTE, datetime) + INTERVAL 5 MINUTE AS window_end,
+    count(*) AS buys, CAST(coalesce(sum(CAST(p_retailprice AS DECIMAL(18, 2))), 0) AS DOUBLE) AS turnover,
+    count(*) FILTER (WHERE p_retailprice IS NULL) AS unpriced
+  FROM e LEFT JOIN part ON item_id = p_partkey WHERE behavior_type = 'buy' GROUP BY 1, 2)"""
+
+
 def _sliding(size: int, slide: int) -> str:
     return f"""WITH {_EVENTS},
 starts AS (SELECT unnest(generate_series(time_bucket(INTERVAL {slide} MINUTE, (SELECT min(datetime) FROM e)),
@@ -357,12 +364,21 @@ SELECT window_start, """
   CAST(category_id AS VARCHAR) AS category_id, behavior_type, datetime FROM e""",
     "stream_messages": f"""WITH {_EVENTS} SELECT behavior_type, count(*) AS cnt, min(datetime) AS first_time,
   max(datetime) AS last_time FROM e GROUP BY 1""",
-    "late_rows": f"""WITH {_EVENTS},
-arrived AS (SELECT *, (event_id * 4) // (SELECT max(event_id) + 1 FROM events) + CASE WHEN event_id % 37 = 0 THEN 1 ELSE 0 END AS batch FROM e_all),
-known AS (SELECT batch, max(max(timestamp)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
-  FROM arrived GROUP BY batch)
-SELECT event_id, user_id, behavior_type, datetime, CAST(batch AS BIGINT) AS batch FROM arrived JOIN known USING (batch)
-WHERE timestamp - timestamp % 300 + 300 <= newest - 5""",
+    "late_rows": """WITH o AS (SELECT o_orderdate, o_orderkey * 4 // (SELECT max(o_orderkey) + 1 FROM orders) AS part FROM orders),
+known AS (SELECT part, max(max(o_orderdate)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM o GROUP BY part)
+SELECT CAST(part AS BIGINT) AS part, count(*) AS rows_in, count(*) FILTER (WHERE o_orderdate <= newest - INTERVAL 400 DAY) AS late
+FROM o JOIN known USING (part) GROUP BY part""",
+    "stream_early": f"""WITH {_TUMBLING},
+r AS (SELECT time_bucket(INTERVAL 5 MINUTE, datetime) AS window_start,
+  count(DISTINCT event_id * 2 // (SELECT max(event_id) + 1 FROM events)) AS revisions FROM e GROUP BY 1)
+SELECT {_STREAM_COLUMNS}, revisions FROM w JOIN r USING (window_start)""",
+    "stream_sliding_30_1": f"""WITH s AS ({_sliding(30, 1)})
+SELECT * FROM s WHERE window_end <= (WITH {_EVENTS} SELECT max(time_bucket(INTERVAL 1 MINUTE, datetime)) + INTERVAL 1 MINUTE FROM e
+  WHERE time_bucket(INTERVAL 1 MINUTE, datetime) + INTERVAL 1 MINUTE <= (SELECT max(datetime) FROM e) - INTERVAL 5 SECOND)""",
+    "stream_corrected": f"WITH {_TUMBLING} SELECT {_STREAM_COLUMNS} FROM w",
+    "turnover_5m": f"{_TURNOVER} SELECT * FROM w",
+    "stream_turnover": f"{_TURNOVER} SELECT * FROM w WHERE {_CLOSED}",
+    "stream_distinct": f"""WITH {_ODS} SELECT behavior_type, count(*) AS cnt, count(item_id) AS with_item FROM (SELECT DISTINCT * FROM ods) x GROUP BY 1""",
     "cf_matrix_stats": f"""WITH {_MODEL}, c AS (SELECT {_USERS} AS n_users, count(DISTINCT item_id) AS n_items, count(*) AS cells FROM cells)
 SELECT *, CAST(cells AS DOUBLE) / (n_users * n_items) AS density FROM c""",
     "cf_rating_cells": f"WITH {_MODEL} SELECT * FROM cells",

@@ -98,3 +98,8 @@ def order_log(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderdate").alias("datetime"),
     )
 
+
+def goods(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts as the goods that events name: item_id and price."""
+    parts = spark.read.parquet(f"{folder}/part.parquet")
+    return parts.select(F.col("p_partkey").alias("item_id"), F.col("p_retailprice").cast("decimal(18,2)").alias("price"))

@@ -41,6 +41,21 @@ def write_partitioned(df: DataFrame, path: str, key: str, sort_by: list[str] | N
     return df.sparkSession.read.schema(T.StructType(names)).parquet(path).select(*df.columns)
 
 
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType, finished: bool = False) -> DataFrame:
+    """A Parquet table by its declared schema; no rows if nothing was written there yet, or, with ``finished``, if writing it was
+    cut short. Overwriting single partitions leaves no mark of being finished."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS") if finished else spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def drop_partition(spark: SparkSession, path: str, key: str, value: str) -> None:
+    """Remove the files of one partition of a Parquet table; the value is one that needs no escaping, such as a day."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path, f"{key}={value}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_clean(df: DataFrame, path: str) -> DataFrame:
     """Materialize a clean log, ordered within files so that scans can skip by user and time."""
     return write_table(df.sortWithinPartitions("user_id", "timestamp"), path)

@@ -86,34 +86,109 @@ def test_stream_equals_batch_for_closed_windows(spark, topic, tmp_path):
     assert missing[0]["left_pv"] is None  # only the open window
 
 
-def test_upsert_is_idempotent_and_newest_wins(spark, tmp_path):
-    path = str(tmp_path / "upsert")
-    write = jobs.upsert_windows(path)
-
-    def batch(pv):
-        return spark.createDataFrame([(START, pv)], "window_start timestamp, pv long")
-
-    write(batch(1), 0)
-    write(batch(5), 1)
-    write(batch(5), 1)  # replay
-    assert rows_of(jobs.latest_windows(spark, path)) == [(START, 5)]
-
-
-def test_late_split_uses_the_watermark_of_earlier_batches(spark, tmp_path):
-    main, late, progress = (str(tmp_path / name) for name in ("main", "late", "progress"))
-    handle = jobs.split_late(main, late, progress)
-
-    def batch(*seconds):
-        return spark.createDataFrame([(s,) for s in seconds], "s long").select(F.timestamp_seconds("s").alias("datetime"), "s")
-
-    handle(batch(10, 400), 0)
-    handle(batch(20, 305, 900), 1)  # 20 is late: its window ended at 300, the watermark is 395
-    handle(batch(301, 890, 600), 2)  # 301 is late, 890's window ends at 900 > 895
-    handle(batch(301, 890, 600), 2)  # replay
-    handle(batch(), 3)
-    handle(batch(620, 899), 4)
-    assert rows_of(spark.read.parquet(late), "s", "batch") == [(20, 1), (301, 2)]
-    assert rows_of(spark.read.parquet(main), "s") == [(10,), (305,), (400,), (600,), (620,), (890,), (899,), (900,)]
+def part_files(path):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+@pytest.fixture
+def keyed(spark, tmp_path):
+    schema = spark.createDataFrame([], "window_start timestamp, pv long, dt string").schema
+    return jobs.KeyedTable(spark, str(tmp_path / "keyed"), schema, ["window_start"])
+
+
+def batch_of(spark, *rows):
+    return jobs.by_day(spark.createDataFrame([(START + timedelta(minutes=m), pv) for m, pv in rows], "window_start timestamp, pv long"))
+
+
+def test_keyed_table_replaces_keys_and_keeps_few_files(spark, keyed, tmp_path):
+    assert keyed.read().count() == 0
+    for n in range(12):
+        keyed.merge(batch_of(spark, (5 * n, n), (0, n)) if n else batch_of(spark, (0, 0)), n)
+    assert rows_of(keyed.read(), "window_start", "pv") == [(START + timedelta(minutes=5 * n), n or 11) for n in range(12)]
+    assert len(part_files(tmp_path / "keyed")) == 1  # one day, however many batches
+    keyed.merge(batch_of(spark), 12)
+    assert keyed.read().count() == 12
+
+
+def test_keyed_table_takes_a_replayed_batch_once(spark, keyed, tmp_path):
+    keyed.merge(batch_of(spark, (0, 1), (1440, 2)), 0)
+    before = part_files(tmp_path / "keyed")
+    keyed.merge(batch_of(spark, (1440, 3)), 1)
+    after = part_files(tmp_path / "keyed")
+    assert {k for k in before if before[k] == after.get(k)} == {k for k in before if "01-01" in k}  # the other day's files stay
+    # A replay whose rows are read again, when the first attempt ended before or after the table was written.
+    keyed.merge(batch_of(spark, (1440, 3)), 1)
+    assert rows_of(keyed.read(), "pv") == [(1,), (3,)]
+    assert keyed.merge(batch_of(spark, (0, 9)), 0) is None  # long taken in
+    assert rows_of(keyed.read(), "pv") == [(1,), (3,)]
+
+
+def test_early_windows_grow_with_every_batch(spark, topic, tmp_path):
+    def step():
+        return jobs.early_windows(json_stream(spark, str(topic.path)), str(tmp_path / "early"), str(tmp_path / "early-cp"), partitions=2)
+
+    topic.send(message("1", 0), message("2", 1, 4), message("1", 6))
+    assert rows_of(step(), "window_start", "pv", "uv", "buy", "events", "revisions") == [(START, 1, 2, 1, 2, 1), (START + timedelta(minutes=5), 1, 1, 0, 1, 1)]
+    topic.send(message("1", 7), message("3", 8, 3), message("4", 12))  # a restart: user 1 is known in the second window
+    found = step()
+    assert rows_of(found, "window_start", "uv", "events", "revisions") == [
+        (START, 2, 2, 1), (START + timedelta(minutes=5), 2, 3, 2), (START + timedelta(minutes=10), 1, 1, 1),
+    ]
+    batch = windows.tumbling_windows(normalize(spark.read.schema(STREAM_SCHEMA).json(str(topic.path))))
+    assert all(row["matches"] for row in jobs.reconcile_windows(found, batch).collect())
+
+
+def test_sliding_stream_equals_sliding_windows(spark, topic, tmp_path):
+    messages = [message(f"{i % 7}" if i % 5 else None, i * 1.9, 1 + i % 4) for i in range(50)]
+    for k in (0, 20, 35):
+        topic.send(*messages[k : {0: 20, 20: 35, 35: 50}[k]])
+        stream = json_stream(spark, str(topic.path))
+        found = jobs.sliding_stream(stream.withColumn("user_id", F.col("user_id").cast("bigint")), str(tmp_path / "s"), str(tmp_path / "s-cp"), 15, 5, partitions=2)
+    log = normalize(spark.read.schema(STREAM_SCHEMA).json(str(topic.path)))
+    columns = ("window_start", "window_end", "window", "pv", "uv", "cart", "buy", "events")
+    wanted = rows_of(windows.sliding_windows(log, 15, 5), *columns)
+    newest = START + timedelta(minutes=90)  # the last closed pane begins at 85
+    assert rows_of(found, *columns) == [row for row in wanted if row[1] <= newest]
+
+
+def test_correction_replaces_only_days_that_differ(spark, keyed, tmp_path):
+    keyed.merge(batch_of(spark, (0, 1), (1440, 2), (2880, 3)), 0)
+    before = part_files(tmp_path / "keyed")
+    right = batch_of(spark, (0, 1), (1440, 5), (1445, 6))
+    assert rows_of(jobs.correct_windows(keyed, right)) == [("2024-01-02", 2), ("2024-01-03", 1)]
+    now = keyed.read().select(*right.columns)
+    assert now.exceptAll(right).isEmpty() and right.exceptAll(now).isEmpty()
+    kept = {k: v for k, v in part_files(tmp_path / "keyed").items() if "01-01" in k}
+    assert kept == {k: v for k, v in before.items() if "01-01" in k}
+    assert jobs.correct_windows(keyed, right).isEmpty()
+
+
+def test_repeats_count_once_across_batches(spark, topic, tmp_path):
+    def step():
+        stream = jobs.without_repeats(json_stream(spark, str(topic.path)), ["user_id", "item_id", "datetime"], "10 minutes")
+        query = jobs.start_to_table(stream, str(tmp_path / "once"), str(tmp_path / "once-cp"), partitions=2)
+        query.awaitTermination()
+        return rows_of(spark.read.schema(stream.schema).parquet(str(tmp_path / "once")), "user_id"), query
+
+    topic.send(message("1", 0), message("1", 0), message("2", 1))
+    step()
+    topic.send(message("2", 1), message("3", 9))
+    assert step()[0] == [("1",), ("2",), ("3",)]
+    topic.send(message("4", 60))
+    step()
+    topic.send(message("1", 0), message("5", 61))  # by now behind the watermark, and dropped by the engine
+    found, query = step()
+    assert found == [("1",), ("2",), ("3",), ("4",), ("5",)] and jobs.dropped_rows(query) == 1
+    state = [op["numRowsTotal"] for progress in query.recentProgress for op in progress["stateOperators"]]
+    assert state[-1] <= 2  # rows of the first batches are forgotten
+
+
+def test_turnover_counts_purchases_without_a_price(spark, topic, tmp_path):
+    goods = spark.createDataFrame([("1", "2.50"), ("2", "1.25")], "item_id string, price string")
+    topic.send(message("a", 0, 4), message("b", 1, 4, "2"), message("b", 2, 4, "9"), message("a", 3), message("a", 20, 4))
+    counted = jobs.stream_turnover(json_stream(spark, str(topic.path)), goods)
+    found = jobs.run_to_table(counted, str(tmp_path / "t"), str(tmp_path / "t-cp"), 2)
+    assert [tuple(map(str, row)) for row in rows_of(found, "buys", "turnover", "unpriced")] == [("3", "3.75", "1")]
 
 
 def test_messages_decode_from_kafka_shape(spark):
