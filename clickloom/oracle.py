@@ -377,7 +377,8 @@ SELECT * FROM s WHERE window_end <= (WITH {_EVENTS} SELECT max(time_bucket(INTER
   WHERE time_bucket(INTERVAL 1 MINUTE, datetime) + INTERVAL 1 MINUTE <= (SELECT max(datetime) FROM e) - INTERVAL 5 SECOND)""",
     "stream_corrected": f"WITH {_TUMBLING} SELECT {_STREAM_COLUMNS} FROM w",
     "turnover_5m": f"{_TURNOVER} SELECT * FROM w",
-    "stream_turnover": f"{_TURNOVER} SELECT * FROM w WHERE {_CLOSED}",
+    "stream_turnover": f"""{_TURNOVER} SELECT * FROM w
+WHERE window_end <= (SELECT max(datetime) FROM e WHERE behavior_type = 'buy') - INTERVAL 5 SECOND""",
     "stream_distinct": f"""WITH {_ODS} SELECT behavior_type, count(*) AS cnt, count(item_id) AS with_item FROM (SELECT DISTINCT * FROM ods) x GROUP BY 1""",
     "cf_matrix_stats": f"""WITH {_MODEL}, c AS (SELECT {_USERS} AS n_users, count(DISTINCT item_id) AS n_items, count(*) AS cells FROM cells)
 SELECT *, CAST(cells AS DOUBLE) / (n_users * n_items) AS density FROM c""",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from clickloom.functions.behavior import behavior_col
 from clickloom.operators.quality import compare_grouped, mismatches
 from clickloom.operators.rollup import COUNTERS
 from clickloom.operators.windows import fold_window_users, named_windows, turnover_windows, user_panes, window_users, windows_of_panes, without_gaps
@@ -225,8 +226,10 @@ def sliding_stream(
 
 
 def stream_turnover(stream: DataFrame, goods: DataFrame, size_minutes: int = 5, delay: str = WATERMARK, time: str = "datetime") -> DataFrame:
-    """Turnover per window of a stream, joined with a static table of goods; for output mode ``append``."""
-    return turnover_windows(stream.withWatermark(time, delay), goods, size_minutes, time)
+    """Turnover per window of a stream, joined with a static table of goods; for output mode ``append``. The watermark follows
+    the purchases: a window is finished when a later one has moved it past its end."""
+    buys = stream.where(behavior_col() == "buy").withWatermark(time, delay)
+    return turnover_windows(buys, goods, size_minutes, time)
 
 
 def without_repeats(stream: DataFrame, columns: list[str], delay: str = WATERMARK, time: str = "datetime") -> DataFrame:
