@@ -19,6 +19,10 @@ from clickloom.llm.whitening import whitened_rows
 from clickloom.session import pin_session
 
 
+#: Limit of the registered query's shards, so small that the smallest tables have many of them.
+SHARD_BYTES = 64 << 10
+
+
 def fold(of: int, column: str = "doc_id") -> F.Column:
     """crc32 of the id as text, modulo ``of``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % of
@@ -49,7 +53,7 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_shards(spark: SparkSession, folder: str) -> DataFrame:
-    out = shards.shards(_documents(spark, folder).select("doc_id", "text"))
+    out = shards.shards(_documents(spark, folder).select("doc_id", "text"), SHARD_BYTES)
     return out.select("doc_id", "doc_bytes", "shard", "depth", "shard_bytes", "shard_rows")
 
 
@@ -119,7 +123,7 @@ QUERIES = {
 }
 
 ORACLE = {
-    "op4_shards": shards.ORACLE,
+    "op4_shards": shards.oracle(SHARD_BYTES),
     "op5_exact_duplicates": exact_dup.ORACLE,
     "op9_mixture": mixture.ORACLE,
     "op11_spelling_variants": spelling.ORACLE,

@@ -105,14 +105,15 @@ def shards(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     return plain.union(paged)
 
 
-ORACLE = f"""
+def oracle(limit: int) -> str:
+    return f"""
 WITH d AS (
   SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS doc_bytes,
          ('0x' || substr(md5(concat(coalesce(doc_id::VARCHAR, ''), '/', coalesce(text, ''))), 1, 15))::BIGINT AS h
   FROM documents
 ), p AS (
   SELECT g.depth, h >> ({HASH_BITS} - g.depth) AS prefix, sum(doc_bytes)::BIGINT AS shard_bytes, count(*) AS shard_rows,
-         sum(doc_bytes) <= {LIMIT_BYTES} OR min(h) = max(h) AS fits
+         sum(doc_bytes) <= {limit} OR min(h) = max(h) AS fits
   FROM d, (SELECT unnest(range(0, 41)) AS depth) g GROUP BY ALL
 ), leaf AS (
   SELECT p.* FROM p WHERE fits AND (depth = 0 OR EXISTS (SELECT 1 FROM p q WHERE q.depth = p.depth - 1 AND q.prefix = p.prefix >> 1 AND NOT q.fits))
