@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.functions.behavior import behavior_col, choose, parse_bigint
-from clickloom.operators import cleaning, quality, windows
-from clickloom.plans import metrics, recommend, rfm, warehouse
+from clickloom.operators import cleaning, distinct, quality, windows
+from clickloom.plans import incremental, metrics, recommend, rfm, warehouse
 from clickloom.schema import BEHAVIOR_CODES, CLEAN_SCHEMA, EXPORT_COLUMNS, ODS_COLUMNS, SAMPLE_SCHEMA, STREAM_SCHEMA
 from clickloom.session import pin_session, shared_path
 from clickloom.sources import adapters, files, tables
@@ -24,6 +24,8 @@ SLICE_HOURS, SLICE_BEHAVIORS = (8, 20), ["pv", "buy"]
 REPLACED_DAY = "2024-01-10"
 ARRIVALS = 4
 ORDER_DELAY = "400 days"
+CUT = 1_705_320_000  # noon of 15 January
+TRAILING = 7
 
 QUERIES: dict = {}
 
@@ -63,6 +65,10 @@ def _detail(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.to_dwd(adapters.dirty_landing(spark, folder))
 
 
+def _dated(spark: SparkSession, folder: str) -> DataFrame:
+    return adapters.behavior(spark, folder).withColumn("dt", F.date_format("datetime", "yyyy-MM-dd"))
+
+
 def _coded(log: DataFrame) -> DataFrame:
     """Behaviours as the integer codes that samples and messages use."""
     return log.withColumn("behavior_type", choose(behavior_col(), {kind: code for code, kind in BEHAVIOR_CODES.items()}))
@@ -248,6 +254,49 @@ def warehouse_build(spark, folder):
     return tables.read_table(spark, paths["dws"])
 
 
+def _taken_in(spark, folder):
+    """The landing in two parts, cut in the middle of a day, each taken in when it is there."""
+    work = shared_path(spark, "incremental")
+    landed = adapters.dirty_landing(spark, folder)
+    for early in (True, False):
+        landed.where((F.col("timestamp").cast("bigint") < CUT) == early).write.mode("append").parquet(f"{work}/landing")
+        incremental.take_in(spark, f"{work}/landing", f"{work}/layers")
+    return f"{work}/layers"
+
+
+@query
+def incremental_daily(spark, folder):
+    """The daily summary after two batches, of which the second rebuilt only its days."""
+    return tables.read_table(spark, f"{_taken_in(spark, folder)}/dws")
+
+
+@query
+def incremental_category(spark, folder):
+    return incremental.category_report(spark, _taken_in(spark, folder))
+
+
+@query
+def incremental_funnel(spark, folder):
+    return incremental.funnel_report(spark, _taken_in(spark, folder))
+
+
+@query
+def trailing_users(spark, folder):
+    """Distinct users and buyers of the last seven days, for each day, from bitmaps by day."""
+    parts = distinct.bitmap_rollup(_dated(spark, folder), "dt")
+    return distinct.users_of_bitmaps(distinct.trailing_days(parts, TRAILING), "until", users=(), buyers=("buy",))
+
+
+@query
+def trailing_estimate(spark, folder):
+    """The same by sketches: whether the estimate is within five standard errors of the exact number."""
+    log = _dated(spark, folder)
+    exact = distinct.users_of_bitmaps(distinct.trailing_days(distinct.bitmap_rollup(log, "dt"), TRAILING), "until", users=())
+    guess = distinct.users_of_sketches(distinct.trailing_days(distinct.sketch_rollup(log, "dt"), TRAILING), "until")
+    off = F.abs(F.col("guess") - F.col("users")) / F.col("users")
+    return exact.join(guess.withColumnRenamed("users", "guess"), "until").select("until", "users", (off <= 5 * distinct.SKETCH_ERROR).alias("within"))
+
+
 # --- metrics ---
 
 

@@ -423,3 +423,12 @@ UNION ALL SELECT 'cold', user_id, cells, 'Hot', rank, item_id FROM cold CROSS JO
 _DAILY = f"""SELECT dt, {PV} AS pv, {_USERS} AS uv, {FAV} AS fav_cnt, {CART} AS cart_cnt, {BUY} AS buy_cnt, {_users('buy')} AS buy_users,
   {_half_up(CART, PV, 4)} AS cart_rate, {_half_up(BUY, PV, 4)} AS buy_rate, {_half_up(BUY, CART, 4)} AS cart2buy_rate FROM dwd GROUP BY 1"""
 ORACLE["daily_metrics"] = ORACLE["warehouse_build"] = f"WITH {_DWD} {_DAILY}"
+ORACLE["incremental_daily"] = ORACLE["daily_metrics"]
+ORACLE["incremental_category"] = ORACLE["ads_category"]
+ORACLE["incremental_funnel"] = f"WITH {_DWD} {_funnel_layers('dwd')}"
+_TRAILING = f"""WITH {_EVENTS},
+d AS (SELECT DISTINCT CAST(datetime AS DATE) AS day, user_id, behavior_type = 'buy' AS bought FROM e),
+t AS (SELECT * FROM (SELECT DISTINCT day AS until FROM d) u JOIN d ON day BETWEEN until - 6 AND until)"""
+ORACLE["trailing_users"] = f"""{_TRAILING} SELECT strftime(until, '%Y-%m-%d') AS until, {_USERS} AS users,
+  count(DISTINCT user_id) FILTER (WHERE bought) AS buyers FROM t GROUP BY 1"""
+ORACLE["trailing_estimate"] = f"{_TRAILING} SELECT strftime(until, '%Y-%m-%d') AS until, {_USERS} AS users, true AS within FROM t GROUP BY 1"

@@ -164,9 +164,14 @@ def funnel_long(df: DataFrame) -> DataFrame:
 
 
 def funnel_layers(rollup: DataFrame) -> DataFrame:
+    return funnel_of(_funnel_users(rollup))
+
+
+def funnel_of(users: DataFrame) -> DataFrame:
+    """The three layers from one row (pv_users, intent_users, buy_users)."""
     steps = zip(FUNNEL_LAYERS, ("pv_users", "intent_users", "buy_users"))
     return _rows(
-        _funnel_users(rollup),
+        users,
         ["layer_name", "user_cnt", "pct_of_pv"],
         [[F.lit(name), F.col(c), percent(F.col(c), F.col("pv_users"), 2)] for name, c in steps],
     )

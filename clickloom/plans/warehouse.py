@@ -48,7 +48,7 @@ def daily_metrics(dwd: DataFrame) -> DataFrame:
     return daily_from_rollup(user_rollup(dwd, "dt"))
 
 
-def _rated_hours(rollup: DataFrame, *keys: str) -> DataFrame:
+def rated_hours(rollup: DataFrame, *keys: str) -> DataFrame:
     rated = traffic(rollup, *keys)
     return rated.withColumn("buy_rate", rate_decimal(F.col("buy_cnt"), F.col("pv")))
 
@@ -57,7 +57,7 @@ def ads_hourly(dwd: DataFrame, by_day: bool = True) -> DataFrame:
     """ADS: [dt,] hour, pv, uv, buy_cnt, buy_rate."""
     keys = ("dt", "hour") if by_day else ("hour",)
     keyed = dwd.select(*keys[:-1], "user_id", "behavior_type", hour_of(F.col("datetime")).alias("hour"))
-    return _rated_hours(user_rollup(keyed, *keys), *keys)
+    return rated_hours(user_rollup(keyed, *keys), *keys)
 
 
 def ads_category(dwd: DataFrame, top_n: int | None = 20, min_pv: int = 100) -> DataFrame:
@@ -94,7 +94,7 @@ def build_warehouse(raw: DataFrame, root: str) -> dict[str, str]:
     rollup = write_table(hourly_rollup(dwd), paths["rollup"])
     reports = {
         "dws": daily_from_rollup(regroup(rollup, "dt")),
-        "ads_hourly": _rated_hours(rollup, "dt", "hour"),
+        "ads_hourly": rated_hours(rollup, "dt", "hour"),
         "ads_category": ads_category(dwd),
         "ads_funnel": funnel_layers(regroup(rollup)),
     }

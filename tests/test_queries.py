@@ -15,7 +15,7 @@ from clickloom.oracle import ORACLE
 from tests.conftest import DATA, ROOT
 
 # These write tables or run streams while they are built; their plans are those of what they return.
-EAGER = {name for name in QUERIES if name.startswith(("cf_", "stream_"))} | {"late_rows"}
+EAGER = {name for name in QUERIES if name.startswith(("cf_", "stream_", "incremental_"))} | {"late_rows"}
 
 
 @pytest.fixture(scope="module")
