@@ -79,8 +79,8 @@ def _sketches(size: int):
                 digests.append(_digest(found) if len(found) else None)
                 signatures.append(signature(found).tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
-                ["doc_id", "n_shingles", "digest", "sig"],
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
+                ["doc_id", "text_hash", "n_shingles", "digest", "sig"],
             )
 
     return run
@@ -233,11 +233,15 @@ def _collide(matches: int):
 
 def _sets(size: int):
     def run(batches):
-        hashes = WordHash()
+        hashes, seen = WordHash(), set()
         for batch in batches:
+            # Repeated rows of a class's text need one set: each task sends it once.
+            fresh = [not (digest in seen or seen.add(digest)) for digest in batch.column("digest").to_pylist()]
+            batch = batch.filter(pa.array(fresh, pa.bool_()))
             found = [shingle_set((text or "").encode().lower().split(), size, hashes) for text in batch.column("text").to_pylist()]
             same = [_digest(x) == digest for x, digest in zip(found, batch.column("digest").to_pylist(), strict=True)]
-            keep = batch.filter(pa.array(same))
+            seen.difference_update(digest for ok, digest in zip(same, batch.column("digest").to_pylist(), strict=True) if not ok)
+            keep = batch.filter(pa.array(same, pa.bool_()))
             yield pa.RecordBatch.from_arrays(
                 [keep.column("root"), keep.column("digest"), keep.column("chunks"), pa.array([x.tobytes() for x, ok in zip(found, same, strict=True) if ok], pa.binary())],
                 ["root", "digest", "chunks", "found"],
@@ -276,9 +280,8 @@ def _confirm(above: int, of: int):
         for _, rows in groups(batches, ["root", "c", "d"]):
             if rows.num_rows < 2:
                 continue
-            digests = np.array(rows.column("digest").to_pylist(), object)
-            order = np.argsort(digests)
-            digests = digests[order]
+            # Tasks that read copies of a text sent the same set each.
+            digests, order = np.unique(np.array(rows.column("digest").to_pylist(), object), return_index=True)
             values = rows.column("found").to_pylist()
             label = _labels(similar([np.frombuffer(values[k], np.uint64) for k in order], above, of)[None])[0]
             moved = np.flatnonzero(label != np.arange(len(label)))
@@ -311,9 +314,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, above: int = 80, of: int =
 
     Writes the sketches, the candidate links and the components to the shared folder."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     sketches = materialize(
-        docs.mapInArrow(_sketches(words), "doc_id bigint, n_shingles bigint, digest binary, sig binary"), "sketches"
+        docs.mapInArrow(_sketches(words), "doc_id bigint, text_hash bigint, n_shingles bigint, digest binary, sig binary"), "sketches"
     )
     nodes = sketches.where("digest is not null").groupBy("digest").agg(F.min("sig").alias("sig"))
     nodes = materialize(nodes, "classes")
@@ -331,13 +334,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, above: int = 80, of: int =
     meeting = _meet(members, "key", F.ceil(F.col("n") / CHUNK)).select("key", "c", "d", "digest", "low")
     near = components(meeting.mapInArrow(_collide(matches), "a binary, b binary"), "near")
 
-    # One row of each class stands for it. Texts are joined by doc_id and told apart by the digest.
-    first = sketches.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
+    # One text of each class stands for it, found again by doc_id and hash of the text, so that rows of one doc_id do not all meet.
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("lacking"), "doc_id", "text_hash")).alias("one")
+    first = sketches.where("digest is not null").groupBy("digest").agg(one, F.max("n_shingles").alias("n"))
     wanted = near.withColumnRenamed("node", "digest").join(first, "digest")
+    wanted = materialize(wanted.select("root", "digest", "n", F.col("one.doc_id").alias("of_doc"), F.col("one.text_hash").alias("of_text")), "wanted")
     chunks = F.greatest(F.ceil(F.sum("n") * 8 / CHUNK_BYTES), F.ceil(F.count("*") / CHUNK_SETS))
-    sizes = wanted.groupBy("root").agg(chunks.alias("chunks"))
-    wanted = wanted.join(sizes, "root").select(F.col("doc_id").alias("of_doc"), "root", "digest", "chunks")
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("of_doc")))
+    # Written, so that the join meets plain shuffles, of which a large component can be split.
+    sizes = materialize(wanted.groupBy("root").agg(chunks.alias("chunks")), "component-sizes")
+    wanted = wanted.join(sizes, "root").select("of_doc", "of_text", "root", "digest", "chunks")
+    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_text")))
     found = texts.select("text", "root", "digest", "chunks").mapInArrow(
         _sets(words), "root binary, digest binary, chunks bigint, found binary"
     )

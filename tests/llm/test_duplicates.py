@@ -209,3 +209,16 @@ def test_rolling_hashes_depend_on_the_window_alone():
     x = np.random.default_rng(0).integers(0, 2**63, 50, dtype=np.uint64)
     one, two = RollingHash().windows(x, 7), RollingHash().windows(np.concatenate([x[20:30], x]), 7)
     assert np.array_equal(one, two[10:]) and len(set(one.tolist())) == 44 and len(RollingHash().windows(x[:3], 7)) == 0
+
+
+def test_null_ids_and_copies_meet_by_their_texts(spark, monkeypatch):
+    """Many near copies without an id, each several times: one component, and no class stands for all rows without an id."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    texts = [" ".join(base[:k] + [f"x{k}"] + base[k + 1 :]) for k in range(60)] + ["something else altogether " * 3]
+    rows = [(None, text) for text in texts for _ in range(4)] + [(7, texts[0]), (9, texts[-1])]
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)).collect()
+    assert len(found) == len(rows)
+    by_size = {(row.n_shingles > 20, row.component_id) for row in found}
+    assert by_size == {(True, 7), (False, 9)}
+    assert sorted(row.doc_id for row in found if row.kept) == [7, 9]
