@@ -1,13 +1,15 @@
 """Benchmark decontamination by suffix arrays over shards of the training text.
 
 Documents are read in shards of a bounded number of bytes. A shard's words are numbered by the words of the
-benchmark; runs of known words are laid end to end and their suffixes sorted (prefix doubling). Every suffix of
-every test item is then searched in the sorted suffixes, all at once, one word deeper at each step. The interval
-that is left at the window's length holds all places of that window, and each document's longest verbatim match begins
-at one of its own places: those whose words before do not match as well are followed as far as they match.
+benchmark; runs of known words are laid end to end and their suffixes sorted (prefix doubling). The test suffixes are
+sorted as well, so those that begin with the same window lie together, as a class, whatever the number of items that share it. Every
+class is then searched in the shard's sorted suffixes, all at once, one word deeper at each step; the interval
+that is left at the window's length holds all places of that window. A place belongs to one class of a window length, so
+places are never multiplied by items. Each document's longest verbatim match begins at one of its own places: those whose words before
+do not match as well are searched on in their class, deeper as long as any of its suffixes matches.
 
 Nothing is shuffled: a document lies in one shard, and the benchmark comes to it in blocks of a fixed number
-of words, each broadcast by itself, so neither side needs to fit into a task's memory whole."""
+of words, each broadcast by itself. A task holds one block and one shard at a time."""
 
 from __future__ import annotations
 
@@ -32,22 +34,71 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_TO_WORDS).split()
 
 
+def suffix_order(text: np.ndarray) -> np.ndarray:
+    """Starts of the suffixes of an array of non-negative numbers, sorted; zeros never tie with each other's place."""
+    n = len(text)
+    rank, step = text.astype(np.int64), 1
+    while True:
+        after = np.zeros(n, np.int64)
+        after[: max(0, n - step)] = rank[step:] + 1
+        key = rank * (int(rank.max(initial=0)) + 2) + after
+        order = np.argsort(key, kind="stable")
+        change = np.concatenate([[0], np.cumsum(np.diff(key[order]) > 0)]) if n else np.empty(0, np.int64)
+        rank = np.empty(n, np.int64)
+        rank[order] = change
+        if not n or change[-1] == n - 1 or step > n:
+            return order
+        step *= 2
+
+
 class Block:
-    """Test items as numbers: their words end to end, and for each suffix its item, length and window length."""
+    """Test items as numbers, their words end to end and parted by zeros, their suffixes sorted and put into classes of equal windows.
+
+    The window of a suffix has ``window`` words, or all of an item of fewer. Suffixes too short for theirs are in no class."""
 
     def __init__(self, items: list[tuple[str, list[bytes]]], window: int) -> None:
         self.names = [name for name, _ in items]
         self.number: dict[bytes, int] = {}
-        self.words = np.array([self.number.setdefault(w, len(self.number) + 1) for _, words in items for w in words] + [0], np.int64)
         lengths = np.array([len(words) for _, words in items], np.int64)
-        ends = np.cumsum(lengths)
-        self.item = np.repeat(np.arange(len(items)), lengths)
-        self.start = np.arange(len(self.words) - 1)
-        self.length = np.repeat(ends, lengths) - self.start
-        #: An item of fewer words than a window is one window.
-        self.window = np.repeat(np.minimum(lengths, window), lengths)
-        self.offset = self.start - np.repeat(ends - lengths, lengths)
-        self.shortest = int(self.window.min()) if len(items) else window
+        self.words = np.array([x for _, words in items for x in [*(self.number.setdefault(w, len(self.number) + 1) for w in words), 0]] + [0], np.int64)
+        ends = np.cumsum(lengths + 1) - 1
+        item = np.repeat(np.arange(len(items)), lengths + 1)
+        offset = np.arange(len(item)) - np.repeat(ends - lengths, lengths + 1)
+        size = np.repeat(np.minimum(lengths, window), lengths + 1)
+        left = np.repeat(ends, lengths + 1) - np.arange(len(item))
+        self.shortest = int(size.min()) if len(items) else window
+        # Suffixes that hold their window, by length of window and then in order; ``suffix`` are their starts.
+        order = suffix_order(self.words[:-1])
+        order = order[left[order] >= size[order]]
+        self.suffix = order[np.argsort(size[order], kind="stable")]
+        self.item, self.offset = item[self.suffix], offset[self.suffix]
+        size = size[self.suffix]
+        # A class begins where the window's length or any of its words differs from the suffix before.
+        new = np.diff(size, prepend=-1) != 0
+        for k in range(int(size.max(initial=0))):
+            inside = np.flatnonzero(size > k)
+            word = np.zeros(len(size), np.int64)
+            word[inside] = self.words[self.suffix[inside] + k]
+            new |= (np.diff(word, prepend=-1) != 0) & (size > k)
+        self.low = np.flatnonzero(new)
+        self.high = np.append(self.low[1:], len(size))
+        self.window = size[self.low]
+        # The word before all suffixes of a class, -1 if they differ or one begins its item.
+        before = np.where(self.offset > 0, self.words[np.maximum(self.suffix - 1, 0)], -1)
+        most = np.maximum.reduceat(before, self.low) if len(self.low) else before
+        least = np.minimum.reduceat(before, self.low) if len(self.low) else before
+        self.before = np.where(most == least, most, -1)
+        # Classes with the same items share one list of them; item k alone is list k.
+        self.items_of = self.item[self.low].copy()
+        self.lists = [np.array([k]) for k in range(len(items))]
+        lists: dict[bytes, int] = {}
+        for k in np.flatnonzero(self.high - self.low > 1).tolist():
+            own = np.unique(self.item[self.low[k] : self.high[k]])
+            if len(own) > 1:
+                number = lists.setdefault(own.tobytes(), len(self.lists))
+                if number == len(self.lists):
+                    self.lists.append(own)
+                self.items_of[k] = number
 
 
 def blocks_of(benchmark: DataFrame, window: int):
@@ -65,23 +116,6 @@ def blocks_of(benchmark: DataFrame, window: int):
         yield Block(held, window)
 
 
-def suffix_order(text: np.ndarray) -> np.ndarray:
-    """Starts of the suffixes of an array of non-negative numbers, sorted; zeros never tie with each other's place."""
-    n = len(text)
-    rank, step = text.astype(np.int64), 1
-    while True:
-        after = np.zeros(n, np.int64)
-        after[: max(0, n - step)] = rank[step:] + 1
-        key = rank * (int(rank.max(initial=0)) + 2) + after
-        order = np.argsort(key, kind="stable")
-        change = np.concatenate([[0], np.cumsum(np.diff(key[order]) > 0)]) if n else np.empty(0, np.int64)
-        rank = np.empty(n, np.int64)
-        rank[order] = change
-        if not n or change[-1] == n - 1 or step > n:
-            return order
-        step *= 2
-
-
 def _bound(text, order, depth, wanted, low, high, after: bool):
     """Binary search in all intervals [low, high) at once: the first place whose word at ``depth`` is not below
     (or, ``after``, is above) the wanted one."""
@@ -96,13 +130,13 @@ def _bound(text, order, depth, wanted, low, high, after: bool):
 
 
 def search(text: np.ndarray, order: np.ndarray, block: Block) -> np.ndarray:
-    """For each test suffix the interval of ``order`` that has its window, empty if none has."""
-    n = len(block.start)
+    """For each class the interval of ``order`` that has its window, empty if none has."""
+    n = len(block.low)
     low, high = np.zeros(n, np.int64), np.full(n, len(order), np.int64)
     windows = np.zeros((n, 2), np.int64)
-    active, depth = np.flatnonzero(block.length >= block.window), 0
+    active, depth = np.arange(n), 0
     while len(active):
-        wanted = block.words[block.start[active] + depth]
+        wanted = block.words[block.suffix[block.low[active]] + depth]
         a = _bound(text, order, depth, wanted, low[active], high[active], False)
         b = _bound(text, order, depth, wanted, a, high[active], True)
         found = a < b
@@ -115,21 +149,36 @@ def search(text: np.ndarray, order: np.ndarray, block: Block) -> np.ndarray:
     return windows
 
 
-def extend(text: np.ndarray, block: Block, rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of windows that stand in ``text``, test suffixes ``rows`` and their places ``at``, those that cannot be extended to the
-    left, and the length to which each matches to the right."""
-    before = (block.offset[rows] > 0) & (at > 0)
-    first = ~(before & (text[at - 1] == block.words[block.start[rows] - 1]))
+def extend(text: np.ndarray, block: Block, rows: np.ndarray, at: np.ndarray):
+    """Of places ``at`` of the classes ``rows``, those that not every suffix of the class extends to the left: (class, place, length to which the
+    longest suffix matches to the right, and the interval of suffixes that match so far)."""
+    first = ~((at > 0) & (block.before[rows] > 0) & (text[at - 1] == block.before[rows]))
     rows, at = rows[first], at[first]
-    size = block.window[rows].copy()
+    size, low, high = block.window[rows].copy(), block.low[rows].copy(), block.high[rows].copy()
     active = np.arange(len(rows))
     while len(active):
-        active = active[size[active] < block.length[rows[active]]]
-        deeper = block.words[block.start[rows[active]] + size[active]]
-        # A run ends in a zero, which no test item has.
-        active = active[text[at[active] + size[active]] == deeper]
+        wanted = text[at[active] + size[active]]
+        # A run ends in a zero, and so does an item: neither matches on.
+        active, wanted = active[wanted > 0], wanted[wanted > 0]
+        a = _deeper(block, size[active], wanted, low[active], high[active], False)
+        b = _deeper(block, size[active], wanted, a, high[active], True)
+        found = a < b
+        active = active[found]
+        low[active], high[active] = a[found], b[found]
         size[active] += 1
-    return rows, at, size
+    return rows, at, size, low, high
+
+
+def _deeper(block: Block, depth: np.ndarray, wanted: np.ndarray, low: np.ndarray, high: np.ndarray, after: bool) -> np.ndarray:
+    """As ``_bound``, among the block's own sorted suffixes and with a depth for each interval."""
+    low, high = low.copy(), high.copy()
+    while (open_ := low < high).any():
+        middle = (low + high) // 2
+        word = block.words[np.minimum(block.suffix[np.minimum(middle, len(block.suffix) - 1)] + depth, len(block.words) - 1)]
+        below = (word <= wanted) if after else (word < wanted)
+        low = np.where(open_ & below, middle + 1, low)
+        high = np.where(open_ & ~below, middle, high)
+    return low
 
 
 def _places(intervals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,22 +223,40 @@ class _Shard:
         np.add.at(self.hit, starts, 1)
         np.add.at(self.hit, starts + block.window[rows], -1)
         if len(rows):
-            pairs = np.unique(np.stack([self.doc[starts], block.item[rows]], axis=1), axis=0)
-            for doc, item in pairs.tolist():
-                self.items[doc].add(block.names[item])
-        rows, at, size = extend(text, block, rows, at)
+            pairs = np.unique(np.stack([self.doc[starts], block.items_of[rows]], axis=1), axis=0)
+            ends = np.flatnonzero(np.diff(pairs[:, 0], append=-1)) + 1
+            known: dict[bytes, set[str]] = {}  # documents with the same lists of items have the same items
+            for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                lists = pairs[begin:end, 1]
+                key = lists.tobytes()
+                if key not in known:
+                    known[key] = {block.names[k] for k in np.unique(np.concatenate([block.lists[x] for x in lists])).tolist()}
+                doc = pairs[begin, 0]
+                self.items[doc] = self.items[doc] | known[key] if self.items[doc] else known[key]
+        rows, at, size, low, high = extend(text, block, rows, at)
         starts = where[at]
         doc = self.doc[starts]
-        order = np.lexsort((starts, block.item[rows], -size, doc))
-        for k in order[np.diff(doc[order], prepend=-1) > 0].tolist():  # the best of each document
+        most = np.zeros(len(self.words), np.int64)
+        np.maximum.at(most, doc, size)
+        best: dict[int, tuple] = {}
+        for k in np.flatnonzero(size == most[doc]).tolist():
             if size[k] > self.longest[doc[k]][0]:
-                self.longest[doc[k]] = (int(size[k]), block.names[block.item[rows[k]]], int(block.offset[rows[k]]), int(starts[k] - self.begins[doc[k]]))
+                one = slice(low[k], high[k])
+                j = np.lexsort((block.offset[one], block.item[one]))[0] + low[k]
+                found = (int(block.item[j]), int(starts[k]), int(block.offset[j]), int(size[k]))
+                best[doc[k]] = min(best.get(doc[k], found), found)
+        for d, (item, start, offset, n) in best.items():
+            self.longest[d] = (n, block.names[item], offset, int(start - self.begins[d]))
 
     def rows(self) -> list[list]:
         covered = np.cumsum(self.hit)[:-1] > 0
         hits = np.bincount(self.doc[covered], minlength=len(self.words)).tolist()
-        lists = [sorted(x) for x in self.items]
-        sums = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in lists]
+        made: dict[int, tuple] = {}  # by identity: documents share sets of items
+        for x in self.items:
+            if id(x) not in made:
+                names = sorted(x)
+                made[id(x)] = names, hashlib.sha256(",".join(names).encode()).hexdigest()
+        lists, sums = ([made[id(x)][k] for x in self.items] for k in (0, 1))
         return [[len(x) for x in self.words], hits, lists, sums, *([x[k] for x in self.longest] for k in range(4))]
 
 
@@ -202,6 +269,8 @@ def _scan(blocks):
             shard = _Shard(texts[begin:end])
             for block in blocks:
                 shard.take(block.value)
+                if len(blocks) > 1:  # a task holds one block at a time
+                    del block._value
             for column, values in zip(out, shard.rows(), strict=True):
                 column += values
         return out

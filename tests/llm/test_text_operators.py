@@ -282,3 +282,19 @@ def test_groups_of_a_host_are_dealt_to_several_tasks_either_way(spark, monkeypat
         plan = found._jdf.queryExecution().executedPlan().toString()
         dealt = plan.split("hashpartitioning(")[1].split(")")[0]  # the exchange nearest to the groups
         assert dealt.startswith("host#") and "part#" in dealt
+
+
+def test_items_with_one_preamble_are_not_multiplied_by_documents():
+    """Test items that share windows: the result is that of all pairs, the work that of places and items apart."""
+    rng = random.Random(3)
+    shared = [f"p{k}".encode() for k in range(40)]
+    items = [(f"i{k:03}", shared + [f"w{rng.randrange(9)}".encode() for _ in range(20)]) for k in range(300)]
+    block = decontaminate.Block(items, 13)
+    assert len(block.low) <= 28 + 300 * 20 and len(block.lists) <= 300 + 12 * 300
+    texts = ["x " + b" ".join(shared).decode() + f" t{k}" for k in range(200)] + [b" ".join(items[7][1]).decode()]
+    shard = decontaminate._Shard(texts)
+    shard.take(block)
+    n_words, n_hit, names, _, longest, item, item_start, doc_start = shard.rows()
+    assert set(n_hit[:200]) == {40} and all(len(x) == 300 for x in names)
+    assert (longest[0], item[0], item_start[0], doc_start[0]) == (40, "i000", 0, 1)
+    assert (longest[200], item[200], item_start[200], doc_start[200]) == (60, "i007", 0, 0)
