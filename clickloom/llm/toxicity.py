@@ -35,6 +35,7 @@ SAMPLE_BYTES = 100_000
 THRESHOLD = 0.7
 WINDOW = 12
 LEVEL = 6
+#: Most bytes of the part that is trained on ordinary text; the words in front of it are as many as there are.
 DICTIONARY = 32 << 10
 CARRIER = 40
 #: Distance of a window that is looked at word by word, and of a word that counts as toxic.
@@ -96,7 +97,7 @@ def marking_words(toxic: list[str], ordinary: list[str], first: dict[str, str] |
 
     tested = [s for s, a in bad.items() if a >= 3]
     least = math.log(max(len(tested), 1) / ERROR)
-    marks = {s for s in tested if bad[s] * m > 50 * n * (good[s] + 0.5) * min(1.0, m / 2000) and ratio(bad[s], good[s]) > least}
+    marks = {s for s in tested if bad[s] * m > 50 * n * (good[s] + 0.5) and ratio(bad[s], good[s]) > least}
     # Of nested segments the longest that still stands for most of the shorter one's texts.
     longer = Counter()
     for s in marks:
@@ -151,7 +152,7 @@ class Model:
         except zstandard.ZstdError:  # too little text to train on: the text itself
             shared = b"".join(samples)[-DICTIONARY:]
         marks = marking_words(toxic, ordinary, first) if toxic and ordinary else []
-        return shared, b"".join(marks)[-DICTIONARY:]
+        return shared, b"".join(marks)
 
     def _distance(self):
         """Function from a window to its distance."""
@@ -159,7 +160,7 @@ class Model:
             self.compressors = []
             for content in (self.shared, self.toxic + self.shared):
                 params = zstandard.ZstdCompressionParameters.from_level(
-                    LEVEL, source_size=WINDOW * 7, dict_size=len(self.shared), write_content_size=False, write_checksum=False, write_dict_id=False
+                    LEVEL, source_size=WINDOW * 7, dict_size=len(self.toxic) + len(self.shared), write_content_size=False, write_checksum=False, write_dict_id=False
                 )
                 dictionary = zstandard.ZstdCompressionDict(content or b" " * 8, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 dictionary.precompute_compress(compression_params=params)

@@ -140,9 +140,16 @@ def test_rare_markers_are_learnt_at_the_full_sample():
 def test_the_toxic_dictionary_holds_its_words_whatever_their_number(monkeypatch):
     from clickloom.llm import toxicity as module
 
-    marks = [b" %04d " % k for k in range(4500)]
+    rng = random.Random(5)
+    marks = [(" " + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(5, 10))) + " ").encode() for _ in range(10_000)]
     monkeypatch.setattr(module, "marking_words", lambda *_: marks)
-    assert module.Model._dictionaries(["bad"], ["good"], {})[1] == b"".join(marks)
+    model = object.__new__(module.Model)
+    ordinary = [" ".join(random.Random(k).choices(["some", "words", "of", "plain", "text", "here"], k=40)) for k in range(50)]
+    model.shared, model.toxic = module.Model._dictionaries(["bad"], ordinary, {})
+    assert model.toxic == b"".join(marks)
+    model.compressors = None
+    distance = model._distance()
+    assert all(distance(word) >= module.FAR for word in marks[::97])  # the rarest, in front, as well as the last
 
 
 def test_languages_are_told_apart(spark, odd, nothing):
