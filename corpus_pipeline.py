@@ -15,6 +15,8 @@ from clickloom.llm.shards import shards
 from clickloom.llm.toxicity import toxicity
 from clickloom.session import materialize, pin_session
 
+#: Limit of a shard; small corpora have several as well.
+SHARD_BYTES = 1 << 20
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -45,7 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the shard that they belong to."""
-    return shards(docs.select(*COLUMNS))
+    return shards(docs.select(*COLUMNS), SHARD_BYTES)
 
 
 STAGES = [
