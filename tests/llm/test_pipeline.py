@@ -38,7 +38,7 @@ def test_stages_take_empty_tables_and_nulls(spark, folder):
 
 def test_queries_are_registered():
     assert set(queries.QUERIES) <= set(__spark_entry__.queries()) and set(queries.ORACLE) <= set(__spark_entry__.oracle_sql())
-    assert {int(name[2:].split("_")[0]) for name in queries.QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in queries.QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", queries.ORACLE)
