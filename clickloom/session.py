@@ -52,11 +52,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/clickloom-{application}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write an intermediate table once and read it back, for results with several readers.
 
-    Survives executor loss, keeps column pruning and gives later joins true sizes."""
+    Survives executor loss, keeps column pruning and gives later joins true sizes. Options are the Parquet writer's."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
