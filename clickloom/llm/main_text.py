@@ -217,8 +217,6 @@ def _parsed(source: str) -> dict:
                 tags[key] = _token(*key)
             tokens.append(tags[key])
             marks.append(0 if element.name in _INLINE else 1)
-    counts = Counter(tokens)
-    del counts[0]
     return {
         "digest": xxhash.xxh3_64_intdigest(np.array(tokens, np.int64).tobytes()) - (1 << 63),
         "own": sorted(own),
@@ -226,23 +224,37 @@ def _parsed(source: str) -> dict:
         "marks": marks,
         "texts": texts,
         "spots": [dict(zip(("clean", "above", "able"), x, strict=True)) for x in spots],
-        "seen": [{"token": token, "n": n} for token, n in counts.items()],
     }
 
 
 _PARSED = (
     "page_id bigint, url string, site bigint, digest bigint, own array<bigint>, tokens array<bigint>, marks array<int>, texts array<string>, "
-    "spots array<struct<clean: array<bigint>, above: array<bigint>, able: array<bigint>>>, seen array<struct<token: bigint, n: int>>"
+    "spots array<struct<clean: array<bigint>, above: array<bigint>, able: array<bigint>>>"
 )
 _TEXT = "page_id bigint, url string, text string, n_chars bigint"
 #: Pages that are turned from Arrow into objects at a time, and about the characters of a batch that is put out.
 _ROWS, _CHARS = 64, 4 << 20
+#: Sites whose classes or template a task holds.
+_SITES = 256
 
 
 def _rows(batches, columns: list[str]):
+    """Rows as dictionaries; what is the same for a site's pages is read once while the site is among the last ones."""
+    shared = [x for x in columns if x in ("classes", "fixed", "solid")]
+    own = [x for x in columns if x not in shared]
+    known: dict[int, dict] = {}
     for batch in batches:
         for at in range(0, batch.num_rows, _ROWS):
-            yield from batch.slice(at, _ROWS).select(columns).to_pylist()
+            part = batch.slice(at, _ROWS)
+            for k, row in enumerate(part.select(own).to_pylist()):
+                if shared:
+                    if row["site"] not in known:
+                        if len(known) >= _SITES:
+                            known.clear()
+                        known[row["site"]] = found = {x: part.column(x)[k].as_py() for x in shared}
+                        found["wanted"] = frozenset(token for one in found.get("classes", ()) for token in one["members"])
+                    row.update(known[row["site"]])
+                yield row
 
 
 def _batches(rows, kind: pa.Schema):
@@ -271,10 +283,9 @@ def _parse(rows):
 
 def _places(row: dict) -> dict[int, list[int]]:
     """Positions of the tokens of a page that are in classes."""
-    wanted = {token for one in row["classes"] for token in one["members"]}
     found: dict[int, list[int]] = {}
     for at, token in enumerate(row["tokens"]):
-        if token in wanted:
+        if token in row["wanted"]:
             found.setdefault(token, []).append(at)
     return found
 
@@ -354,14 +365,16 @@ def parse(pages: DataFrame) -> DataFrame:
     pages = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), "url", F.xxhash64(host).alias("site"), F.coalesce("html", F.lit("")).alias("html")
     )
-    return materialize(_map(pages, _parse, _PARSED), "parsed-pages")
+    return materialize(_map(pages, _parse, _PARSED), "parsed-pages", compression="zstd")
 
 
 def templates(parsed: DataFrame) -> DataFrame:
     """Rows (site, fixed, solid, size): tokens of the site's template, and its strings that go even inside an article."""
     distinct = parsed.select("site", "digest").distinct()
     sites = distinct.groupBy("site").agg(F.count("*").alias("n"))
-    seen = parsed.select("site", "digest", F.inline("seen")).distinct()
+    # Of equal pages all counts are the same multiple, so their tokens still have equal vectors.
+    seen = parsed.select("site", "digest", F.explode("tokens").alias("token")).where("token <> 0")
+    seen = seen.groupBy("site", "digest", "token").agg(F.count("*").alias("n"))
     vectors = seen.groupBy("site", "token").agg(F.bit_xor(F.xxhash64("digest", "n")).alias("shape"), F.count("*").alias("pages"))
     tag = F.col("token").bitwiseAND(1) == 1
     enough = (F.col("pages") >= SUPPORT * F.col("n")) & (tag | (F.col("pages") >= STRING_PAGES))
@@ -445,6 +458,7 @@ def _layouts(rows):
         template = set(row["fixed"] or ())
         found = _volume(row, template, template)
         layout = xxhash.xxh3_64_intdigest(np.array(sorted(found), np.int64).tobytes()) - (1 << 63)
+        del row["wanted"]
         yield {**row, "layout": layout, "volume": [{"container": c, "words": n} for c, n in sorted(found.items())]}
 
 
