@@ -17,12 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import add_columns
+from clickloom.session import materialize
 
 LANDMARKS = 160
 #: Training rows of each language; a language with fewer gives all it has.
 SAMPLE = 600
 #: Longest text, in characters, that serves in training. Scoring has no limit.
 SAMPLE_CHARS = 50_000
+#: Characters that the training rows of all languages have together, about, whatever the number of languages.
+TOTAL_CHARS = 32_000_000
 RIDGE = 1e-3
 
 _BITS = 18
@@ -98,11 +101,12 @@ class Model:
 
 
 def training_rows(docs: DataFrame, per_language: int = SAMPLE) -> list:
-    """At most about ``per_language`` rows (text, lang) of each language, by a hash of the text; the rows are sorted, so
-    that each run learns the same."""
+    """At most about ``per_language`` rows (text, lang) of each language, and of each an equal part of ``TOTAL_CHARS``, by
+    a hash of the text; the rows are sorted, so that each run learns the same."""
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n"))
-    share = F.lit(2.0**63) * F.least(F.lit(per_language) / F.col("n"), F.lit(1.0))
+    counts = materialize(usable.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")), "languages")
+    each = TOTAL_CHARS / max(1, counts.count())
+    share = F.lit(2.0**63) * F.least(F.lit(per_language) / F.col("n"), F.lit(each) / F.greatest("chars", F.lit(1)), F.lit(1.0))
     # One row for each language, as the model has one regression for each: texts are not dealt by language.
     picked = usable.join(F.broadcast(counts), "lang").where(F.abs(F.xxhash64("text")).cast("double") <= share)
     # Copies of one text share a hash, so a large group of them counts once.

@@ -365,6 +365,46 @@ def test_fractions_and_roman_numerals_are_no_letters():
     assert grams("\u00bd a") is not None and grams("\u4e2d") is not None
 
 
+def test_kernels_are_those_of_sets_of_ngrams():
+    """The hashed kernel, the features and the regressions against the same with sets of strings and dense formulas."""
+    from clickloom.llm import language as module
+
+    rng = random.Random(4)
+    words = {"x": "lor mip ashta dun ".split(), "y": "éta öno quil brä ".split(), "z": "жук дом лес г12 ".split()}
+    texts = [(" ".join(rng.choice(words[lang]).capitalize() + rng.choice("!.,7") for _ in range(rng.randrange(1, 40))), lang) for lang in "xyz" for _ in range(30)]
+    model = module.Model([t for t, _ in texts], [lang for _, lang in texts])
+
+    def ngrams(text):
+        clean = f" {re.sub(r'[\W\d_]+', ' ', text.lower()).strip()} "
+        return {clean[k : k + n] for n in (1, 2, 3) for k in range(len(clean) - n + 1)}
+
+    each = module.LANDMARKS // 3
+    marks = [ngrams(t) for lang in "xyz" for t in [t for t, own in texts if own == lang][:each]]
+    sets = [ngrams(t) for t, _ in texts]
+    exact = np.array([[len(a & b) / (len(a) * len(b)) ** 0.5 for b in marks] for a in sets])
+    kernel = model.kernel([module.grams(t) for t, _ in texts])
+    assert np.abs(kernel - exact).max() < 0.02  # n-grams that share one of 2**18 hashes
+    values, vectors = np.linalg.eigh(kernel[[texts.index(x) for lang in "xyz" for x in [x for x in texts if x[1] == lang][:each]]].astype(float))
+    kept = values > values.max() * 1e-6
+    features = kernel.astype(float) @ (vectors[:, kept] / np.sqrt(values[kept]))
+    wanted = np.array([[own == lang for lang in "xyz"] for _, own in texts], float)
+    ridge = features @ np.linalg.solve(features.T @ features / 30 + module.RIDGE * np.eye(features.shape[1]), features.T @ wanted / 30)
+    names, scores = model.predict([t for t, _ in texts])
+    assert names == ["xyz"[k] for k in ridge.argmax(axis=1)]
+    assert np.allclose(scores, ridge.max(axis=1).clip(0, 1), atol=0.02)
+
+
+def test_language_sample_is_bounded_over_all_languages(spark, monkeypatch):
+    from clickloom.llm import language as module
+
+    docs = spark.range(4000).selectExpr("concat('text ', id) as text", "concat('l', id % 8) as lang")
+    monkeypatch.setattr(module, "TOTAL_CHARS", 8_000)
+    rows = module.training_rows(docs)
+    assert 4_000 < sum(len(r.text) for r in rows) < 12_000 and len({r.lang for r in rows}) == 8
+    monkeypatch.setattr(module, "TOTAL_CHARS", 10**9)
+    assert len(module.training_rows(docs)) == 4000
+
+
 def test_groups_of_a_host_are_dealt_to_several_tasks_either_way(spark, monkeypatch):
     rows = [(k, f"http://hot/{k}", f"<html><nav>menu</nav><article><p>text {k}</p></article></html>") for k in range(60)]
     pages = spark.createDataFrame(rows + [(60, None, None)], "page_id long, url string, html string")
