@@ -1,15 +1,18 @@
-"""Products of a sparse rating matrix by an inverted join.
+"""Products of a sparse rating matrix by inverted joins.
 
 The matrix arrives as cells (user_id, item_id, weight). Joining it with itself would emit every pair of
-cells that share a member. Here entities are dealt into groups by a hash of their id, about as many as the multiplications
-ask for. A group asks for the members its own cells name, each once, and an inverted join brings it the cells of these
-members and of nothing else: a cell travels to the groups that reach it, never to all. Cells of a member travel
-in packs of bounded size. A task then sums products entity by entity and lets only sums leave, of a top-k only what can still be
-among the best.
+cells that share a member. Here entities are dealt into groups by a hash of their id. A group asks for the members its own
+cells name, each once, and an inverted join brings it the cells of these members and of nothing else: a cell travels to the
+groups that reach it, never to all. Where everything reaches everything each group costs one more copy of the cells, so there
+are no more groups than cores, unless a group's own cells would be too many for a task. Cells travel in packs of bounded size.
+A task sums products entity by entity and lets only sums leave, of a top-k only what can still be among the best.
 
-A group that reaches more than ``REACH`` cells, because its members are hot, is salted: the members that it reaches are
-dealt to several tasks, whose partial sums Spark adds up. Rows go straight to the partition of their group and salt, so
-two groups never share a task and nothing is sorted."""
+Links that would reach more than ``REACH`` cells are split by the reached entity: each task of a group then has whole sums of
+some pairs, so nothing but the best leaves it. Scores, which need two steps, hold the cells in a few bytes each; only a group that
+reaches ``HELD`` times as many is dealt to several tasks by the reached user, whose partial sums Spark adds up.
+
+With at most ``FEW`` entities the products are summed member by member instead: each cell travels once, a task reads its members
+in batches and holds one table of pairs. Rows go straight to their partition, and nothing is sorted."""
 
 from __future__ import annotations
 
@@ -30,6 +33,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORK = 100_000_000  # multiplications that a group does, on average
 SMALL_WORK = 4_000_000  # below the number of cores, groups are made for so many
 REACH = 4_000_000  # cells that a task holds
+HELD = 12  # times as many that a task holds for scores, in a few bytes each
+FEW = 1024  # entities whose pairs fit into one table
+TABLE = 2_000_000  # numbers of a dense table that a task fills at a time
+MASK = 62  # groups that the bits of a number can name
 PACK = 4096  # cells of one member that travel as one row
 FLUSH = 500_000  # result rows that a task holds before it sends them
 CUTS = 128  # stretches of scores whose maxima give a first bound for the k-th best
@@ -42,17 +49,25 @@ def groups_for(work: float, entities: int, cores: int) -> int:
     return int(max(1, min(wanted, entities)))
 
 
+def _cores(cells: DataFrame) -> int:
+    return cells.sparkSession.sparkContext.defaultParallelism
+
+
 def _group_of(entity: str, groups: int) -> Column:
     return F.pmod(F.xxhash64(entity), F.lit(groups)).cast("int")
 
 
-def packed(cells: DataFrame, member: str, largest: int, *columns: str) -> DataFrame:
-    """Rows (member, n, one array for each column): the member's cells in packs of about ``PACK`` for a member of ``largest`` cells, so of at most
+def _salt_of(member: str, salts: int) -> Column:
+    return F.pmod(F.xxhash64(member, F.lit(1)), F.lit(salts)).cast("int")
+
+
+def packed(cells: DataFrame, keys: list[str], largest: int, *columns: str) -> DataFrame:
+    """Rows (keys, n, one array for each column): the cells of equal keys in packs of about ``PACK`` for keys of ``largest`` cells, so of at most
     about that for any; ``n`` is the pack's size."""
     pack = F.pmod(F.xxhash64(columns[0], F.lit(3)), F.lit(-(-largest // PACK) or 1))
     # One list of structs, so that the arrays stay in step.
-    held = cells.groupBy(member, pack.alias("pack")).agg(F.count("*").alias("n"), F.collect_list(F.struct(*columns)).alias("cells"))
-    return materialize(held.select(member, "n", *[F.col(f"cells.{name}").alias(name) for name in columns]), "packs")
+    held = cells.groupBy(*keys, pack.alias("pack")).agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct(*columns))).alias("cells"))
+    return held.select(*keys, "n", *[F.col(f"cells.{name}").alias(name) for name in columns])
 
 
 @dataclass(frozen=True)
@@ -67,41 +82,54 @@ class Size:
 
 def _salts(reached: DataFrame, size: Size) -> int:
     """Salts that the largest group needs, for rows (group, n)."""
-    if size.cells <= REACH:  # no group can reach so many cells
+    most = REACH * HELD
+    if size.cells <= most:  # no group can reach so many cells
         return 1
     largest = reached.groupBy("group").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
-    return max(1, -(-largest // REACH))
+    return max(1, -(-largest // most))
 
 
 def _placed(rows: DataFrame, parts: int) -> DataFrame:
     return rows.repartitionById(parts, F.col("part"))
 
 
-def _salt_of(member: str, salts: int) -> Column:
-    return F.pmod(F.xxhash64(member, F.lit(1)), F.lit(salts)).cast("int")
+def _flat(batch, names):
+    """Of the lists of a batch: the length of each row's, and the entries of each column."""
+    sizes = pa.compute.list_value_length(batch.column(names[0])).to_numpy(zero_copy_only=False)
+    return sizes, [pa.compute.list_flatten(batch.column(name)).to_numpy(zero_copy_only=False) for name in names]
+
 
+def _narrow(value: np.ndarray) -> np.ndarray:
+    """Weights in fewer bytes, if these hold the same numbers."""
+    for kind in (np.uint8, np.float32):
+        small = value.astype(kind)
+        if np.array_equal(small, value):
+            return small
+    return value
 
-def _read(batches, names, lists):
-    """Columns of a partition as arrays, single values repeated for each entry of the lists; None if it has no rows."""
-    held = [batch for batch in batches if batch.num_rows]
-    if not held:
-        return None
-    table = pa.Table.from_batches(held).combine_chunks()
-    sizes = pa.compute.list_value_length(table.column(lists[0])).to_numpy()
-    single = [np.repeat(table.column(name).to_numpy(), sizes) for name in names]
-    return single + [pa.compute.list_flatten(table.column(name)).to_numpy() for name in lists]
+
+def _joined(parts: list, kind) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.empty(0, kind)
 
 
 class _Rows:
-    """A sparse matrix by rows: ``column`` and ``value`` of row r lie at start[r] : start[r + 1]."""
+    """A sparse matrix by rows: ``column`` and ``value`` of row r lie at start[r] : start[r + 1].
+
+    Made from a stretch of rows at a time, so that the order of all entries is never held."""
 
     def __init__(self, row: np.ndarray, column: np.ndarray, value: np.ndarray, rows: int) -> None:
-        order = np.argsort(row, kind="stable")
-        self.column, self.value = column[order].astype(np.int32), value[order]
-        small = self.value.astype(np.float32)
-        if np.array_equal(small, self.value):  # whole weights: half the memory to read, the same products
-            self.value = small
-        self.start = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=rows))])
+        sizes = np.zeros(rows, np.int64)
+        for begin in range(0, len(row), TABLE):
+            sizes += np.bincount(row[begin : begin + TABLE], minlength=rows)
+        self.start = np.concatenate([[0], np.cumsum(sizes)])
+        self.column, self.value = np.empty(len(row), np.int32), np.empty(len(row), value.dtype)
+        cuts = np.searchsorted(self.start, np.arange(0, len(row), 2 * TABLE)[1:])
+        edges = np.unique(np.concatenate([[0], cuts, [rows]]))
+        for low, high in zip(edges[:-1], edges[1:], strict=True):
+            at = np.flatnonzero((row >= low) & (row < high)) if len(edges) > 2 else np.arange(len(row))
+            at = at[np.argsort(row[at], kind="stable")]
+            place = slice(self.start[low], self.start[high])
+            self.column[place], self.value[place] = column[at], value[at]
 
     def entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of all entries of some rows, and how many each row has."""
@@ -109,6 +137,9 @@ class _Rows:
         sizes = self.start[rows + 1] - begins
         return np.arange(sizes.sum()) + np.repeat(begins - np.cumsum(sizes) + sizes, sizes), sizes
 
+    def turned(self, columns: int) -> "_Rows":
+        return _Rows(self.column, np.repeat(np.arange(len(self.start) - 1, dtype=np.int32), np.diff(self.start)), self.value, columns)
+
 
 def _best(scores: np.ndarray, k: int | None, tolerance: float) -> np.ndarray:
     """Places of the scores above zero, with ``k`` of those not more than ``tolerance`` below the k-th best."""
@@ -150,25 +181,99 @@ class _Out:
             yield self.batch()
 
 
-def _similar(groups: int, k: int | None, tolerance: float):
+def _pairs(batches):
+    """Sums over whole members of products of two entities' weights: as they are, and divided by the member's norm."""
+    ids, dot, share, square = np.empty(0, np.int64), np.zeros((0, 0)), np.zeros((0, 0)), np.empty(0)
+    for batch in batches:
+        sizes, (entity, weight, squares) = _flat(batch, ("entity", "weight", "square"))
+        if not len(entity):
+            continue
+        known = np.union1d(ids, entity)
+        if len(known) > len(ids):
+            at = np.searchsorted(known, ids)
+            grown = [np.zeros((len(known), len(known))) for _ in range(2)]
+            for new, old in zip(grown, (dot, share), strict=True):
+                new[np.ix_(at, at)] = old
+            (dot, share), ids = grown, known
+            square = np.zeros(len(ids)) if len(square) == 0 else np.bincount(at, square, len(ids))
+        column = np.searchsorted(ids, entity)
+        square[column] = squares
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        step = max(1, TABLE // len(ids))
+        for begin in range(0, len(sizes), step):
+            cells = slice(*np.searchsorted(row, [begin, begin + step]))
+            table = np.zeros((min(step, len(sizes) - begin), len(ids)))
+            np.add.at(table, (row[cells] - begin, column[cells]), weight[cells])
+            norm = np.sqrt(np.bincount(row[cells] - begin, weight[cells] ** 2, len(table)))
+            norm[norm == 0] = 1
+            dot += table.T @ table
+            share += table.T @ (table / norm[:, None])
+    a, b = np.nonzero(dot)
+    if len(a):
+        columns = ids[a], ids[b], dot[a, b], share[a, b], square[a] * square[b]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["a", "b", "dot", "share", "squares"])
+
+
+def _few(cells: DataFrame, member: str) -> DataFrame:
+    """For cells (member, entity, weight, square) of few entities: rows (a, b, dot, share, squares), one for each pair that shares a member and for each entity with itself."""
+    parts = _cores(cells)
+    held = cells.groupBy(member).agg(F.collect_list(F.struct("entity", "weight", "square")).alias("cells"))
+    rows = held.select(_salt_of(member, parts).alias("part"), *[F.col(f"cells.{name}").alias(name) for name in ("entity", "weight", "square")])
+    found = _placed(rows, parts).drop("part").mapInArrow(_pairs, "a bigint, b bigint, dot double, share double, squares double")
+    return found.groupBy("a", "b").agg(F.sum("dot").alias("dot"), F.sum("share").alias("share"), F.first("squares").alias("squares"))
+
+
+REACHED, OWN, EXTRA = 0, 1, 2  # what a row of a task holds: cells that it reaches, cells of its own entities, numbers of entities
+
+
+def _similar(k: int | None, tolerance: float):
     def run(batches):
-        found = _read(batches, ("shared", "group"), ("entity", "weight", "square", "home"))
-        if found is None:
+        parts = {kind: ([], [], []) for kind in (REACHED, OWN, EXTRA)}
+        for batch in batches:
+            kinds = batch.column("kind").to_numpy(zero_copy_only=False)
+            for kind in np.unique(kinds):
+                some = batch.filter(pa.array(kinds == kind))
+                sizes, (entity, weight) = _flat(some, ("entity", "weight"))
+                shared = np.empty(0, np.int64) if kind == EXTRA else np.repeat(some.column("shared").to_numpy(zero_copy_only=False), sizes)
+                for held, new in zip(parts[kind], (shared, entity, weight), strict=True):
+                    held.append(new)
+        if not parts[OWN][0] or not parts[REACHED][0]:
             return
-        shared, group, entity, weight, square, home = found
-        ids, first, row = np.unique(entity, return_index=True, return_inverse=True)
-        square = square[first]
+        _, ids, square = map(np.concatenate, parts[EXTRA])
+        order = np.argsort(ids)
+        ids, square = ids[order], square[order]
+        shared, entity, weight = map(np.concatenate, parts[OWN])
         members, column = np.unique(shared, return_inverse=True)
-        by_member = _Rows(column, row, weight, len(members))
-        mine = _Rows(row, column, weight, len(ids))
+        homes, row = np.unique(entity, return_inverse=True)
+        mine, squares = _Rows(row, column, _narrow(weight), len(homes)), np.bincount(row, weight**2, len(homes))
+        shared, entity, weight = map(np.concatenate, parts[REACHED])
+        parts.clear()
+        column, row = np.searchsorted(members, shared), np.searchsorted(ids, entity)
+        dense = len(ids) * len(members) <= 4 * len(row)
+        if dense:  # so many cells that a product of whole tables is less work
+            others = np.zeros((len(members), len(ids)))
+            np.add.at(others, (column, row), weight)
+        else:
+            by_member = _Rows(column, row, _narrow(weight), len(members))
+        del shared, entity, weight, column, row
         out = _Out(["entity", "neighbour", "dot", "squares"])
-        for r in np.unique(row[home == group]):
-            cells = slice(mine.start[r], mine.start[r + 1])
-            at, sizes = by_member.entries(mine.column[cells])
-            dots = np.bincount(by_member.column[at], np.repeat(mine.value[cells], sizes) * by_member.value[at], len(ids))
-            dots[r] = 0
-            near = _best(dots / np.sqrt(square * square[r]), k, tolerance)
-            yield from out.add(np.full(len(near), ids[r]), ids[near], dots[near], square[near] * square[r])
+        step = max(1, TABLE // len(ids)) if dense else 1
+        for begin in range(0, len(homes), step):
+            here = np.arange(begin, min(begin + step, len(homes)))
+            at, sizes = mine.entries(here)
+            if dense:
+                table = np.zeros((len(here), len(members)))
+                np.add.at(table, (np.repeat(here - begin, sizes), mine.column[at]), mine.value[at])
+                rows = table @ others
+            else:
+                to, each = by_member.entries(mine.column[at])
+                rows = np.bincount(by_member.column[to], np.repeat(mine.value[at].astype(float), each) * by_member.value[to], len(ids))[None]
+            own = np.minimum(np.searchsorted(ids, homes[here]), len(ids) - 1)
+            for r, dots, itself in zip(here, rows, own, strict=True):
+                if ids[itself] == homes[r]:
+                    dots[itself] = 0
+                near = _best(dots / np.sqrt(square * squares[r]), k, tolerance)
+                yield from out.add(np.full(len(near), homes[r]), ids[near], dots[near], square[near] * squares[r])
         yield from out.rest()
 
     return run
@@ -180,86 +285,200 @@ def neighbours(cells: DataFrame, entities: int, shared: Size, k: int | None = No
     ``cells``: entity, shared, weight and ``square``, the entity's sum of squared weights; ``entities`` is the number of these, ``shared``
     the size of the cells by shared member. With ``k`` a task passes on only what can still be among the k largest of an entity: all
     not more than ``tolerance`` below the k-th; the choice is made afterwards."""
-    groups = groups_for(shared.pairs, entities, cells.sparkSession.sparkContext.defaultParallelism)
-    named = cells.select("shared", "entity", F.col("weight").cast("double").alias("weight"), F.col("square").cast("double").alias("square"), _group_of("entity", groups).alias("home"))
-    packs = packed(named, "shared", shared.largest, "entity", "weight", "square", "home")
+    named = cells.select("shared", "entity", F.col("weight").cast("double").alias("weight"), F.col("square").cast("double").alias("square"))
+    if entities <= FEW:
+        found = _few(named, "shared").where("a <> b").select(F.col("a").alias("entity"), F.col("b").alias("neighbour"), "dot", "squares")
+        return found.select("entity", "neighbour", (F.col("dot") / F.sqrt("squares")).alias("sim"))
+    blocks = max(1, -(-shared.cells // REACH))
+    groups = max(min(groups_for(shared.pairs, entities, _cores(cells)), _cores(cells)), min(blocks, entities))
+    named = named.withColumns({"group": _group_of("entity", groups), "block": _salt_of("entity", blocks)})
+    own = materialize(packed(named, ["shared", "group"], shared.largest, "entity", "weight"), "own")
+    reached = packed(named, ["shared", "block"], shared.largest, "entity", "weight")
     # The groups that a member's own entities live in are those that ask for it.
-    asked = packs.select("shared", F.explode(F.array_distinct("home")).alias("group")).distinct()
-    met = asked.join(packs, "shared")
-    salts = _salts(met, shared)
-    placed = met.select((F.col("group") * salts + _salt_of("shared", salts)).alias("part"), "shared", "group", "entity", "weight", "square", "home")
-    schema = "entity bigint, neighbour bigint, dot double, squares double"
-    found = _placed(placed, groups * salts).mapInArrow(_similar(groups, k if salts == 1 else None, tolerance), schema)
-    if salts > 1:
-        found = found.groupBy("entity", "neighbour").agg(F.sum("dot").alias("dot"), F.first("squares").alias("squares"))
+    met = own.select("shared", "group").distinct().join(reached, "shared")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    extra = named.groupBy("entity", "block").agg(F.first("square").alias("square"))
+    extra = packed(extra, ["block"], entities, "entity", "square").select("block", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), "entity", "square")
+    part = (F.col("group") * blocks + F.col("block")).alias("part")
+    rows = met.select(part, F.lit(REACHED).alias("kind"), "shared", "entity", "weight")
+    rows = rows.unionByName(own.withColumn("block", every).select(part, F.lit(OWN).alias("kind"), "shared", "entity", "weight"))
+    rows = rows.unionByName(extra.select(part, F.lit(EXTRA).alias("kind"), F.lit(None).cast("bigint").alias("shared"), "entity", F.col("square").alias("weight")))
+    found = _placed(rows, groups * blocks).mapInArrow(_similar(k, tolerance), "entity bigint, neighbour bigint, dot double, squares double")
     return found.select("entity", "neighbour", (F.col("dot") / F.sqrt("squares")).alias("sim"))
 
 
+def _chosen(by_items: np.ndarray, by_users: np.ndarray, k: int | None, tolerance: float) -> np.ndarray:
+    if k is None:
+        return np.flatnonzero((by_items > 0) | (by_users > 0))
+    return np.union1d(_best(by_items, k, tolerance), _best(by_users, k, tolerance))
+
+
 def _score(k: int | None, tolerance: float):
     def run(batches):
-        found = _read(batches, ("user_id", "own", "reached"), ("item_id", "weight", "item_norm"))
-        if found is None:
+        packs, norms = [], []
+        for batch in batches:
+            sizes, (item, weight) = _flat(batch, ("item_id", "weight"))
+            user = batch.column("user_id")
+            if batch.num_rows and user.null_count:
+                extra = np.repeat(user.is_null().to_numpy(zero_copy_only=False), sizes)
+                norms.append((item[extra], weight[extra]))
+                item, weight = item[~extra], weight[~extra]
+                batch = batch.filter(user.is_valid())
+                sizes = pa.compute.list_value_length(batch.column("item_id")).to_numpy(zero_copy_only=False)
+            if len(item):
+                small = item.astype(np.int32)
+                item = small if np.array_equal(small, item) else item
+                flags = [batch.column(name).to_numpy(zero_copy_only=False).astype(bool) for name in ("own", "reached")]
+                packs.append((batch.column("user_id").to_numpy(), sizes, *flags, item, _narrow(weight)))
+        if not packs:
             return
-        user, own, reached, item, weight, item_norm = found
-        users, row = np.unique(user, return_inverse=True)
-        items, first, column = np.unique(item, return_index=True, return_inverse=True)
-        inorm = item_norm[first]
-        own, reached = own.astype(bool), reached.astype(bool)
-        unorm = np.sqrt(np.bincount(row[reached], weight[reached] ** 2, len(users)))
-        mine = _Rows(row[own], column[own], weight[own], len(users))
-        by_user = _Rows(row[reached], column[reached], weight[reached], len(users))
-        by_item = _Rows(column[reached], row[reached], weight[reached], len(items))
-        unorm[unorm == 0] = 1  # users that are only looked for here
+        users, codes = np.unique(np.concatenate([pack[0] for pack in packs]), return_inverse=True)
+        items, inorm = (np.concatenate(x) for x in zip(*norms, strict=True))
+        order = np.argsort(items)
+        items, inorm = items[order], inorm[order]
+        row, column, value, is_own, is_reached = [], [], [], [], []
+        begin = 0
+        for at, (_, sizes, own, reached, item, weight) in enumerate(packs):
+            packs[at] = None
+            row.append(np.repeat(codes[begin : begin + len(sizes)].astype(np.int32), sizes))
+            column.append(np.searchsorted(items, item).astype(np.int32))
+            value.append(weight)
+            is_own.append(np.repeat(own, sizes))
+            is_reached.append(np.repeat(reached, sizes))
+            begin += len(sizes)
+        row, column, value, is_own, is_reached = map(np.concatenate, (row, column, value, is_own, is_reached))
+        mine = _Rows(row[is_own], column[is_own], value[is_own], len(users))
+        if not is_reached.all():
+            row, column, value = row[is_reached], column[is_reached], value[is_reached]
+        del is_own, is_reached
+        by_user = _Rows(row, column, value, len(users))
+        del row, column, value
+        by_item = by_user.turned(len(items))
+        unorm = np.ones(len(users))  # also of users that are only looked for here
+        for r in range(0, len(users), 1 << 16):
+            here = slice(by_user.start[r], by_user.start[min(r + (1 << 16), len(users))])
+            sizes = np.diff(by_user.start[r : r + (1 << 16) + 1])
+            squares = np.bincount(np.repeat(np.arange(len(sizes)), sizes), by_user.value[here].astype(float) ** 2, len(sizes))
+            unorm[r : r + len(sizes)] = np.sqrt(np.where(squares > 0, squares, 1))
         out = _Out(["user_id", "item_id", "item_score", "user_score"])
-        for r in np.unique(row[own]):
+        by_items, by_users = np.zeros(len(items)), np.zeros(len(items))
+        for r in np.flatnonzero(np.diff(mine.start)):
             cells = slice(mine.start[r], mine.start[r + 1])
             seen, rated = mine.column[cells], mine.value[cells].astype(float)
             at, sizes = by_item.entries(seen)
             # What the user has in common with each user reached: divided by the norms of the items, and as it is.
-            common, other = by_item.value[at], by_item.column[at]
-            scaled = np.bincount(other, np.repeat(rated / inorm[seen], sizes) * common, len(users))
-            plain = np.bincount(other, np.repeat(rated, sizes) * common, len(users)) / unorm
-            met = np.flatnonzero(scaled)
+            met, other = np.unique(by_item.column[at], return_inverse=True)
+            common = by_item.value[at]
+            scaled = np.bincount(other, np.repeat(rated / inorm[seen], sizes) * common, len(met))
+            plain = np.bincount(other, np.repeat(rated, sizes) * common, len(met)) / (unorm[met] * np.sqrt(rated @ rated))
             at, sizes = by_user.entries(met)
             there, theirs = by_user.column[at], by_user.value[at]
-            by_items = np.bincount(there, np.repeat(scaled[met], sizes) * theirs, len(items)) / inorm
-            by_users = np.bincount(there, np.repeat(plain[met], sizes) * theirs, len(items)) / np.sqrt(rated @ rated)
-            by_items[seen] = by_users[seen] = 0
-            if k is None:
-                chosen = np.flatnonzero((by_items > 0) | (by_users > 0))
+            if 4 * len(there) < len(items):  # few of the items: only these are added up and looked at
+                np.add.at(by_items, there, np.repeat(scaled, sizes) * theirs)
+                np.add.at(by_users, there, np.repeat(plain, sizes) * theirs)
+                by_items[seen] = by_users[seen] = 0
+                near = np.unique(there)
+                a, b = by_items[near] / inorm[near], by_users[near]
+                by_items[near] = by_users[near] = 0
+                chosen = _chosen(a, b, k, tolerance)
+                yield from out.add(np.full(len(chosen), users[r]), items[near[chosen]], a[chosen], b[chosen])
             else:
-                chosen = np.union1d(_best(by_items, k, tolerance), _best(by_users, k, tolerance))
-            yield from out.add(np.full(len(chosen), users[r]), items[chosen], by_items[chosen], by_users[chosen])
+                a = np.bincount(there, np.repeat(scaled, sizes) * theirs, len(items)) / inorm
+                b = np.bincount(there, np.repeat(plain, sizes) * theirs, len(items))
+                a[seen] = b[seen] = 0
+                chosen = _chosen(a, b, k, tolerance)
+                yield from out.add(np.full(len(chosen), users[r]), items[chosen], a[chosen], b[chosen])
+        yield from out.rest()
+
+    return run
+
+
+def _score_few(k: int | None, tolerance: float):
+    def run(batches):
+        links, packs = [], []
+        for batch in batches:
+            user = batch.column("user_id")
+            for some, held in ((batch.filter(user.is_null()), links), (batch.filter(user.is_valid()), packs)):
+                if some.num_rows:
+                    single = some.column("a" if held is links else "user_id").to_numpy(zero_copy_only=False)
+                    sizes, (item, weight, share) = _flat(some, ("item_id", "weight", "share"))
+                    held.append((np.repeat(single, sizes), item, weight, share) if held is links else (np.repeat(single, sizes), item, weight))
+        if not packs or not links:
+            return
+        a, b, cosine, share = map(np.concatenate, zip(*links, strict=True))
+        items = np.unique(a)
+        tables = np.zeros((2, len(items), len(items)))
+        at = np.searchsorted(items, a), np.searchsorted(items, b)
+        tables[0][at], tables[1][at] = cosine, share
+        user, item, weight = map(np.concatenate, zip(*packs, strict=True))
+        users, row = np.unique(user, return_inverse=True)
+        mine = _Rows(row, np.searchsorted(items, item), _narrow(weight), len(users))
+        out = _Out(["user_id", "item_id", "item_score", "user_score"])
+        step = max(1, TABLE // len(items))
+        for begin in range(0, len(users), step):
+            cells = slice(mine.start[begin], mine.start[min(begin + step, len(users))])
+            sizes = np.diff(mine.start[begin : begin + step + 1])
+            here = np.repeat(np.arange(len(sizes)), sizes), mine.column[cells]
+            table = np.zeros((len(sizes), len(items)))
+            np.add.at(table, here, mine.value[cells])
+            norm = np.sqrt((table**2).sum(axis=1))
+            norm[norm == 0] = 1
+            by_items, by_users = table @ tables[0], (table @ tables[1]) / norm[:, None]
+            by_items[here] = by_users[here] = 0
+            for r in range(len(sizes)):
+                chosen = _chosen(by_items[r], by_users[r], k, tolerance)
+                yield from out.add(np.full(len(chosen), users[begin + r]), items[chosen], by_items[r][chosen], by_users[r][chosen])
         yield from out.rest()
 
     return run
 
 
+_SCORES = "user_id bigint, item_id bigint, item_score double, user_score double"
+
+
+def _scores_of_few(named: DataFrame, own: DataFrame, size: Size, k: int | None, tolerance: float) -> DataFrame:
+    """Scores by the links of the items, which fit into one table: each task has them all, and some users' cells."""
+    links = _few(named.select("user_id", F.col("item_id").alias("entity"), "weight", (F.col("item_norm") * F.col("item_norm")).alias("square")), "user_id")
+    listed = F.sort_array(F.collect_list(F.struct(F.col("b").alias("item_id"), (F.col("dot") / F.sqrt("squares")).alias("weight"), "share")))
+    links = materialize(links.groupBy("a").agg(listed.alias("cells")), "links")
+    parts = max(_cores(named), -(-size.cells // REACH))
+    fields = [F.col(f"cells.{name}").alias(name) for name in ("item_id", "weight", "share")]
+    links = links.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(None).cast("bigint").alias("user_id"), "a", *fields)
+    users = packed(own, ["user_id"], size.largest, "item_id", "weight")
+    users = users.select(_salt_of("user_id", parts).alias("part"), "user_id", F.lit(None).cast("bigint").alias("a"), "item_id", "weight", F.array().cast("array<double>").alias("share"))
+    return _placed(links.unionByName(users), parts).mapInArrow(_score_few(k, tolerance), _SCORES)
+
+
 def candidate_scores(
-    cells: DataFrame, work: float, entities: int, users: Size, k: int | None = None, wanted: DataFrame | None = None, tolerance: float = 2e-6
+    cells: DataFrame, work: float, entities: int, users: Size, items: Size, k: int | None = None, wanted: DataFrame | None = None, tolerance: float = 2e-6
 ) -> DataFrame:
     """Scores of unseen items: (user_id, item_id, item_score, user_score), at least one above zero.
 
     item_score = sum over rated items j of w_uj * cos(j, i); user_score = sum over other users v of cos(u, v) * w_vi. Both follow from what u has in common
-    with each v, the first divided by the norms of the items, so neither items x items nor users x users are written.
+    with each v, the first divided by the norms of the items, so neither items x items nor users x users are written. With few items both follow
+    from sums over all v for each pair (j, i): v = u adds nothing to an item that u has not rated.
 
     ``cells``: user_id, item_id, weight and item_norm; read several times. ``wanted`` (user_id) limits for whom scores are made, ``entities``
-    is their number, ``users`` the size of the cells by user and ``work`` the number of products. With ``k`` a task passes on only what can still be
-    among a user's k best by either score, see ``neighbours``. A task holds at least the whole row of each user that it reaches, at most the number of items."""
-    groups = groups_for(work, entities, cells.sparkSession.sparkContext.defaultParallelism)
+    is their number, ``users`` and ``items`` the size of the cells by each and ``work`` the number of products. With ``k`` a task passes on only what can
+    still be among a user's k best by either score, see ``neighbours``. A task holds at least the whole row of each user that it reaches."""
     named = cells.select("user_id", "item_id", F.col("weight").cast("double").alias("weight"), "item_norm")
-    by_user = packed(named, "user_id", users.largest, "item_id", "weight", "item_norm")
+    own = named if wanted is None else named.join(wanted.select("user_id").distinct(), "user_id", "left_semi")
+    if items.entities <= FEW:
+        return _scores_of_few(named, own, users, k, tolerance)
+    groups = min(groups_for(work, entities, _cores(cells)), _cores(cells), MASK)
     home = _group_of("user_id", groups)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), home)
+    # The groups that ask for an item, and for a user, are the bits of one number: few bytes leave here for many pairs.
+    asked = own.groupBy("item_id").agg(F.bit_or(bit).alias("mask"))
+    reached = named.select("item_id", "user_id").join(asked, "item_id").groupBy("user_id").agg(F.bit_or("mask").alias("mask"))
     if wanted is None:
-        by_user, own = by_user.withColumn("wanted", F.lit(True)), named
+        reached = reached.withColumn("wanted", F.lit(True))
     else:
-        chosen = wanted.select("user_id").distinct()
-        by_user = by_user.join(chosen.withColumn("found", F.lit(True)), "user_id", "left").withColumn("wanted", F.col("found").isNotNull()).drop("found")
-        own = named.join(chosen, "user_id", "left_semi")
-    asked = own.select(home.alias("group"), "item_id").distinct()
-    # By number, since few bytes become many rows here: partitions that look small must not be merged.
-    reached = asked.repartition(groups, "item_id").join(named.select("item_id", "user_id"), "item_id").select("group", "user_id").distinct()
-    met = reached.repartition(groups, "user_id").join(by_user, "user_id")
+        chosen = wanted.select("user_id").distinct().withColumn("found", F.lit(True))
+        reached = reached.join(chosen, "user_id", "left").select("user_id", "mask", F.col("found").isNotNull().alias("wanted"))
+    names = F.filter(F.sequence(F.lit(0), F.lit(groups - 1)), lambda g: F.call_function("getbit", F.col("mask"), g) == 1)
+    met = materialize(packed(named, ["user_id"], users.largest, "item_id", "weight").join(reached, "user_id"), "packs")
+    met = met.select("user_id", "n", "item_id", "weight", "wanted", F.explode(names).alias("group"))
     salts = _salts(met, users)
     salt = _salt_of("user_id", salts)
     mine = F.col("wanted") & (home == F.col("group"))
@@ -267,9 +486,12 @@ def candidate_scores(
         rows = met.withColumn("salt", F.lit(0)).withColumn("reached", F.lit(True))
     else:  # a group's own users are needed in all its tasks
         rows = met.withColumn("salt", F.explode(F.when(mine, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(salt)))).withColumn("reached", F.col("salt") == salt)
-    rows = rows.select((F.col("group") * salts + F.col("salt")).alias("part"), "user_id", mine.alias("own"), "reached", "item_id", "weight", "item_norm")
-    schema = "user_id bigint, item_id bigint, item_score double, user_score double"
-    found = _placed(rows, groups * salts).mapInArrow(_score(k if salts == 1 else None, tolerance), schema)
+    rows = rows.select((F.col("group") * salts + F.col("salt")).alias("part"), "user_id", mine.alias("own"), "reached", "item_id", "weight")
+    norms = packed(named.groupBy("item_id").agg(F.first("item_norm").alias("weight")).withColumn("all", F.lit(0)), ["all"], items.entities, "item_id", "weight")
+    norms = norms.select(
+        F.explode(F.sequence(F.lit(0), F.lit(groups * salts - 1))).alias("part"), F.lit(None).cast("bigint").alias("user_id"), F.lit(False).alias("own"), F.lit(False).alias("reached"), "item_id", "weight"
+    )
+    found = _placed(rows.unionByName(norms), groups * salts).mapInArrow(_score(k if salts == 1 else None, tolerance), _SCORES)
     if salts == 1:
         return found
     return found.groupBy("user_id", "item_id").agg(F.sum("item_score").alias("item_score"), F.sum("user_score").alias("user_score"))

@@ -97,11 +97,11 @@ def _scores(model: RatingModel, users: DataFrame | None, k: int | None) -> DataF
     total = max(model.users.cells, 1)
     each = model.items.pairs / total * model.users.pairs / total
     if users is None:
-        return candidate_scores(cells, model.users.cells * each, model.users.entities, model.users, k)
+        return candidate_scores(cells, model.users.cells * each, model.users.entities, model.users, model.items, k)
     users = users.select("user_id").distinct()
     rated = model.cells.join(users, "user_id", "left_semi").groupBy("user_id").agg(F.count("*").alias("n"))
     n_users, n_cells = rated.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    return candidate_scores(cells, n_cells * each, n_users, model.users, k, users)
+    return candidate_scores(cells, n_cells * each, n_users, model.users, model.items, k, users)
 
 
 def score_matrix(model: RatingModel) -> DataFrame:

@@ -215,3 +215,48 @@ def test_cells_travel_only_to_groups_that_reach_them(spark, monkeypatch):
     monkeypatch.setattr(products, "_placed", lambda rows, parts: sent.append(rows.select(F.sum(F.size("entity"))).first()[0]) or placed(rows, parts))
     assert recommend.item_similarity(model).count() == 40 * 3 * 2
     assert sent[0] <= 3 * len(rows)  # at most the three groups of an island's items
+
+
+@pytest.mark.parametrize("reach", [10**6, 60, 5])
+def test_many_entities_have_the_same_results(log, monkeypatch, reach):
+    """Without the table of all pairs: blocks of reached entities, and partial sums where a group reaches too much."""
+    for name, value in (("FEW", 0), ("WORK", 3000), ("SMALL_WORK", 1000), ("FLUSH", 7), ("PACK", 3), ("TABLE", 64), ("REACH", reach)):
+        monkeypatch.setattr(products, name, value)
+    test_scores_and_similarities(log, None)
+    test_recommendations(log, None, 2)
+    test_hit_rate(log, None)
+
+
+@pytest.mark.parametrize("few", [0, 1024])
+def test_a_task_passes_on_only_the_best(log, monkeypatch, few):
+    """Tasks that reach more than ``REACH`` cells once passed on every pair that they met, not only the nearest."""
+    monkeypatch.setattr(products, "FEW", few)
+    monkeypatch.setattr(products, "REACH", 100)
+    monkeypatch.setattr(products, "HELD", 10**6)
+    model = recommend.rating_model(log([(u, (u * j) % 40, 1, "pv", j) for u in range(150) for j in range(1, 8)]))
+    assert model.users.cells > 4 * products.REACH
+    cells = model.cells.selectExpr("user_id AS entity", "item_id AS shared", "weight").join(
+        model.cells.groupBy(F.col("user_id").alias("entity")).agg(F.sum(F.col("weight") * F.col("weight")).alias("square")), "entity"
+    )
+    kept = lambda k: products.neighbours(cells, model.users.entities, model.items, k, 0.0).groupBy("entity").count().agg(F.sum("count")).first()[0]
+    if not few:
+        assert kept(1) < kept(None) / 2
+    lists = recommend._scores(model, None, 1).groupBy("user_id").count().agg(F.max("count"), F.sum("count")).first()
+    assert lists[1] < recommend._scores(model, None, None).count() / 2
+
+
+def test_there_are_no_more_copies_of_the_cells_than_cores(spark, monkeypatch):
+    """Users and items that all meet, with work for very many groups: each cell is sent to a group once, and to a core's one at most."""
+    monkeypatch.setattr(products, "FEW", 0)
+    monkeypatch.setattr(products, "WORK", 1)
+    monkeypatch.setattr(products, "SMALL_WORK", 1)
+    rows = [(u, i, 1 + (u * i) % 4) for u in range(100) for i in range(30) if (u + i) % 3]
+    model = recommend.RatingModel.of(spark.createDataFrame(rows, "user_id long, item_id long, weight int"))
+    sent = []
+    placed = products._placed
+    monkeypatch.setattr(products, "_placed", lambda rows, parts: sent.append((parts, rows)) or placed(rows, parts))
+    assert recommend.score_matrix(model).count() == 100 * 30 - len(rows)
+    parts, travelled = sent.pop()
+    cores = spark.sparkContext.defaultParallelism
+    assert parts <= cores
+    assert travelled.select(F.sum(F.size("item_id"))).first()[0] <= cores * (len(rows) + 30)
