@@ -608,6 +608,22 @@ def stream_messages(spark, folder):
 
 @query
 def late_rows(spark, folder):
+    """Events arrive in batches by quarter of their ids, every 37th one batch later than the rest; the rows that the engine drops
+    because its watermark had passed the end of their window."""
+    work = shared_path(spark, "late")
+    events = adapters.open_events(spark, folder)
+    last = events.select(F.max("event_id") + 1).scalar()
+    turn = F.floor(F.col("event_id") * ARRIVALS / last).cast("int") + F.when(F.col("event_id") % 37 == 0, 1).otherwise(0)
+    for step in range(ARRIVALS + 1):
+        events.where(turn == step).write.mode("append").parquet(f"{work}/arrivals")
+        stream = event_files_stream(spark, f"{work}/arrivals", legal_only=False)
+        kept = jobs.keep_taken(stream, f"{work}/taken", f"{work}/checkpoint", step)
+    arrived = adapters.behavior_from_events(events.withColumn("batch", turn), False, "event_id", "batch")
+    return jobs.not_taken(arrived, kept, "batch").select("event_id", "user_id", "behavior_type", "datetime", "batch")
+
+
+@query
+def stream_late_orders(spark, folder):
     """Orders land in the order of their keys, their dates in any order: per part, rows taken in and rows that the engine
     dropped because their date was behind its watermark."""
     schema = spark.read.parquet(f"{folder}/orders.parquet").schema

@@ -364,7 +364,13 @@ SELECT window_start, """
   CAST(category_id AS VARCHAR) AS category_id, behavior_type, datetime FROM e""",
     "stream_messages": f"""WITH {_EVENTS} SELECT behavior_type, count(*) AS cnt, min(datetime) AS first_time,
   max(datetime) AS last_time FROM e GROUP BY 1""",
-    "late_rows": """WITH o AS (SELECT o_orderdate, o_orderkey * 4 // (SELECT max(o_orderkey) + 1 FROM orders) AS part FROM orders),
+    "late_rows": f"""WITH {_EVENTS},
+arrived AS (SELECT *, (event_id * 4) // (SELECT max(event_id) + 1 FROM events) + CASE WHEN event_id % 37 = 0 THEN 1 ELSE 0 END AS batch FROM e_all),
+known AS (SELECT batch, max(max(timestamp)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+  FROM arrived GROUP BY batch)
+SELECT event_id, user_id, behavior_type, datetime, CAST(batch AS BIGINT) AS batch FROM arrived JOIN known USING (batch)
+WHERE timestamp - timestamp % 300 + 300 <= newest - 5""",
+    "stream_late_orders": """WITH o AS (SELECT o_orderdate, o_orderkey * 4 // (SELECT max(o_orderkey) + 1 FROM orders) AS part FROM orders),
 known AS (SELECT part, max(max(o_orderdate)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM o GROUP BY part)
 SELECT CAST(part AS BIGINT) AS part, count(*) AS rows_in, count(*) FILTER (WHERE o_orderdate <= newest - INTERVAL 400 DAY) AS late
 FROM o JOIN known USING (part) GROUP BY part""",

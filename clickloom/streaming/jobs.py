@@ -244,6 +244,24 @@ def dropped_rows(query: StreamingQuery) -> int:
     return sum(op["numRowsDroppedByWatermark"] for progress in query.recentProgress for op in progress["stateOperators"])
 
 
+def keep_taken(
+    stream: DataFrame, path: str, checkpoint: str, step: int, size: str = "5 minutes", delay: str = WATERMARK, time: str = "datetime",
+    partitions: int | None = None,
+) -> DataFrame:
+    """The windows (step, window_start) in which the engine took in rows of the step that has arrived, and of earlier steps: a window whose end the watermark
+    had passed gets none any more."""
+    taken = stream.withWatermark(time, delay).groupBy(F.window(time, size).alias("window")).agg(F.count("*").alias("n"))
+    taken = taken.select(F.lit(step).alias("step"), F.col("window.start").alias("window_start"))
+    start_to_function(taken, lambda batch, _: batch.write.mode("append").parquet(path), checkpoint, partitions, mode="update").awaitTermination()
+    return stream.sparkSession.read.schema(taken.schema).parquet(path)
+
+
+def not_taken(arrived: DataFrame, taken: DataFrame, step: str, size: str = "5 minutes", time: str = "datetime") -> DataFrame:
+    """The rows that came too late: the engine took in no row of their window in the step (a column of ``arrived``) that they arrived in."""
+    dated = arrived.where(F.col(time).isNotNull()).withColumns({"step": F.col(step), "window_start": F.window(time, size)["start"]})
+    return dated.join(taken.distinct(), ["step", "window_start"], "left_anti").where(F.col("step").isNotNull()).drop("step", "window_start")
+
+
 def reconcile_windows(streamed: DataFrame, batch: DataFrame) -> DataFrame:
     """Streamed windows (left) against the batch recomputation (right), by window start."""
     return compare_grouped(streamed, batch, ["window_start"], ["pv", "uv", "cart", "buy"])

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from clickloom import catalog
 from clickloom.operators import windows
 from clickloom.schema import STREAM_SCHEMA
 from clickloom.streaming import jobs
@@ -203,3 +204,14 @@ def test_settings_are_restored_after_start(spark, topic, tmp_path):
     topic.send(message("a", 0))
     run(spark, topic, tmp_path)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_each_late_row_is_returned(spark, tmp_path):
+    """Every 37th row comes one batch late, copies and rows without a time included; not only how many were late."""
+    rows = [(i, START + timedelta(minutes=i), i % 5, "view", 1.0, '{"k": 3}') for i in range(200)] + [(37, START + timedelta(minutes=37), 2, "view", 1.0, None)] * 2
+    rows += [(74, None, 1, "click", 1.0, None)]
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/events.parquet")
+    found = catalog.late_rows(spark, str(tmp_path)).collect()
+    # Batches are quarters of 50 ids; the window of a row one batch late is closed if five minutes more were seen before.
+    assert sorted((r["event_id"], r["batch"]) for r in found) == [(0, 1), (37, 1), (37, 1), (37, 1), (74, 2), (111, 3), (185, 4)]
