@@ -25,7 +25,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,11 +33,17 @@ from clickloom.session import materialize, shared_path
 
 BLOCK_BYTES = 4 << 20
 FILE_BLOCKS = 8
-#: Pieces of text whose ids a worker keeps.
-CACHE_PIECES = 400_000
+#: Bytes of the texts that are encoded together, unless one text has more.
+TOGETHER = 4 << 20
+#: Parts of text whose ids a worker keeps, and the most characters of each.
+CACHE_PARTS, LONG_PART = 400_000, 64
 
 _HEAD, _ID, _SUM = struct.Struct("<Q"), struct.Struct("<?q"), struct.Struct("<I")
-#: Up to this character the two libraries agree on what is a letter, a number and white space (tested).
+#: Parts that the library gets as one text.
+JOINED = 100
+#: How a byte-level vocabulary writes the bytes of a space and a newline.
+_OPENING = ("\u0120", "\u010a")
+#: Up to this character the cuts are tested in every mixture with letters, numbers and spaces.
 _AGREED = 0x530
 
 
@@ -68,63 +74,95 @@ def frames(data: bytes):
 
 
 class Encoder:
-    """A byte-level BPE of the tokenizers library, asked once for each distinct piece of text.
+    """A byte-level BPE of the tokenizers library, asked once for each distinct part of the texts.
 
-    The model merges within pieces only, and pieces are cut by the pattern that the file's byte-level step uses. Texts
-    whose white space stands alone are cut before each space or newline first, and these parts are looked up whole.
-    Texts with an added token or with characters whose class the libraries may see differently go
-    through the library as they are."""
+    The library merges within pieces only, and no piece reaches over the place before a space or newline that a character
+    other than white space follows (tested for all characters). Texts are cut there. Parts that are not known yet are
+    encoded many at a time; every token that begins with the byte of a space or newline begins a part. Texts
+    with other spaces or newlines are cut one by one, and those with an added token go through the library as they are."""
 
-    _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-    _ODD = re.compile(r"[^\S \n]")
-    _WIDE = re.compile(f"[{chr(_AGREED)}-{chr(0x10FFFF)}]")
-    _RUNS = ("  ", "\n\n", " \n", "\n ")
+    _CUT = re.compile(r"(?=[ \n]\S)")
+    #: A part without the space that it begins with, or from its newline on.
+    _PART = re.compile(r"\n?\S")
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.model = self.whole.model
         self.added = [x.content for x in self.whole.get_added_tokens_decoder().values()]
         self.kind = np.dtype("<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4")
-        printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [x for x in range(256) if x not in printed]
-        self.letters = {x: chr(x) for x in printed} | {x: chr(256 + k) for k, x in enumerate(hidden)}
-        self.pieces: dict[str, bytes] = {}
+        vocab = self.whole.get_vocab()
+        self.opens = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.opens[[k for token, k in vocab.items() if token[:1] in _OPENING]] = True
         self.parts: dict[str, bytes] = {}
 
-    def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            if len(self.pieces) >= CACHE_PIECES:
-                self.pieces.clear()
-            tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
-            found = self.pieces[piece] = np.array([x.id for x in tokens], self.kind).tobytes()
-        return found
-
-    def _cut(self, text: str) -> bytes:
-        return b"".join(map(self._piece, self._PIECE.findall(text)))
-
-    def _part(self, part: str) -> bytes:
-        """Of what follows a space, or of a newline and what follows it."""
-        if len(self.parts) >= CACHE_PIECES:
-            self.parts.clear()
-        found = self.parts[part] = self._cut(part if part[:1] == "\n" else " " + part)
-        return found
+    def _ids(self, text: str) -> np.ndarray:
+        (found,) = self.whole.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, self.kind)
+
+    def _alone(self, part: str) -> bytes:
+        return self._ids(part if part[0] == "\n" else " " + part).tobytes()
+
+    def _learn(self, parts: list[str]) -> list[bytes]:
+        """The ids of parts without other spaces and newlines than the one that they begin with."""
+        out = []
+        for k in range(0, len(parts), JOINED):
+            some = parts[k : k + JOINED]
+            text = (" " + " ".join(some)).replace(" \n", "\n")
+            if any(x in text for x in self.added):
+                out += map(self._alone, some)
+                continue
+            ids = self._ids(text)
+            at = (np.flatnonzero(self.opens[ids]) * self.kind.itemsize).tolist()
+            data = ids.tobytes()
+            out += [data[i:j] for _, i, j in zip(some, at, [*at[1:], len(data)], strict=True)]
+        return out
+
+    def _known(self, parts: list[str]) -> list[bytes]:
+        """The ids of distinct parts; those that can't be parts get none."""
+        out = list(map(self.parts.get, parts))
+        new = [k for k, x in enumerate(out) if x is None and self._PART.match(parts[k])]
+        words = [parts[k] for k in new]
+        found = self._learn(words)
+        for k, ids in zip(new, found, strict=True):
+            out[k] = ids
+        if len(self.parts) + len(new) > CACHE_PARTS:
+            self.parts = {x: ids for x, ids in zip(parts, out, strict=True) if ids is not None and len(x) <= LONG_PART}
+        else:
+            self.parts.update([x for x in zip(words, found, strict=True) if len(x[0]) <= LONG_PART])
+        return out
+
+    def _one(self, text: str) -> bytes:
+        first, *rest = [text] if any(x in text for x in self.added) else self._CUT.split(text)
+        rest = [x.removeprefix(" ") for x in rest]
+        distinct = list({x for x in rest if " " not in x and "\n" not in x[1:]})
+        found = dict(zip(distinct, self._known(distinct), strict=True))
+        found |= {x: self._alone(x) for x in rest if x not in found}
+        return self._ids(first).tobytes() + b"".join(map(found.__getitem__, rest))
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text (null: empty). All are cut and looked up together, so they should be of bounded size."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        odd = np.zeros(len(texts), bool)
+        for x in self.added:
+            odd |= pc.match_substring(texts, x).to_numpy(zero_copy_only=False)
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        coded = cut.flatten().dictionary_encode()
+        parts, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().copy()
+        start = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        firsts = [parts[k] for k in at[start[:-1]].tolist()]
+        at[start[:-1]] = len(parts) + np.arange(len(texts))
+        found = self._known(parts) + [self._ids(x).tobytes() for x in firsts]
+        ids = pa.array(found, pa.large_binary())
+        if ids.null_count:
+            odd |= np.logical_or.reduceat(ids.is_null().to_numpy(zero_copy_only=False)[at], start[:-1])
+        _, ends, data = ids.take(pa.array(at)).buffers()
+        ends, data = np.frombuffer(ends, np.int64)[start].tolist(), memoryview(data or b"")
+        return [self._one(texts[k].as_py()) if odd[k] else bytes(data[i:j]) for k, (i, j) in enumerate(zip(ends[:-1], ends[1:], strict=True))]
 
     def encode(self, text: str) -> bytes:
-        if any(x in text for x in self.added) or self._WIDE.search(text):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        if any(x in text for x in self._RUNS) or self._ODD.search(text):
-            return self._cut(text)
-        first, *rest = text.replace("\n", " \n").split(" ")
-        known = self.parts.get
-        out = [self._cut(first)]
-        for part in rest:
-            found = known(part)
-            out.append(self._part(part) if found is None else found)
-        return b"".join(out)
+        return self.encode_all(pa.array([text]))[0]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -137,14 +175,26 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def _together(batches):
+    """The doc_ids and texts of rows that are encoded together."""
+    for batch in batches:
+        ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+        ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
+        begin = 0
+        while begin < len(ids):
+            end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + TOGETHER, "right")))
+            yield ids[begin:end], texts[begin:end]
+            begin = end
+
+
 def _write(path: str, end_id: int):
     def run(batches):
         tokens = encoder(path)
         end = np.array([end_id], tokens.kind).tobytes()
         held, size = [], 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                held.append(frame(doc_id, tokens.encode(text or "") + end))
+        for ids, texts in _together(batches):
+            for doc_id, found in zip(ids, tokens.encode_all(texts), strict=True):
+                held.append(frame(doc_id, found + end))
                 size += len(held[-1])
                 if size >= BLOCK_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)[:-1]], pa.binary())], ["frames"])

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,6 +43,34 @@ def test_encoding_is_that_of_the_library(text):
         assert own.encode(text) == np.array(library().encode(text, add_special_tokens=False).ids, own.kind).tobytes()
 
 
+def test_no_piece_reaches_over_the_place_before_a_space_that_a_character_follows():
+    tok = library()
+    ids = lambda texts: [x.ids for x in tok.encode_batch_fast(texts, add_special_tokens=False)]
+    for before in ("a", "1", "'", "a ", "a\n", "a\t", "\r", "\xa0"):
+        (first,) = ids([before])
+        after = [f"{x}{chr(k)}b" for x in " \n" for k in (*range(1, 0xD800, 7), *range(0xE000, 0x110000, 977), *range(1, token_records._AGREED)) if not chr(k).isspace()]
+        assert ids([before + x for x in after]) == [first + x for x in ids(after)]
+
+
+def test_texts_of_many_kinds_are_encoded_together_as_by_the_library(monkeypatch):
+    rng, tok = random.Random(9), library()
+    kinds = ["a", "word", "Wörter,", "don't", "12", " ", "  ", "\n", "\n\n", "\r\n", "\t", "\x1c", "\x85", "\xa0", "\u2003", "\u2019s", "日本", "🙂", "x" * 70, "<|endoftext|>", "<|endof", ".", "'"]
+    texts = [None, "", *("".join(rng.choice(kinds) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.randrange(12))) for _ in range(3000))]
+    monkeypatch.setattr(token_records, "CACHE_PARTS", 200)
+    monkeypatch.setattr(token_records, "JOINED", 7)
+    own = token_records.Encoder(BPE)
+    want = [np.array(tok.encode(x or "", add_special_tokens=False).ids, own.kind).tobytes() for x in texts]
+    for k in (1, 50, 3002):
+        assert [x for i in range(0, len(texts), k) for x in own.encode_all(pa.array(texts[i : i + k]))] == want
+
+
+def test_the_library_gets_each_part_once_and_many_at_a_time(monkeypatch):
+    own, asked = token_records.Encoder(BPE), []
+    monkeypatch.setattr(own, "_ids", lambda text, f=own._ids: asked.append(text) or f(text))
+    own.encode_all(pa.array([f"The \u2019quoted\u2019 words{k % 40} come\nagain, words{k % 40}" for k in range(2000)]))
+    assert len(asked) == 2000 + 1 and sum("quoted" in x for x in asked) == 1
+
+
 def test_records_come_back_whole_and_in_order(spark, odd, nothing, monkeypatch):
     monkeypatch.setattr(token_records, "BLOCK_BYTES", 2000)
     path = shared_path(spark, "records")
