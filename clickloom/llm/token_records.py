@@ -36,7 +36,7 @@ FILE_BLOCKS = 8
 #: Bytes of the texts that are encoded together, unless one text has more.
 TOGETHER = 4 << 20
 #: Parts of text whose ids a worker keeps, and the most characters of each.
-CACHE_PARTS, LONG_PART = 400_000, 64
+CACHE_PARTS, LONG_PART = 800_000, 64
 
 _HEAD, _ID, _SUM = struct.Struct("<Q"), struct.Struct("<?q"), struct.Struct("<I")
 #: Parts that the library gets as one text.
