@@ -9,7 +9,8 @@ A task sums products entity by entity and lets only sums leave, of a top-k only
 
 Links that would reach more than ``REACH`` cells are split by the reached entity: each task of a group then has whole sums of
 some pairs, so nothing but the best leaves it. Scores, which need two steps, hold the cells in a few bytes each; only a group that
-reaches ``HELD`` times as many is dealt to several tasks by the reached user, whose partial sums Spark adds up.
+reaches ``HELD`` times as many is dealt to several tasks by the reached user, whose partial sums Spark adds up. Which cells a group
+reaches for scores is looked up only where that can leave many out: users that each group meets ``COVERED`` times are sent to all.
 
 With at most ``FEW`` entities the products are summed member by member instead: each cell travels once, a task reads its members
 in batches and holds one table of pairs. Rows go straight to their partition, and nothing is sorted."""
@@ -40,6 +41,11 @@ MASK = 62  # groups that the bits of a number can name
 PACK = 4096  # cells of one member that travel as one row
 FLUSH = 500_000  # result rows that a task holds before it sends them
 CUTS = 128  # stretches of scores whose maxima give a first bound for the k-th best
+STRETCH = 200_000  # entries of a matrix that are worked on at a time while it is built
+COVERED = 4  # times that a group meets a user, on average, from which on all cells are sent to all groups
+RUN = 200_000  # cells that are put in order of users at a time
+LINE = 8  # numbers that are read at a time
+HALF = 32  # bits of each of two sums that share a number
 
 
 def groups_for(work: float, entities: int, cores: int) -> int:
@@ -117,6 +123,8 @@ class _Rows:
 
     Made from a stretch of rows at a time, so that the order of all entries is never held."""
 
+    width = 1  # numbers that a step of ``start`` stands for
+
     def __init__(self, row: np.ndarray, column: np.ndarray, value: np.ndarray, rows: int) -> None:
         sizes = np.zeros(rows, np.int64)
         for begin in range(0, len(row), TABLE):
@@ -127,7 +135,7 @@ class _Rows:
         edges = np.unique(np.concatenate([[0], cuts, [rows]]))
         for low, high in zip(edges[:-1], edges[1:], strict=True):
             at = np.flatnonzero((row >= low) & (row < high)) if len(edges) > 2 else np.arange(len(row))
-            at = at[np.argsort(row[at], kind="stable")]
+            at = at[np.sort((row[at].astype(np.int64) - low) << HALF | np.arange(len(at))) & (1 << HALF) - 1]
             place = slice(self.start[low], self.start[high])
             self.column[place], self.value[place] = column[at], value[at]
 
@@ -137,8 +145,105 @@ class _Rows:
         sizes = self.start[rows + 1] - begins
         return np.arange(sizes.sum()) + np.repeat(begins - np.cumsum(sizes) + sizes, sizes), sizes
 
-    def turned(self, columns: int) -> "_Rows":
-        return _Rows(self.column, np.repeat(np.arange(len(self.start) - 1, dtype=np.int32), np.diff(self.start)), self.value, columns)
+    @staticmethod
+    def gathered(runs: np.ndarray, sizes: np.ndarray, column: np.ndarray, value: np.ndarray, rows: int) -> "_Rows":
+        """From runs of entries that each belong to one row, a row may have several."""
+        found = object.__new__(_Rows)
+        found.start = np.concatenate([[0], np.cumsum(np.bincount(runs, sizes, rows).astype(np.int64))])
+        if (runs[1:] >= runs[:-1]).all():
+            found.column, found.value = column, value
+            return found
+        order = np.argsort(runs, kind="stable")
+        begins, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
+        ends = np.cumsum(sizes)
+        found.column, found.value = np.empty_like(column), np.empty_like(value)
+        cuts = np.unique(np.concatenate([[0], np.searchsorted(ends, np.arange(0, len(column), STRETCH)[1:]), [len(sizes)]]))
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            place = slice(ends[low] - sizes[low], ends[high - 1])
+            at = np.arange(place.start, place.stop) + np.repeat((begins - ends + sizes)[low:high], sizes[low:high])
+            found.column[place], found.value[place] = column[at], value[at]
+        return found
+
+    def of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Columns and values of some rows, and how many each row has."""
+        at, sizes = self.entries(rows)
+        return self.column[at], self.value[at], sizes
+
+    def stretches(self):
+        """First and last row of stretches of about ``STRETCH`` entries."""
+        cuts = np.searchsorted(self.start, np.arange(0, self.start[-1], -(-STRETCH // self.width))[1:])
+        edges = np.unique(np.concatenate([[0], cuts, [len(self.start) - 1]]))
+        return zip(edges[:-1], edges[1:], strict=True)
+
+    def part(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, column and value of the entries of some rows that follow each other."""
+        here = slice(self.start[low], self.start[high])
+        return np.repeat(np.arange(low, high), np.diff(self.start[low : high + 1])), self.column[here], self.value[here]
+
+    def squares(self) -> np.ndarray:
+        """The sum of squared values of each row."""
+        found = np.zeros(len(self.start) - 1)
+        for low, high in self.stretches():
+            row, _, value = self.part(low, high)
+            found[low:high] = np.bincount(row - low, value.astype(float) ** 2, high - low)
+        return found
+
+
+class _Lines(_Rows):
+    """The same for weights of one byte, column and value in one number and rows in whole lines of ``LINE`` numbers, which are read faster: filled up
+    with entries of no weight in a column after the last. ``start`` counts lines."""
+
+    width = LINE
+
+    def __init__(self, rows: _Rows, columns: int) -> None:
+        sizes = np.diff(rows.start)
+        self.start = np.concatenate([[0], np.cumsum(-(-sizes // LINE))])
+        self.bits, self.columns = int(rows.value.max()).bit_length(), columns
+        kind = np.uint32 if (columns + 1) << self.bits < 1 << 32 else np.int64
+        self.line = np.full((self.start[-1], LINE), columns << self.bits, kind)
+        flat = self.line.reshape(-1)
+        for low, high in rows.stretches():
+            row, column, value = rows.part(low, high)
+            at = np.arange(rows.start[low], rows.start[high]) + (LINE * self.start - rows.start)[row]
+            flat[at] = column.astype(np.int64) << self.bits | value
+
+    def _opened(self, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        value = (held & np.array((1 << self.bits) - 1, held.dtype)).astype(np.uint8)
+        held >>= np.array(self.bits, held.dtype)
+        return held.astype(np.int64), value
+
+    def part(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        column, value = self._opened(self.line[self.start[low] : self.start[high]].reshape(-1).copy())
+        row = np.repeat(np.arange(low, high), LINE * np.diff(self.start[low : high + 1]))
+        filled = column < self.columns
+        return row[filled], column[filled], value[filled]
+
+    def of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at, sizes = self.entries(rows)
+        return *self._opened(self.line.take(at, 0).reshape(-1)), LINE * sizes
+
+
+def _turned(rows: _Rows, columns: int, some: np.ndarray) -> _Rows:
+    """Rows and columns exchanged, for the entries of some rows; made from a stretch of rows at a time."""
+    found, sizes = object.__new__(_Rows), np.zeros(columns, np.int64)
+    for low, high in rows.stretches():
+        row, column, value = rows.part(low, high)
+        sizes += np.bincount(column if some[low:high].all() else column[some[row]], minlength=columns)
+    found.start = np.concatenate([[0], np.cumsum(sizes)])
+    found.column, found.value = np.empty(found.start[-1], np.int32), np.empty(found.start[-1], value.dtype)
+    free = found.start[:-1].copy()  # the next place of each
+    for low, high in rows.stretches():
+        row, column, value = rows.part(low, high)
+        if not some[low:high].all():
+            kept = some[row]
+            row, column, value = row[kept], column[kept], value[kept]
+        order = np.sort(column.astype(np.int64) << HALF | np.arange(len(column))) & (1 << HALF) - 1
+        counts = np.bincount(column, minlength=columns)
+        begins = np.cumsum(counts) - counts
+        place = np.arange(len(order)) + (free - begins)[column[order]]
+        found.column[place], found.value[place] = row[order], value[order]
+        free += counts
+    return found
 
 
 def _best(scores: np.ndarray, k: int | None, tolerance: float) -> np.ndarray:
@@ -313,9 +418,133 @@ def _chosen(by_items: np.ndarray, by_users: np.ndarray, k: int | None, tolerance
     return np.union1d(_best(by_items, k, tolerance), _best(by_users, k, tolerance))
 
 
-def _score(k: int | None, tolerance: float):
+def _all_of(ids: np.ndarray) -> np.ndarray:
+    """The different ids in order, by a table where these lie close together."""
+    low, span = int(ids.min()), int(ids.max()) - int(ids.min()) + 1
+    if span <= len(ids):
+        there = np.zeros(span, bool)
+        for begin in range(0, len(ids), STRETCH):
+            there[ids[begin : begin + STRETCH].astype(np.int64) - low] = True
+        return np.flatnonzero(there) + low
+    found = np.empty(0, np.int64)
+    for begin in range(0, len(ids), TABLE):
+        found = np.union1d(found, ids[begin : begin + TABLE])
+    return found
+
+
+def _coded(ids: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Places of ids in sorted known ones, by a table where these lie close together."""
+    low, span = int(known[0]), int(known[-1]) - int(known[0]) + 1
+    if span > 4 * len(known) + TABLE:
+        return np.searchsorted(known, ids).astype(np.int32)
+    table = np.zeros(span, np.int32)
+    table[known - low] = np.arange(len(known))
+    return table[ids - low if low else ids]
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.flatnonzero(np.append(values[1:] != values[:-1], len(values) > 0))]
+
+
+def _kth(scores: np.ndarray, k: int):
+    """A bound for the k-th best score of different items, where all entries of an item have its score; 0 if there are fewer scores."""
+    found = _distinct(scores)  # equal scores count as one, so this is not above the k-th best
+    return found[-k] if len(found) >= k else 0
+
+
+def _ahead(scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of the entries that are at least some score, which those of ``k`` items are if there are so many above zero."""
+    width, most = len(scores) // CUTS, min(12 * k, CUTS)
+    if width:
+        rough = int(np.partition(scores[: width * CUTS].reshape(CUTS, width).max(axis=1), -most)[-most])
+        at = np.flatnonzero(scores >= max(rough, 1))
+        if len(at) >= k and _kth(scores[at], k) > 0:
+            return at
+    return np.flatnonzero(scores > 0)
+
+
+class _Sums:
+    """Sums by item of what a user's neighbours bring, for few of very many items."""
+
+    def __init__(self, inorm: np.ndarray, largest: float, whole: bool) -> None:
+        self.inorm, self.largest, self.whole = inorm, largest, whole
+        self.by_items, self.by_users = np.zeros(len(inorm)), np.zeros(len(inorm))
+        self.both = np.zeros(len(inorm) if whole else 0, np.int64)
+        self.inverse = 1 / inorm
+        self.steepest = float(self.inverse.max())
+
+    def all(self, scaled, plain, sizes, there, theirs, seen):
+        np.add.at(self.by_items, there, np.repeat(scaled, sizes) * theirs)
+        np.add.at(self.by_users, there, np.repeat(plain, sizes) * theirs)
+        self.by_items[seen] = self.by_users[seen] = 0
+        near = np.unique(there)
+        found = near, self.by_items[near] / self.inorm[near], self.by_users[near]
+        self.by_items[near] = self.by_users[near] = 0
+        return found
+
+    def best(self, scaled, plain, sizes, there, theirs, seen, k: int | None, tolerance: float):
+        """Items that can be among the k best, and both sums. Whole weights allow to add up both at once, rounded down, in the halves
+        of one number; items that by these, with all that rounding can have taken, are not far enough below the k-th best get their sums in full."""
+        most = self.largest * scaled.sum(), self.largest * plain.sum()
+        if k is None or not self.whole or min(most) <= 0:
+            return self.all(scaled, plain, sizes, there, theirs, seen)
+        # One bit stays free for the sign, and some room for the rounding of the totals.
+        units = [((1 << bits) - 1) * (1 - 1e-9) / total for bits, total in zip((HALF - 1, HALF), most, strict=True)]
+        coded = ((scaled * units[0]).astype(np.int64) << HALF) + (plain * units[1]).astype(np.int64)
+        added = np.repeat(coded, sizes)
+        added *= theirs
+        np.add.at(self.both, there, added)
+        self.both[seen] = 0
+        totals = self.both[there]
+        self.both[there] = 0
+        by_users = totals & (1 << HALF) - 1
+        lost = self.largest * len(scaled)
+        first = _ahead(by_users, k)
+        low = int(_kth(by_users[first], k) - lost - tolerance * units[1]) - 1
+        # The same items have a k-th best score by items, too. The lower half that these totals still have is less than a unit.
+        by_items = totals.astype(float)
+        by_items *= self.inverse[there]
+        lost = ((lost + 1) * self.steepest + tolerance * units[0]) * (1 << HALF)
+        edge = _kth(by_items[first], k) * (1 - 1e-9) - lost
+        if low < 1 or edge < 1:
+            return self.all(scaled, plain, sizes, there, theirs, seen)
+        second = np.flatnonzero(by_items >= edge)
+        by_items = by_items[second]
+        second = second[by_items >= _kth(by_items, k) * (1 - 1e-9) - lost]
+        first = first[by_users[first] >= low] if by_users[first].min() <= low else np.flatnonzero(by_users >= low)
+        at = _distinct(np.concatenate([first, second]))
+        codes = there[at]
+        near = _distinct(codes)
+        place = np.searchsorted(near, codes)
+        row, value = np.searchsorted(np.cumsum(sizes), at, "right"), theirs[at]
+        by_items, by_users = (np.bincount(place, brought[row] * value, len(near)) for brought in (scaled, plain))
+        return near, by_items / self.inorm[near], by_users
+
+
+class _Grown:
+    """Arrays that follow each other, in one that is made for so many numbers and holds them in few bytes each. What is not filled takes no memory."""
+
+    def __init__(self, kind, room: int) -> None:
+        self.held, self.n = np.empty(max(room, 1), kind), 0
+
+    def add(self, part: np.ndarray) -> None:
+        kind, end = np.result_type(self.held.dtype, part.dtype), self.n + len(part)
+        if kind != self.held.dtype or end > len(self.held):
+            grown = np.empty(max(len(self.held), 2 * end if end > len(self.held) else 0), kind)
+            grown[: self.n] = self.held[: self.n]
+            self.held = grown
+        self.held[self.n : end] = part
+        self.n = end
+
+    def all(self) -> np.ndarray:
+        return self.held[: self.n]
+
+
+def _score(k: int | None, tolerance: float, room: int):
     def run(batches):
-        packs, norms = [], []
+        runs, norms = [], []
+        column, value = _Grown(np.int32, room), _Grown(np.uint8, room)
         for batch in batches:
             sizes, (item, weight) = _flat(batch, ("item_id", "weight"))
             user = batch.column("user_id")
@@ -325,66 +554,72 @@ def _score(k: int | None, tolerance: float):
                 item, weight = item[~extra], weight[~extra]
                 batch = batch.filter(user.is_valid())
                 sizes = pa.compute.list_value_length(batch.column("item_id")).to_numpy(zero_copy_only=False)
-            if len(item):
+            if batch.num_rows:
                 small = item.astype(np.int32)
-                item = small if np.array_equal(small, item) else item
+                column.add(small if np.array_equal(small, item) else item)
+                value.add(_narrow(weight))
                 flags = [batch.column(name).to_numpy(zero_copy_only=False).astype(bool) for name in ("own", "reached")]
-                packs.append((batch.column("user_id").to_numpy(), sizes, *flags, item, _narrow(weight)))
-        if not packs:
+                runs.append((batch.column("user_id").to_numpy(), sizes.astype(np.int32), *flags))
+        if not column.n:
             return
-        users, codes = np.unique(np.concatenate([pack[0] for pack in packs]), return_inverse=True)
-        items, inorm = (np.concatenate(x) for x in zip(*norms, strict=True))
-        order = np.argsort(items)
-        items, inorm = items[order], inorm[order]
-        row, column, value, is_own, is_reached = [], [], [], [], []
-        begin = 0
-        for at, (_, sizes, own, reached, item, weight) in enumerate(packs):
-            packs[at] = None
-            row.append(np.repeat(codes[begin : begin + len(sizes)].astype(np.int32), sizes))
-            column.append(np.searchsorted(items, item).astype(np.int32))
-            value.append(weight)
-            is_own.append(np.repeat(own, sizes))
-            is_reached.append(np.repeat(reached, sizes))
-            begin += len(sizes)
-        row, column, value, is_own, is_reached = map(np.concatenate, (row, column, value, is_own, is_reached))
-        mine = _Rows(row[is_own], column[is_own], value[is_own], len(users))
-        if not is_reached.all():
-            row, column, value = row[is_reached], column[is_reached], value[is_reached]
-        del is_own, is_reached
-        by_user = _Rows(row, column, value, len(users))
-        del row, column, value
-        by_item = by_user.turned(len(items))
-        unorm = np.ones(len(users))  # also of users that are only looked for here
-        for r in range(0, len(users), 1 << 16):
-            here = slice(by_user.start[r], by_user.start[min(r + (1 << 16), len(users))])
-            sizes = np.diff(by_user.start[r : r + (1 << 16) + 1])
-            squares = np.bincount(np.repeat(np.arange(len(sizes)), sizes), by_user.value[here].astype(float) ** 2, len(sizes))
-            unorm[r : r + len(sizes)] = np.sqrt(np.where(squares > 0, squares, 1))
+        del batch, user, item, weight, small
+        pa.default_memory_pool().release_unused()
+        column, value = column.all(), value.all()
+        runs, sizes, is_own, is_reached = map(np.concatenate, zip(*runs, strict=True))
+        users, runs = np.unique(runs, return_inverse=True)
+        own, reached = (np.bincount(runs, flags, len(users)) > 0 for flags in (is_own, is_reached))
+        if norms:
+            items, inorm = (np.concatenate(x) for x in zip(*norms, strict=True))
+            order = np.argsort(items)
+            items, inorm = items[order], inorm[order].astype(float)
+        else:  # all cells are here
+            items, inorm = _all_of(column), None
+        for begin in range(0, len(column), STRETCH):
+            column[begin : begin + STRETCH] = _coded(column[begin : begin + STRETCH], items)
+        column = column.astype(np.int32, copy=False)
+        if inorm is None:
+            inorm = np.zeros(len(items))
+            for begin in range(0, len(column), STRETCH):
+                inorm += np.bincount(column[begin : begin + STRETCH], value[begin : begin + STRETCH].astype(float) ** 2, len(items))
+            inorm = np.sqrt(inorm)
+        inorm[inorm == 0] = 1
+        inorm = np.append(inorm, 1)  # of the column that fills up
+        by_user = _Rows.gathered(runs, sizes, column, value, len(users))
+        del runs, sizes, column, value
+        unorm = np.sqrt(by_user.squares())
+        unorm[unorm == 0] = 1
+        own &= np.diff(by_user.start) > 0
+        largest = float(by_user.value.max())
+        whole = by_user.value.dtype == np.uint8 and largest > 0
+        if whole:
+            by_user = _Lines(by_user, len(items))
+        by_item = _turned(by_user, len(items), reached)
         out = _Out(["user_id", "item_id", "item_score", "user_score"])
-        by_items, by_users = np.zeros(len(items)), np.zeros(len(items))
-        for r in np.flatnonzero(np.diff(mine.start)):
-            cells = slice(mine.start[r], mine.start[r + 1])
-            seen, rated = mine.column[cells], mine.value[cells].astype(float)
-            at, sizes = by_item.entries(seen)
-            # What the user has in common with each user reached: divided by the norms of the items, and as it is.
-            met, other = np.unique(by_item.column[at], return_inverse=True)
-            common = by_item.value[at]
-            scaled = np.bincount(other, np.repeat(rated / inorm[seen], sizes) * common, len(met))
-            plain = np.bincount(other, np.repeat(rated, sizes) * common, len(met)) / (unorm[met] * np.sqrt(rated @ rated))
-            at, sizes = by_user.entries(met)
-            there, theirs = by_user.column[at], by_user.value[at]
+        sums = _Sums(inorm, largest, whole)
+        # The C library then keeps what arrays of a few MB gave back, instead of asking the system for each one's pages.
+        np.empty(31 << 17)
+        for n, r in enumerate(np.flatnonzero(own)):
+            seen, rated, _ = by_user.of(np.array([r]))
+            seen, rated = seen[seen < len(items)], rated[seen < len(items)].astype(float)
+            met, common, sizes = by_item.of(seen)
+            # What the user has in common with each other user reached: divided by the norms of the items, and as it is.
+            others = met != r  # the own cells add nothing to items that are not seen
+            met, plain = met[others], (np.repeat(rated, sizes) * common)[others]
+            scaled = plain / np.repeat(inorm[seen], sizes)[others]
+            if n % 8 == 0:  # worth adding up users that share several items?
+                shared = 5 * len(_distinct(met)) < 4 * len(met)
+            if shared:
+                met, place = np.unique(met, return_inverse=True)
+                scaled, plain = np.bincount(place, scaled, len(met)), np.bincount(place, plain, len(met))
+            plain = plain / (unorm[met] * np.sqrt(rated @ rated))
+            there, theirs, sizes = by_user.of(met)
             if 4 * len(there) < len(items):  # few of the items: only these are added up and looked at
-                np.add.at(by_items, there, np.repeat(scaled, sizes) * theirs)
-                np.add.at(by_users, there, np.repeat(plain, sizes) * theirs)
-                by_items[seen] = by_users[seen] = 0
-                near = np.unique(there)
-                a, b = by_items[near] / inorm[near], by_users[near]
-                by_items[near] = by_users[near] = 0
+                near, a, b = sums.best(scaled, plain, sizes, there, theirs, seen, k, tolerance)
                 chosen = _chosen(a, b, k, tolerance)
                 yield from out.add(np.full(len(chosen), users[r]), items[near[chosen]], a[chosen], b[chosen])
             else:
-                a = np.bincount(there, np.repeat(scaled, sizes) * theirs, len(items)) / inorm
-                b = np.bincount(there, np.repeat(plain, sizes) * theirs, len(items))
+                a = np.bincount(there, np.repeat(scaled, sizes) * theirs, len(inorm)) / inorm
+                b = np.bincount(there, np.repeat(plain, sizes) * theirs, len(inorm))
                 a[seen] = b[seen] = 0
                 chosen = _chosen(a, b, k, tolerance)
                 yield from out.add(np.full(len(chosen), users[r]), items[chosen], a[chosen], b[chosen])
@@ -393,6 +628,35 @@ def _score(k: int | None, tolerance: float):
     return run
 
 
+def _runs(batches):
+    """Cells (user_id, item_id, weight) as rows (user_id, one array for each of the others): a stretch is put in order of its users, rows have at most ``PACK`` cells."""
+    held, n = [], 0
+
+    def rows():
+        table = pa.Table.from_batches(held)
+        user = table.column("user_id").to_numpy()
+        order = None if (user[1:] >= user[:-1]).all() else np.argsort(user, kind="stable")
+        user = user if order is None else user[order]
+        begins = np.concatenate([[0], np.flatnonzero(user[1:] != user[:-1]) + 1]) if len(user) else np.empty(0, int)
+        pieces = -(-np.diff(np.append(begins, len(user))) // PACK)
+        begins = np.repeat(begins, pieces) + PACK * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        offsets = pa.array(np.append(begins, len(user)).astype(np.int32))
+        lists = []
+        for name in ("item_id", "weight"):
+            values = table.column(name).combine_chunks()
+            lists.append(pa.ListArray.from_arrays(offsets, values if order is None else values.take(pa.array(order))))
+        return pa.RecordBatch.from_arrays([pa.array(user[begins]), *lists], ["user_id", "item_id", "weight"])
+
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= RUN:
+            yield rows()
+            held, n = [], 0
+    if n:
+        yield rows()
+
+
 def _score_few(k: int | None, tolerance: float):
     def run(batches):
         links, packs = [], []
@@ -433,6 +697,12 @@ def _score_few(k: int | None, tolerance: float):
     return run
 
 
+def item_norms(cells: DataFrame) -> DataFrame:
+    """Rows (item_id, weight): the root of the sum of an item's squared weights."""
+    squares = cells.groupBy("item_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("square"))
+    return squares.select("item_id", F.sqrt(F.col("square").cast("double")).alias("weight"))
+
+
 _SCORES = "user_id bigint, item_id bigint, item_score double, user_score double"
 
 
@@ -450,7 +720,7 @@ def _scores_of_few(named: DataFrame, own: DataFrame, size: Size, k: int | None,
 
 
 def candidate_scores(
-    cells: DataFrame, work: float, entities: int, users: Size, items: Size, k: int | None = None, wanted: DataFrame | None = None, tolerance: float = 2e-6
+    cells: DataFrame, work: float, entities: int, users: Size, items: Size, k: int | None = None, wanted: DataFrame | None = None, tolerance: float = 2e-6, own_cells: int | None = None
 ) -> DataFrame:
     """Scores of unseen items: (user_id, item_id, item_score, user_score), at least one above zero.
 
@@ -458,15 +728,32 @@ def candidate_scores(
     with each v, the first divided by the norms of the items, so neither items x items nor users x users are written. With few items both follow
     from sums over all v for each pair (j, i): v = u adds nothing to an item that u has not rated.
 
-    ``cells``: user_id, item_id, weight and item_norm; read several times. ``wanted`` (user_id) limits for whom scores are made, ``entities``
-    is their number, ``users`` and ``items`` the size of the cells by each and ``work`` the number of products. With ``k`` a task passes on only what can
-    still be among a user's k best by either score, see ``neighbours``. A task holds at least the whole row of each user that it reaches."""
-    named = cells.select("user_id", "item_id", F.col("weight").cast("double").alias("weight"), "item_norm")
-    own = named if wanted is None else named.join(wanted.select("user_id").distinct(), "user_id", "left_semi")
+    ``cells``: user_id, item_id, weight; read several times. ``wanted`` (user_id) limits for whom scores are made, ``entities``
+    is their number, ``own_cells`` that of their cells, ``users`` and ``items`` the size of the cells by each and ``work`` the number of products. With ``k`` a task
+    passes on only what can still be among a user's k best by either score, see ``neighbours``. A task holds at least the whole row of each user that it reaches."""
     if items.entities <= FEW:
+        named = cells.select("user_id", "item_id", F.col("weight").cast("double").alias("weight"))
+        named = materialize(named.join(item_norms(cells).withColumnRenamed("weight", "item_norm"), "item_id"), "normed")
+        own = named if wanted is None else named.join(wanted.select("user_id").distinct(), "user_id", "left_semi")
         return _scores_of_few(named, own, users, k, tolerance)
     groups = min(groups_for(work, entities, _cores(cells)), _cores(cells), MASK)
     home = _group_of("user_id", groups)
+    met_by_group = (users.cells if own_cells is None else own_cells) / groups * items.pairs / max(users.cells, 1)
+    if users.cells <= REACH * HELD and met_by_group >= COVERED * users.entities:
+        # Every group meets nearly every user, and a task holds all cells: nothing to look up, and the norms follow from the cells.
+        kind = cells.schema["weight"].dataType.simpleString()
+        kind = kind if kind in ("tinyint", "smallint", "int") else "double"
+        held = cells.dropna(subset=["user_id", "item_id"]).select("user_id", "item_id", F.col("weight").cast(kind).alias("weight"))
+        runs = held.mapInArrow(_runs, f"user_id bigint, item_id array<bigint>, weight array<{kind}>")
+        part = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part")
+        rows = runs.select(part, "user_id", F.lit(True).alias("reached"), "item_id", "weight")
+        rows = rows.withColumn("own", (home == F.col("part")) if wanted is None else F.lit(False))
+        if wanted is not None:
+            none = [F.array().cast(rows.schema[name].dataType).alias(name) for name in ("item_id", "weight")]
+            rows = rows.unionByName(wanted.select("user_id").distinct().select(home.alias("part"), "user_id", F.lit(False).alias("reached"), *none, F.lit(True).alias("own")))
+        return _placed(rows, groups).mapInArrow(_score(k, tolerance, users.cells), _SCORES)
+    named = cells.select("user_id", "item_id", F.col("weight").cast("double").alias("weight"))
+    own = named if wanted is None else named.join(wanted.select("user_id").distinct(), "user_id", "left_semi")
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), home)
     # The groups that ask for an item, and for a user, are the bits of one number: few bytes leave here for many pairs.
     asked = own.groupBy("item_id").agg(F.bit_or(bit).alias("mask"))
@@ -487,11 +774,11 @@ def candidate_scores(
     else:  # a group's own users are needed in all its tasks
         rows = met.withColumn("salt", F.explode(F.when(mine, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(salt)))).withColumn("reached", F.col("salt") == salt)
     rows = rows.select((F.col("group") * salts + F.col("salt")).alias("part"), "user_id", mine.alias("own"), "reached", "item_id", "weight")
-    norms = packed(named.groupBy("item_id").agg(F.first("item_norm").alias("weight")).withColumn("all", F.lit(0)), ["all"], items.entities, "item_id", "weight")
+    norms = packed(item_norms(cells).withColumn("all", F.lit(0)), ["all"], items.entities, "item_id", "weight")
     norms = norms.select(
         F.explode(F.sequence(F.lit(0), F.lit(groups * salts - 1))).alias("part"), F.lit(None).cast("bigint").alias("user_id"), F.lit(False).alias("own"), F.lit(False).alias("reached"), "item_id", "weight"
     )
-    found = _placed(rows.unionByName(norms), groups * salts).mapInArrow(_score(k if salts == 1 else None, tolerance), _SCORES)
+    found = _placed(rows.unionByName(norms), groups * salts).mapInArrow(_score(k if salts == 1 else None, tolerance, users.cells), _SCORES)
     if salts == 1:
         return found
     return found.groupBy("user_id", "item_id").agg(F.sum("item_score").alias("item_score"), F.sum("user_score").alias("user_score"))

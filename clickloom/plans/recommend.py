@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.behavior import behavior_col, behavior_weight
@@ -55,8 +55,9 @@ def rating_model(
     combined = materialize(combined, "pairs")
     items = combined.groupBy("item_id").agg(F.count("*").alias("n")).where(F.col("n") >= min_item_users)
     kept = combined.join(items.select("item_id"), "item_id", "left_semi")
-    users = kept.groupBy("user_id").agg(F.sum("actions").alias("n")).where(F.col("n") >= min_user_actions)
-    cells = kept.join(users.select("user_id"), "user_id", "left_semi").where(F.col("weight").isNotNull())
+    # One shuffle by user, instead of one for the sums and one to join them; the cells stay in order of their users.
+    active = kept.withColumn("n", F.sum("actions").over(Window.partitionBy("user_id"))).where(F.col("n") >= min_user_actions)
+    cells = active.where(F.col("weight").isNotNull())
     return RatingModel.of(materialize(cells.select("user_id", "item_id", "weight"), "cells"))
 
 
@@ -91,17 +92,15 @@ def user_similarity(model: RatingModel, k: int = NEIGHBOURS) -> DataFrame:
 
 
 def _scores(model: RatingModel, users: DataFrame | None, k: int | None) -> DataFrame:
-    norms = _squares(model.cells, "item_id").select("item_id", F.sqrt(F.col("square").cast("double")).alias("item_norm"))
-    cells = materialize(model.cells.join(norms, "item_id"), "normed")
     # A cell meets, on average, so many users, and each of them so many of their cells.
     total = max(model.users.cells, 1)
     each = model.items.pairs / total * model.users.pairs / total
     if users is None:
-        return candidate_scores(cells, model.users.cells * each, model.users.entities, model.users, model.items, k)
+        return candidate_scores(model.cells, model.users.cells * each, model.users.entities, model.users, model.items, k)
     users = users.select("user_id").distinct()
-    rated = model.cells.join(users, "user_id", "left_semi").groupBy("user_id").agg(F.count("*").alias("n"))
+    rated = model.cells.groupBy("user_id").agg(F.count("*").alias("n")).join(users, "user_id", "left_semi")
     n_users, n_cells = rated.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    return candidate_scores(cells, n_cells * each, n_users, model.users, model.items, k, users)
+    return candidate_scores(model.cells, n_cells * each, n_users, model.users, model.items, k, users, own_cells=n_cells)
 
 
 def score_matrix(model: RatingModel) -> DataFrame:

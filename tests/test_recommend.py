@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from clickloom.operators import products
 from clickloom.plans import recommend
 from clickloom.schema import BEHAVIORS
+from clickloom.session import materialize
 from tests.conftest import rows_of
 
 
@@ -260,3 +261,43 @@ def test_there_are_no_more_copies_of_the_cells_than_cores(spark, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     assert parts <= cores
     assert travelled.select(F.sum(F.size("item_id"))).first()[0] <= cores * (len(rows) + 30)
+
+
+def few_of_many(seed, users=240, items=6000, each=9):
+    """Users who reach only a small part of the items, some of whom share several."""
+    rng = np.random.default_rng(seed)
+    cells = {(int(u), int(i)): int(rng.integers(1, 5)) for u in range(users) for i in rng.integers(0, items // 4, each) * 4 % (items - u % 3)}
+    cells |= {(u, 7): 2 for u in range(0, users, 40)} | {(users, i): 1 for i in range(items)}
+    return [(u * 3, i * 5 - 900, w) for (u, i), w in cells.items()]
+
+
+@pytest.mark.parametrize("weight", ["int", "double"])
+@pytest.mark.parametrize("line", [3, 8])
+def test_many_items_of_which_users_reach_few(spark, monkeypatch, weight, line):
+    """Both sums are added up in one number, and only what these can leave among the best gets whole sums; other weights are added up one by one."""
+    for name, value in (("FEW", 0), ("LINE", line), ("STRETCH", 50), ("RUN", 70), ("PACK", 5), ("SMALL_WORK", 1000)):
+        monkeypatch.setattr(products, name, value)
+    monkeypatch.setattr(products._Lines, "width", line)
+    rows = [(u, i, w if weight == "int" else w / 8) for u, i, w in few_of_many(11) if u < 720]
+    monkeypatch.setattr(products, "COVERED", 0)
+    model = recommend.RatingModel.of(spark.createDataFrame(rows, f"user_id long, item_id long, weight {weight}").repartition(5))
+    users, items, matrix = dense(model)
+    for k in (2, 5):
+        found = {}
+        for r in recommend.recommend(model, k).orderBy("rank").collect():
+            found.setdefault((r["algorithm"], r["user_id"]), []).append((r["item_id"], round(r["score"], 9)))
+        for algorithm, scores in zip(("ItemCF", "UserCF"), expected_scores(matrix)):
+            for at, user in enumerate(users):
+                assert found.get((algorithm, user), []) == best(scores[at], matrix[at] > 0, items, k)
+
+
+def test_cells_are_not_joined_where_each_group_meets_all(log, monkeypatch):
+    """Each group of users meets every user many times: the cells were once joined twice to find that out, and once more with the norms."""
+    monkeypatch.setattr(products, "FEW", 0)
+    model = recommend.rating_model(log(random_log(9, users=60, items=20, rows=900)))
+    written = []
+    monkeypatch.setattr(products, "materialize", lambda df, name, **options: written.append(name) or materialize(df, name, **options))
+    monkeypatch.setattr(recommend, "materialize", products.materialize)
+    lists = recommend._scores(model, None, 3)
+    assert written == [] and lists._jdf.queryExecution().optimizedPlan().toString().count("Join") == 0
+    assert lists.count() > 0
