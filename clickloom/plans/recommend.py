@@ -130,7 +130,9 @@ def leave_one_out(model: RatingModel, min_cells: int = 3) -> tuple[RatingModel,
 
     At most one hidden cell per user of the model. Both have many readers and are written once."""
     hidden = materialize(heaviest_cell(model.cells, min_cells), "hidden")
-    kept = model.cells.join(hidden, ["user_id", "item_id"], "left_anti")
+    # Joined by user alone, so that the cells of a user stay together.
+    known = model.cells.join(hidden.withColumnRenamed("item_id", "hidden"), "user_id", "left")
+    kept = known.where(~F.coalesce(F.col("item_id") == F.col("hidden"), F.lit(False))).select(model.cells.columns)
     return RatingModel.of(materialize(kept, "training")), hidden
 
 
@@ -140,9 +142,9 @@ def evaluate(model: RatingModel, k: int = TOP_K, min_cells: int = 3) -> DataFram
     training, hidden = leave_one_out(model, min_cells)
     found = recommend(training, k, hidden.select("user_id")).join(hidden, ["user_id", "item_id"], "left_semi")
     hits = found.groupBy("algorithm").agg(F.count("*").alias("hits"))
-    seen = training.cells.join(hidden.select("user_id"), "user_id", "left_semi")
     # every evaluated user keeps at least min_cells - 1 cells, so none is missing here
-    pools = seen.groupBy("user_id").agg((F.lit(model.items.entities) - F.count("*")).alias("pool"))
+    pools = training.cells.groupBy("user_id").agg((F.lit(model.items.entities) - F.count("*")).alias("pool"))
+    pools = pools.join(hidden.select("user_id"), "user_id", "left_semi")
     base = pools.agg(
         F.count("*").alias("evaluated_users"), F.try_divide(F.lit(float(k)), F.avg("pool")).alias("random_hit_rate")
     )

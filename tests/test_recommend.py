@@ -301,3 +301,10 @@ def test_cells_are_not_joined_where_each_group_meets_all(log, monkeypatch):
     lists = recommend._scores(model, None, 3)
     assert written == [] and lists._jdf.queryExecution().optimizedPlan().toString().count("Join") == 0
     assert lists.count() > 0
+
+
+def test_hidden_cells_of_users_without_enough_stay(spark):
+    cells = spark.createDataFrame([(1, 9, 4), (1, 3, 4), (1, 2, 1), (2, 9, 4), (2, 3, 4), (3, 9, 1), (3, 3, 2), (3, 4, 4), (3, 5, 4)], "user_id long, item_id long, weight int")
+    training, hidden = recommend.leave_one_out(recommend.RatingModel.of(cells))
+    assert rows_of(hidden) == [(1, 3), (3, 4)]
+    assert rows_of(training.cells) == [(1, 2, 1), (1, 9, 4), (2, 3, 4), (2, 9, 4), (3, 3, 2), (3, 5, 4), (3, 9, 1)]
