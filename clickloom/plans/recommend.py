@@ -187,7 +187,8 @@ def fallback(users: DataFrame, recommended: DataFrame, hot: DataFrame) -> DataFr
 
 
 def served(users: DataFrame, recommended: DataFrame, hot: DataFrame) -> DataFrame:
-    """What every user is shown: the own recommendations where there are any, else the hot list."""
+    """What every user is shown: the own recommendations where there are any, else the hot list. The recommendations have two readers and are written once."""
+    recommended = materialize(recommended, "recommended")
     own = recommended.select("user_id", F.col("algorithm").alias("source"), F.col("rank").cast("int").alias("rank"), "item_id")
     rest = fallback(users, recommended, hot)
     return own.unionByName(rest.select("user_id", F.col("algorithm").alias("source"), F.col("rank").cast("int").alias("rank"), "item_id"))

@@ -303,6 +303,16 @@ def test_cells_are_not_joined_where_each_group_meets_all(log, monkeypatch):
     assert lists.count() > 0
 
 
+def test_recommendations_with_two_readers_are_made_once(log, monkeypatch):
+    made = []
+    monkeypatch.setattr(recommend, "materialize", lambda df, name, **options: made.append(name) or materialize(df, name, **options))
+    df = log(random_log(5))
+    model = recommend.rating_model(df)
+    shown = recommend.served(df, recommend.recommendation_table(model), recommend.hot_items(df))
+    assert made[-1] == "recommended" and shown._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 0
+    assert {r["user_id"] for r in shown.collect()} == {r["user_id"] for r in df.select("user_id").distinct().collect()}
+
+
 def test_hidden_cells_of_users_without_enough_stay(spark):
     cells = spark.createDataFrame([(1, 9, 4), (1, 3, 4), (1, 2, 1), (2, 9, 4), (2, 3, 4), (3, 9, 1), (3, 3, 2), (3, 4, 4), (3, 5, 4)], "user_id long, item_id long, weight int")
     training, hidden = recommend.leave_one_out(recommend.RatingModel.of(cells))
