@@ -12,7 +12,7 @@ from clickloom.functions.behavior import behavior_col, choose, parse_bigint
 from clickloom.operators import cleaning, distinct, quality, windows
 from clickloom.plans import incremental, metrics, recommend, rfm, warehouse
 from clickloom.schema import BEHAVIOR_CODES, CLEAN_SCHEMA, EXPORT_COLUMNS, ODS_COLUMNS, SAMPLE_SCHEMA, STREAM_SCHEMA
-from clickloom.session import materialize, pin_session, shared_path
+from clickloom.session import materialize_and_free, pin_session, shared_path
 from clickloom.sources import adapters, files, tables
 from clickloom.streaming import jobs
 from clickloom.streaming import sources as stream_sources
@@ -704,7 +704,7 @@ def cf_fallback(spark, folder):
     """What every user is shown: the published table, or the hot list for users without a recommendation.
 
     The log has three readers and is joined and written once."""
-    sales = materialize(_sales(spark, folder), "sales")
+    sales = materialize_and_free(_sales(spark, folder), "sales")
     table = recommend.recommendation_table(recommend.rating_model(sales))
     return recommend.served(sales, table, recommend.hot_items(sales))
 

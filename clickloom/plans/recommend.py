@@ -19,7 +19,7 @@ from clickloom.schema import (
     TABLE_TOP_K,
     TOP_K,
 )
-from clickloom.session import materialize
+from clickloom.session import materialize_and_free as materialize
 
 ALGORITHMS = {"UserCF": "user_score", "ItemCF": "item_score"}
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from clickloom.operators import products
 from clickloom.plans import recommend
 from clickloom.schema import BEHAVIORS
-from clickloom.session import materialize
+from clickloom.session import materialize, materialize_and_free
 from tests.conftest import rows_of
 
 
@@ -318,3 +318,16 @@ def test_hidden_cells_of_users_without_enough_stay(spark):
     training, hidden = recommend.leave_one_out(recommend.RatingModel.of(cells))
     assert rows_of(hidden) == [(1, 3), (3, 4)]
     assert rows_of(training.cells) == [(1, 2, 1), (1, 9, 4), (2, 3, 4), (2, 9, 4), (3, 3, 2), (3, 5, 4), (3, 9, 1)]
+
+
+def test_shuffle_files_go_with_the_table_that_they_were_for(spark):
+    key, context = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", spark.sparkContext
+    before, known = spark.conf.get(key, None), context._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    left = {}
+    for write in (materialize_and_free, materialize):
+        first = context._jsc.sc().newShuffleId()
+        held = write(spark.range(1000).groupBy((F.col("id") % 7).alias("key")).count(), "counted")
+        left[write] = sum(known.containsShuffle(at) for at in range(first, context._jsc.sc().newShuffleId()))
+        assert held.count() == 7
+    assert left[materialize_and_free] == 0 < left[materialize]
+    assert spark.conf.get(key, None) == before
